@@ -1,9 +1,10 @@
 """Text to typed values.
 
-Contract types are matched by prefix.  A cell either parses completely or the
-cast yields NULL; ``cast_failed`` tells a NULL that was empty text from a NULL
-that did not parse.  The patterns guard Spark's more generous casts
-(``1d``, ``1.5`` as an integer) and keep ANSI mode from aborting the job.
+Contract types are matched by prefix.  A cell either parses completely or its
+value is NULL; ``parse_failed`` tells a NULL that was empty text from a NULL that
+did not parse.  ``try_cast`` alone is strict for integers, decimals and
+booleans; the patterns guard the types for which it is more generous (``1d`` as a
+number, ``2024`` as a date).
 """
 
 from __future__ import annotations
@@ -18,13 +19,11 @@ from pyspark.sql import types as T
 INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 FLOAT_TEXT = r"^\s*[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
 NAN_TEXT = r"^\s*[+-]?(?i:nan)\s*$"
-DECIMAL_TEXT = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 DATE_TEXT = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}\s*$"
 TIMESTAMP_TEXT = (
     r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?"
     r"(Z|[+-][0-9]{2}:[0-9]{2})?)?\s*$"
 )
-BOOLEAN_TEXT = r"^\s*(?i:true|false|t|f|yes|no|y|n|1|0)\s*$"
 
 # Precision of a DECIMAL written without one.
 DEFAULT_DECIMAL = T.DecimalType(38, 18)
@@ -53,36 +52,31 @@ def empty_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-def _guarded(text: Column, pattern: str, target: T.DataType) -> Column:
-    return F.when(text.rlike(pattern), text.try_cast(target))
+GUARDS = {
+    T.DoubleType: FLOAT_TEXT,
+    T.DateType: DATE_TEXT,
+    T.TimestampType: TIMESTAMP_TEXT,
+}
 
 
 def parse(text: Column, target: T.DataType) -> Column:
     """Typed value of a text cell, NULL when empty or not parseable."""
-    value = empty_to_null(text)
     if isinstance(target, T.StringType):
-        return value
-    if isinstance(target, T.LongType):
-        return _guarded(value, INTEGER_TEXT, target)
-    if isinstance(target, T.DoubleType):
-        return _guarded(value, FLOAT_TEXT, target)
-    if isinstance(target, T.DecimalType):
-        return _guarded(value, DECIMAL_TEXT, target)
-    if isinstance(target, T.DateType):
-        return _guarded(value, DATE_TEXT, target)
-    if isinstance(target, T.TimestampType):
-        return _guarded(value, TIMESTAMP_TEXT, target)
-    if isinstance(target, T.BooleanType):
-        return _guarded(value, BOOLEAN_TEXT, target)
-    raise ValueError(f"no text form for {target.simpleString()}")
-
-
-def parse_failed(text: Column, target: T.DataType) -> Column:
-    """True when the cell holds text that is no value of the type (never NULL)."""
+        return empty_to_null(text)
+    guard = GUARDS.get(type(target))
+    value = text.try_cast(target)
+    return value if guard is None else F.when(text.rlike(guard), value)
+
+
+def parse_failed(text: Column, target: T.DataType, value: Column | None = None) -> Column:
+    """True when the cell holds text that is no value of the type (never NULL).
+
+    ``value`` is the parsed cell, where the caller has it already.
+    """
     if isinstance(target, T.StringType):
         return F.lit(False)
-    held = F.coalesce(text != F.lit(""), F.lit(False))
-    failed = held & parse(text, target).isNull()
+    value = parse(text, target) if value is None else value
+    failed = value.isNull() & F.coalesce(text != F.lit(""), F.lit(False))
     if isinstance(target, T.DoubleType):
         # 'nan' is a number without a value: stored as NULL, not a failure.
         failed = failed & ~text.rlike(NAN_TEXT)

@@ -17,6 +17,7 @@ class Cell:
 
     text: Column
     value: Column
+    numeric: bool = False
 
 
 def _missing(cell: Cell) -> Column:
@@ -29,7 +30,7 @@ def _not_integer(cell: Cell) -> Column:
 
 
 def _negative(cell: Cell) -> Column:
-    number = cell.value.cast("string").try_cast("double")
+    number = cell.value if cell.numeric else cell.value.cast("string").try_cast("double")
     return F.coalesce(number < 0, F.lit(False))
 
 

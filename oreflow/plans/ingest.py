@@ -14,7 +14,13 @@ from oreflow.functions.hashing import record_hash
 from oreflow.operators.dedup import latest_per_key, ranked_dedup
 from oreflow.operators.mapping import instant, stamp, trim_text
 from oreflow.operators.merge import absent_keys
-from oreflow.operators.quality import first_reason, text_reasons
+from oreflow.operators.quality import (
+    CHECK_FAILED,
+    REASON,
+    REASONS,
+    reason_list,
+    text_reasons,
+)
 from oreflow.plans.lake import Commit, Lake
 from oreflow.session import scratch_folder
 from oreflow.sources import csv, files
@@ -91,8 +97,8 @@ def land(lake: Lake, contract: Contract, context: Context) -> tuple[int, int]:
             bad = stamped.where(named(csv.REJECT).isNotNull())
             bad = bad.select(
                 *_raw_names(landed),
-                named(csv.MALFORMED).alias("record"),
-                named(csv.REJECT).alias("reason"),
+                named(csv.MALFORMED).alias("malformed_record"),
+                named(csv.REJECT).alias(REASON),
             )
             name = landing.quarantine_table or f"{table}__landing_quarantine"
             part = lake.write_part("landing", name, context.run_id, bad)
@@ -167,9 +173,9 @@ def refine_raw(
     if not spec.quarantine_table and not shaped:
         return rows, None
 
-    labelled = rows.withColumn("reasons", text_reasons(rows, spec.checks))
-    sound = labelled.where(F.size("reasons") == 0).drop("reasons")
-    failed = labelled.where(F.size("reasons") > 0)
+    labelled = rows.withColumn("__labels", text_reasons(rows, spec.checks))
+    sound = labelled.where(F.col("__labels") == "").drop("__labels")
+    failed = labelled.where(F.col("__labels") != "")
     if spec.deduplicate_by and _has_all(rows, spec.deduplicate_by):
         newest_file = [
             F.col("source_file_modified_ts").desc(),
@@ -185,8 +191,9 @@ def refine_raw(
         if _has_all(history, spec.incremental_key):
             sound = absent_keys(sound, history, spec.incremental_key)
     if spec.quarantine_table:
-        return sound, failed.withColumn("reason", first_reason())
-    return sound.unionByName(failed.drop("reasons")), None
+        why = {REASON: F.lit(CHECK_FAILED), REASONS: reason_list(F.col("__labels"))}
+        return sound, failed.withColumns(why).drop("__labels")
+    return sound.unionByName(failed.drop("__labels")), None
 
 
 def latest_version(rows: DataFrame, keys: tuple[str, ...], version: str) -> DataFrame:

@@ -136,6 +136,13 @@ class Lake:
             )
         return self.spark.table(name)
 
+    def attach(self, layer: str, table: str, path: str) -> Commit:
+        """Make an existing parquet folder the content of a table, without a copy."""
+        schema = self.spark.read.parquet(path).schema
+        commit = Commit(layer, table, "attached", "snapshot", path, schema)
+        self.record([commit])
+        return commit
+
     def record(self, commits: Sequence[Commit]) -> None:
         """Make written folders visible, all in one append."""
         now = datetime.now(timezone.utc)

@@ -15,7 +15,7 @@ from oreflow.functions.columns import ARRIVAL_ORDER, AUDIT_COLUMNS, lookup, name
 from oreflow.operators.dedup import first_wins, latest_per_key, unseen_keys
 from oreflow.operators.mapping import instant, stamp
 from oreflow.operators.merge import INSERTED_AT, scd1_merge, split_conflicts, upsert
-from oreflow.operators.quality import check_rows, first_reason, is_rejected
+from oreflow.operators.quality import REASON, REASONS, RECORD, REJECTED, check_rows
 from oreflow.operators.watermark import beyond_marks, lookback_start
 from oreflow.plans.ingest import raw_commits, version_number
 from oreflow.plans.lake import Commit, Lake
@@ -33,7 +33,6 @@ LINEAGE_COLUMNS = (
     "persistent_insert_ts",
     "persistent_update_ts",
 )
-REJECTED = "__rejected"
 ARRIVAL = "__arrival"
 RAW_RUN = "__raw_run"
 
@@ -149,7 +148,7 @@ def _stage(
         }
     )
     carried = [ARRIVAL, RAW_RUN, "__file", "__modified"]
-    checked = check_rows(rows, spec, carried).withColumn(REJECTED, is_rejected())
+    checked = check_rows(rows, spec, carried)
     folder = scratch_folder(lake.spark, f"checked-{spec.target_table}-{context.run_id}")
     checked.write.partitionBy(REJECTED).parquet(folder)
     staged = lake.spark.read.schema(checked.schema).parquet(folder)
@@ -178,14 +177,12 @@ def _mapped_only(
     rows: DataFrame, spec: TableSpec, context: Context, reason: str | None = None
 ) -> DataFrame:
     """Rejected rows as the quarantine table keeps them."""
-    if reason is None:
-        why, names = first_reason(), F.col("reasons")
-    else:
-        why, names = F.lit(reason), F.array(F.lit(reason))
-    labelled = rows.withColumns({"reason": why, "reasons": names})
+    labelled = rows
+    if reason is not None:
+        labelled = rows.withColumns({REASON: F.lit(reason), REASONS: F.array(F.lit(reason))})
     stamped = stamp(labelled, context.run_id, context.environment, context.moment)
     columns = [c.name for c in spec.columns]
-    return stamped.select(*[named(n) for n in [*columns, *AUDIT_COLUMNS, "reason", "reasons"]])
+    return stamped.select(*[named(n) for n in [*columns, *AUDIT_COLUMNS, REASON, REASONS]])
 
 
 def _write_target(
@@ -235,9 +232,9 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
 def quarantine_records(rejected: DataFrame, spec: TableSpec) -> DataFrame:
     """One ``{source, mapped, reason}`` record per rejected row."""
     return rejected.select(
-        "source",
+        F.col(RECORD).alias("source"),
         row_struct([c.name for c in spec.columns]).alias("mapped"),
-        first_reason().alias("reason"),
+        F.col(REASON).alias("reason"),
     )
 
 

@@ -116,15 +116,18 @@ def _open(path: str):
     return system.open_input_stream(inner)
 
 
+def first_of_copies(files: DataFrame) -> DataFrame:
+    """One file per checksum, the first by path; copies are merged before the shuffle."""
+    facts = [c for c in files.columns if c != "checksum"]
+    first = files.groupBy("checksum").agg(
+        F.min_by(F.struct(*facts), F.col("path")).alias("__file")
+    )
+    return first.select(*[f"__file.{c}" if c != "checksum" else c for c in files.columns])
+
+
 def new_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files whose content was never loaded; of identical files the first by path."""
-    unseen = files.join(ledger.select("checksum").distinct(), "checksum", "left_anti")
-    first = unseen.groupBy("checksum").agg(F.min("path").alias("__first"))
-    return (
-        unseen.join(first, "checksum")
-        .where(F.col("path") == F.col("__first"))
-        .drop("__first")
-    )
+    return first_of_copies(files).join(ledger.select("checksum").distinct(), "checksum", "left_anti")
 
 
 def already_loaded(files: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -133,14 +136,8 @@ def already_loaded(files: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def ledger_rows(files: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Rows to add to the ledger: one per checksum that is not in it yet.
-
-    Of several files with one checksum the first by path is entered.
-    """
-    entry = F.struct(*[c for c in files.columns if c != "checksum"])
-    first = files.groupBy("checksum").agg(F.min_by(entry, F.col("path")).alias("entry"))
-    entries = first.select("checksum", "entry.*")
-    return entries.join(ledger.select("checksum").distinct(), "checksum", "left_anti")
+    """Rows to add to the ledger: one per checksum that is not in it yet."""
+    return new_files(files, ledger)
 
 
 def ledger_of(ledger: DataFrame, source_table: str) -> DataFrame:

@@ -57,7 +57,7 @@ def test_first_wins_and_quarantine(spark, make_context):
     table = done.lake.read("persistent", "customers")
     assert rows(table, "customer_id", "name", "email") == [(1, "Ada", "a@example.com")]
     rejected = done.lake.read("persistent", "customers__quarantine")
-    assert rows(rejected, "name", "reason", "reasons") == [
+    assert rows(rejected, "name", "reject_reason", "reject_reasons") == [
         ("Invalid", "data_quality_failed", ["not_null(customer_id)"])
     ]
     raw = done.lake.read("raw", "raw_customers")
@@ -304,14 +304,14 @@ def test_accounts_versions_and_checks(spark, make_context, tmp_path):
     ), "acct_id", "version", "setup", "run_id")
     assert table(done) == [("A1", 2, "2024-01-01", "run-1"), ("A2", 1, "2024-01-01", "run-1")]
     reasons = done.lake.read("persistent", "accounts__quarantine")
-    assert rows(reasons, "reason", "reasons") == [
+    assert rows(reasons, "reject_reason", "reject_reasons") == [
         ("cast_failed", ["cast_failed(version)", "not_null(version)", "is_integer(version)"]),
         ("data_quality_failed", ["non_negative(version)"]),
         ("data_quality_failed", ["not_null(acct_id)"]),
         ("data_quality_failed", ["not_null(version)"]),
     ]
     malformed = done.lake.read("landing", "land_accounts__quarantine")
-    assert rows(malformed, "record", "reason", "source_row_number") == [
+    assert rows(malformed, "malformed_record", "reject_reason", "source_row_number") == [
         ("short,row", "malformed_record", 9)
     ]
     # A lower version, an equal one with other content, and a higher one.
@@ -350,7 +350,7 @@ def test_conflicting_version_goes_to_quarantine(spark, make_context, tmp_path):
     table = done.lake.read("persistent", "accounts")
     assert rows(table, "acct_id", "version", "setup_dt") == [("A1", 2, "x"), ("A2", 2, "y")]
     bad = done.lake.read("persistent", "accounts__quarantine")
-    assert rows(bad, "acct_id", "setup_dt", "reason") == [("A1", "y", "version_conflict")]
+    assert rows(bad, "acct_id", "setup_dt", "reject_reason") == [("A1", "y", "version_conflict")]
 
 
 def test_raw_quarantine(spark, make_context, tmp_path):
@@ -360,7 +360,7 @@ def test_raw_quarantine(spark, make_context, tmp_path):
     done = run_pipeline(spark, load_contract(path), make_context("run-1"))
     assert rows(done.lake.read("raw", "raw_accounts"), "acct_id") == [("A1",)]
     bad = done.lake.read("raw", "raw_accounts__quarantine")
-    assert rows(bad, "acct_id", "reasons") == [("A2", ["is_integer(version)"])]
+    assert rows(bad, "acct_id", "reject_reasons") == [("A2", ["is_integer(version)"])]
 
 
 def test_failed_run_is_recorded_and_can_be_repeated(spark, make_context):
