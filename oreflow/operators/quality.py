@@ -52,7 +52,10 @@ def _rules(spec: TableSpec) -> list[tuple[str, str]]:
     """(rule, column) pairs of a contract, each once: declared NOT NULL first."""
     pairs = [("not_null", name) for name in spec.required()]
     pairs += [(check.rule, name) for check in spec.checks for name in check.columns]
-    return list({_label(rule, name): (rule, name) for rule, name in reversed(pairs)}.values())[::-1]
+    once: dict[str, tuple[str, str]] = {}
+    for rule, name in pairs:
+        once.setdefault(_label(rule, name), (rule, name))
+    return list(once.values())
 
 
 def text_reasons(df: DataFrame, checks: Sequence[Check]) -> Column:

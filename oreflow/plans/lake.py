@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -82,18 +82,21 @@ class Lake:
         consumed_runs: Iterable[str] = (),
         keys: Sequence[str] = (),
         buckets: int | None = None,
+        clustered: bool = False,
     ) -> Commit:
         """Write a table's complete new state; visible once recorded.
 
         With ``buckets`` the rows are clustered by key, and the next merge reads
-        the table without shuffling it.
+        the table without shuffling it.  ``clustered`` says that the rows come
+        out of such a merge, bucket by bucket, and need no shuffle here either.
         """
         folder = f"{self.root}/{layer}/{table}/snapshot={run_id}/{_unique()}"
         if buckets and keys:
             name = self._bucket_table(folder)
+            if not clustered:
+                df = df.repartition(buckets, *[F.col(_quoted(key)) for key in keys])
             (
-                df.repartition(buckets, *[F.col(_quoted(key)) for key in keys])
-                .write.format("parquet")
+                df.write.format("parquet")
                 .bucketBy(buckets, *keys)
                 .sortBy(*keys)
                 .option("path", folder)
@@ -136,12 +139,14 @@ class Lake:
             )
         return self.spark.table(name)
 
-    def attach(self, layer: str, table: str, path: str) -> Commit:
-        """Make an existing parquet folder the content of a table, without a copy."""
-        schema = self.spark.read.parquet(path).schema
-        commit = Commit(layer, table, "attached", "snapshot", path, schema)
-        self.record([commit])
-        return commit
+    def attach(self, layer: str, folders: Mapping[str, str]) -> None:
+        """Make existing parquet folders the content of tables, without a copy."""
+        self.record(
+            [
+                Commit(layer, table, "attached", "snapshot", path, self.spark.read.parquet(path).schema)
+                for table, path in folders.items()
+            ]
+        )
 
     def record(self, commits: Sequence[Commit]) -> None:
         """Make written folders visible, all in one append."""

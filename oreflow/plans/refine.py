@@ -210,8 +210,10 @@ def _write_target(
         merged = scd1_merge(target, incoming, spec.keys, spec.version_column, [ARRIVAL], kept)
     else:
         merged = upsert(target, incoming, spec.keys, [ARRIVAL], kept)
+    held = lake.visible("persistent", table)
+    clustered = len(held) == 1 and held[0].buckets == spec.buckets and held[0].keys == spec.keys
     return lake.write_snapshot(
-        "persistent", table, run_id, merged, consumed, spec.keys, spec.buckets
+        "persistent", table, run_id, merged, consumed, spec.keys, spec.buckets, clustered
     )
 
 

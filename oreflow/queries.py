@@ -7,6 +7,7 @@ an earlier and a later delivery.  Every query runs over its whole tables.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
@@ -714,150 +715,7 @@ FROM checked GROUP BY ALL
 )
 def row_count_audit(spark: SparkSession, folder: str) -> DataFrame:
     target = F.concat(F.lit("returns_"), F.col("l_returnflag")).alias("target")
-    labelled = raw_lines(spark, folder, target)
-    checked = quality.check_rows(labelled_documents(spark, folder), spec)
-    return checked.select("doc_id", F.concat_ws(",", quality.REASONS).alias("reasons"))
-
-
-@query(
-    """
-WITH raw AS (SELECT event_id, trim(replace(replace(props, '{"k":', ''), '}', '')) AS k,
-                    CAST(CAST(value AS DECIMAL(18,2)) - 5 AS VARCHAR) AS v FROM events)
-SELECT event_id, concat_ws(',',
-    CASE WHEN k <> '' AND NOT regexp_full_match(k, '[+-]?[0-9]+') THEN 'is_integer(k)' END,
-    CASE WHEN v <> '' AND NOT regexp_full_match(v, '[+-]?[0-9]+') THEN 'is_integer(v)' END,
-    CASE WHEN CAST(v AS DECIMAL(18,2)) < 0 THEN 'non_negative(v)' END) AS reasons
-FROM raw
-"""
-)
-def dq_integer_non_negative(spark: SparkSession, folder: str) -> DataFrame:
-    k = F.replace(F.replace("props", F.lit('{"k":'), F.lit("")), F.lit("}"), F.lit(""))
-    v = (F.col("value").cast("decimal(18,2)") - 5).cast("decimal(18,2)").cast("string")
-    raw = table(spark, folder, "events").select("event_id", k.alias("k"), v.alias("v"))
-    raw = mapping.trim_text(raw)
-    checks = [Check("is_integer", ("k", "v")), Check("non_negative", ("v",))]
-    reasons = quality.reason_list(quality.text_reasons(raw, checks))
-    return raw.select("event_id", F.concat_ws(",", reasons).alias("reasons"))
-
-
-LINES = TableSpec(
-    name="lines",
-    source_table="raw_lines",
-    target_table="lines",
-    columns=(
-        ColumnSpec("order_id", "l_orderkey", "INTEGER", nullable=False),
-        ColumnSpec("line", "l_linenumber", "INTEGER", nullable=False),
-        ColumnSpec("part_id", "l_partkey", "INTEGER"),
-        ColumnSpec("quantity", "quantity", "DECIMAL(18,2)"),
-        ColumnSpec("price", "price", "DECIMAL(18,2)"),
-        ColumnSpec("tax", "tax", "DECIMAL(18,2)", nullable=False),
-    ),
-    checks=(Check("non_negative", ("price",)),),
-)
-
-
-def raw_lines(spark: SparkSession, folder: str, *extra: Column) -> DataFrame:
-    """Line items as text: some quantities carry a unit, taxes are blank, prices negative."""
-    unit = (F.col("l_linestatus") == "F") & (F.col("l_discount") == 0)
-    refund = (F.col("l_returnflag") == "R") & (F.col("l_tax") == 0.08)
-    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return table(spark, folder, "lineitem").select(
-        *[F.col(k).cast("string").alias(k) for k in keys],
-        F.when(unit, F.concat(money("l_quantity"), F.lit(" pcs")))
-        .otherwise(money("l_quantity"))
-        .alias("quantity"),
-        F.when(refund, F.concat(F.lit("-"), money("l_extendedprice")))
-        .otherwise(money("l_extendedprice"))
-        .alias("price"),
-        F.when(F.col("l_tax") == 0, F.lit("")).otherwise(money("l_tax")).alias("tax"),
-        *extra,
-    )
-
-
-LINES_SQL = """
-WITH flags AS (
-  SELECT *, l_linestatus = 'F' AND l_discount = 0 AS unit, l_tax = 0 AS blank,
-         l_returnflag = 'R' AND l_tax = 0.08 AND l_extendedprice > 0 AS refund
-  FROM lineitem),
-checked AS (
-  SELECT *, concat_ws(',', CASE WHEN unit THEN 'cast_failed(quantity)' END,
-                      CASE WHEN blank THEN 'not_null(tax)' END,
-                      CASE WHEN refund THEN 'non_negative(price)' END) AS reasons
-  FROM flags)
-"""
-
-
-@query(
-    LINES_SQL
-    + """
-SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
-       CASE WHEN unit THEN NULL ELSE l_orderkey END AS order_id,
-       CASE WHEN unit THEN 'cast_failed' ELSE 'data_quality_failed' END AS reason, reasons
-FROM checked WHERE reasons <> ''
-"""
-)
-def valid_reject_split(spark: SparkSession, folder: str) -> DataFrame:
-    _, rejected = quality.split(quality.check_rows(raw_lines(spark, folder), LINES))
-    return rejected.select(
-        f"{quality.RECORD}.l_orderkey",
-        f"{quality.RECORD}.l_linenumber",
-        "order_id",
-        F.col(quality.REASON).alias("reason"),
-        F.concat_ws(",", quality.REASONS).alias("reasons"),
-    )
-
-
-@query(
-    LINES_SQL
-    + """
-SELECT l_orderkey AS order_id, l_linenumber AS line, l_partkey AS part_id,
-       CAST(l_quantity AS DECIMAL(18,2)) AS quantity, CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
-       CAST(l_tax AS DECIMAL(18,2)) AS tax
-FROM checked WHERE reasons = ''
-"""
-)
-def valid_rows(spark: SparkSession, folder: str) -> DataFrame:
-    valid, _ = quality.split(quality.check_rows(raw_lines(spark, folder), LINES))
-    return valid
-
-
-@query(
-    LINES_SQL
-    + """
-SELECT CAST(l_orderkey AS VARCHAR) AS source_order, CAST(l_suppkey AS VARCHAR) AS source_supplier,
-       CASE WHEN unit THEN NULL ELSE l_linenumber END AS mapped_line,
-       CASE WHEN unit THEN 'cast_failed' ELSE 'data_quality_failed' END AS reason,
-       6 AS mapped_fields
-FROM checked WHERE reasons <> ''
-"""
-)
-def quarantine_json(spark: SparkSession, folder: str) -> DataFrame:
-    """Rejected rows written as JSON lines and read back; nulls are kept in the text."""
-    _, rejected = quality.split(quality.check_rows(raw_lines(spark, folder), LINES))
-    context = Context("run-1", scratch_folder(spark, "landing"), "unused")
-    path = refine.write_quarantine_json(rejected, LINES, context)
-    line = F.col("value")
-    return spark.read.text(path).select(
-        F.get_json_object(line, "$.source.l_orderkey").alias("source_order"),
-        F.get_json_object(line, "$.source.l_suppkey").alias("source_supplier"),
-        F.get_json_object(line, "$.mapped.line").cast("int").alias("mapped_line"),
-        F.get_json_object(line, "$.reason").alias("reason"),
-        F.size(F.json_object_keys(F.get_json_object(line, "$.mapped"))).alias("mapped_fields"),
-    )
-
-
-@query(
-    LINES_SQL
-    + """
-SELECT 'returns_' || l_returnflag AS table_name, count(*) FILTER (WHERE reasons = '') AS inserted,
-       count(*) FILTER (WHERE reasons <> '') AS rejected
-FROM checked GROUP BY ALL
-"""
-)
-def row_count_audit(spark: SparkSession, folder: str) -> DataFrame:
-    rows = raw_lines(spark, folder)
-    flag = table(spark, folder, "lineitem").select("l_returnflag").columns[0]
-    checked = quality.check_rows(labelled, LINES, carried=["target"])
+    checked = quality.check_rows(raw_lines(spark, folder, target), LINES, carried=["target"])
     return control.row_counts(checked, "target", quality.REJECTED)
 
 
@@ -1176,15 +1034,13 @@ def processor_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- Consumption -----------------------------------------------------------------
 
-SOURCE_TABLES = ("customer", "nation", "orders", "lineitem", "supplier", "events")
-
-
-def attached(spark: SparkSession, folder: str) -> tuple[Lake, Context]:
-    """The tables as Persistent tables of a lake, visible as ``source.<table>``."""
+def attached(spark: SparkSession, folder: str, text: str) -> tuple[Lake, Context]:
+    """The tables a statement reads, as Persistent tables visible as ``source.<table>``."""
     root = scratch_folder(spark, "lake")
     lake = Lake(spark, root)
-    for name in SOURCE_TABLES:
-        lake.attach("persistent", name, f"{folder}/{name}.parquet")
+    names = sorted(set(re.findall(r"source\.(\w+)", text)))
+    lake.attach("persistent", {name: f"{folder}/{name}.parquet" for name in names})
+    for name in names:
         lake.publish("source", "persistent", name)
     return lake, Context("run-1", f"{root}/landing", root)
 
@@ -1199,8 +1055,9 @@ GROUP BY c.c_mktsegment, n.n_name
 
 @query(REFRESH_SQL.format(s=""))
 def consumption_refresh(spark: SparkSession, folder: str) -> DataFrame:
-    lake, context = attached(spark, folder)
-    item = ConsumptionSpec("balances", "balances", mapping=REFRESH_SQL.format(s="source.") + ";")
+    text = REFRESH_SQL.format(s="source.")
+    lake, context = attached(spark, folder, text)
+    item = ConsumptionSpec("balances", "balances", mapping=text + ";")
     nothing = parse_contract({})
     consumption.refresh(lake, item, nothing, context)
     consumption.refresh(lake, item, nothing, context)  # a full refresh replaces
@@ -1268,8 +1125,9 @@ FROM {s}events GROUP BY user_id, date_trunc('day', ts)
 
 def consumption_sql(text: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        attached(spark, folder)
-        return spark.sql(text.format(s="source."))
+        statement = text.format(s="source.")
+        attached(spark, folder, statement)
+        return spark.sql(statement)
 
     return run
 
@@ -1282,7 +1140,7 @@ for _name, _text in CONSUMPTION_SQL.items():
 @query("SELECT c_mktsegment, count(*) AS customers FROM customer WHERE c_acctbal > 0 GROUP BY ALL")
 def consumption_statements(spark: SparkSession, folder: str) -> DataFrame:
     """A script of several statements against the Consumption database."""
-    lake, context = attached(spark, folder)
+    lake, context = attached(spark, folder, "source.customer")
     name = "rich_" + context.lake_root[-8:]
     script = (
         f"DROP TABLE IF EXISTS {name}; CREATE TABLE {name} USING parquet "

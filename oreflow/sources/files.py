@@ -47,7 +47,7 @@ def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame | No
     return listed.select(
         "path",
         F.col("_metadata.file_path").alias("uri"),
-        F.col("_metadata.file_name").alias("name"),
+        F.substring_index("path", "/", -1).alias("name"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("modified"),
         "content",
