@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 from typing import Any
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,14 @@ SCHEMAS = {
     "keys array<string>, buckets int, committed_at timestamp",
 }
 
+ARROW_TYPES = {
+    "string": pa.string(),
+    "long": pa.int64(),
+    "int": pa.int32(),
+    "timestamp": pa.timestamp("us", tz="UTC"),
+    "array<string>": pa.list_(pa.string()),
+}
+
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc)
@@ -79,9 +88,10 @@ class ControlTables:
 
     def append(self, name: str, rows: Sequence[dict[str, Any]] | DataFrame) -> None:
         if not isinstance(rows, DataFrame):
-            names = [part.split()[0] for part in SCHEMAS[name].split(", ")]
-            values = [tuple(row.get(column) for column in names) for row in rows]
-            rows = self.spark.createDataFrame(values, SCHEMAS[name]).coalesce(1)
+            columns = [part.split() for part in SCHEMAS[name].split(", ")]
+            schema = pa.schema([(column, ARROW_TYPES[kind]) for column, kind in columns])
+            # An Arrow table becomes a local relation: one small write task.
+            rows = self.spark.createDataFrame(pa.Table.from_pylist(list(rows), schema))
         rows.write.mode("append").parquet(self._path(name))
 
     # Runs and processors

@@ -22,7 +22,7 @@ from oreflow.operators.quality import (
     text_reasons,
 )
 from oreflow.plans.lake import Commit, Lake
-from oreflow.session import scratch_folder
+from oreflow.session import drop_folder, scratch_folder
 from oreflow.sources import csv, files
 
 if TYPE_CHECKING:
@@ -67,11 +67,13 @@ def land(lake: Lake, contract: Contract, context: Context) -> tuple[int, int]:
     if listed is None:
         return 0, 0
     ledger = control.read("processed_file_ledger")
-    folder = scratch_folder(spark, f"files-{context.run_id}")
+    scratch = scratch_folder(spark, f"landing-{context.run_id}")
+    folder = f"{scratch}/files"
     # Written once: hashing reads every byte and must not be repeated.
     files.new_files(files.fingerprint(listed), ledger).write.parquet(folder)
     fresh = spark.read.schema(files.FILES_SCHEMA).parquet(folder)
     if fresh.isEmpty():
+        drop_folder(spark, scratch)
         return 0, 0
     _note_manifest(lake, fresh, context)
 
@@ -80,8 +82,8 @@ def land(lake: Lake, contract: Contract, context: Context) -> tuple[int, int]:
     inserted = rejected = 0
     scanned = csv.scan(spark, fresh, landing, contract.raw.columns)
     if scanned is not None:
-        landed = _write_landed(lake, contract, context, scanned, commits)
-        numbered = csv.number_rows(landed, fresh)
+        landed = _write_landed(lake, contract, context, scanned, commits, f"{scratch}/rows")
+        numbered = csv.number_rows(landed, fresh, f"{scratch}/splits")
         stamped = stamp_files(numbered, context)
         rows = stamped.where(named(csv.REJECT).isNull())
         rows = rows.select(_raw_names(landed))
@@ -114,6 +116,7 @@ def land(lake: Lake, contract: Contract, context: Context) -> tuple[int, int]:
         F.lit(context.run_id).alias("run_id"),
     )
     control.append("processed_file_ledger", files.ledger_rows(entries, ledger).coalesce(1))
+    drop_folder(spark, scratch)
     return inserted, rejected
 
 
@@ -127,7 +130,12 @@ def _note_manifest(lake: Lake, fresh: DataFrame, context: Context) -> None:
 
 
 def _write_landed(
-    lake: Lake, contract: Contract, context: Context, scanned: DataFrame, commits: list[Commit]
+    lake: Lake,
+    contract: Contract,
+    context: Context,
+    scanned: DataFrame,
+    commits: list[Commit],
+    folder: str,
 ) -> DataFrame:
     """Parse the files exactly once, into the landing table or a scratch table."""
     landing = contract.landing
@@ -136,7 +144,6 @@ def _write_landed(
         part = lake.write_part("landing", name, context.run_id, scanned)
         commits.append(part)
         return lake.read_commits([part])
-    folder = scratch_folder(lake.spark, f"landed-{context.run_id}")
     scanned.write.parquet(folder)
     return lake.spark.read.schema(scanned.schema).parquet(folder)
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreflow.plans.control import ControlTables
+from oreflow.session import drop_folder
 
 
 # Catalog database for the entries that let Spark use the bucketing of a snapshot.
@@ -221,6 +222,25 @@ class Lake:
         """Raw runs already taken into a table."""
         return {run for commit in self.commits(layer, table) for run in commit.consumed_runs}
 
+    def _glob(self, paths: Sequence[str]) -> str:
+        """One path expression for many folders."""
+        if len(paths) == 1:
+            return paths[0]
+        return f"{self.root}/{{{','.join(path.removeprefix(self.root + '/') for path in paths)}}}"
+
+    def expire_snapshots(self, layer: str, table: str, keep: int) -> list[str]:
+        """Delete the folders of superseded snapshots, all but the ``keep`` latest ones.
+
+        Their commit rows stay, so what the table has consumed is not forgotten.
+        """
+        snapshots = [c for c in self.commits(layer, table) if c.kind == "snapshot"]
+        old = [c for c in snapshots[: -max(keep, 1)] if c.path.startswith(self.root + "/")]
+        for commit in old:
+            if commit.buckets:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._bucket_table(commit.path)}")
+            drop_folder(self.spark, commit.path)
+        return [commit.path for commit in old]
+
     def publish(self, database: str, layer: str, table: str) -> bool:
         """Expose a table's current content as ``database.table`` in the catalog."""
         commits = self.visible(layer, table)
@@ -228,11 +248,14 @@ class Lake:
             return False
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
         columns = _united([commit.schema for commit in commits]).names
-        selects = []
+        by_columns: dict[tuple[str, ...], list[str]] = {}
         for commit in commits:
-            held = set(commit.schema.names)
+            by_columns.setdefault(tuple(commit.schema.names), []).append(commit.path)
+        selects = []
+        for held, paths in by_columns.items():
             cells = [_quoted(c) if c in held else f"NULL AS {_quoted(c)}" for c in columns]
-            selects.append(f"SELECT {', '.join(cells)} FROM parquet.{_quoted(commit.path)}")
+            folders = _quoted(self._glob(paths))
+            selects.append(f"SELECT {', '.join(cells)} FROM parquet.{folders}")
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {_quoted(database)}.{_quoted(table)} AS "
             + " UNION ALL ".join(selects)

@@ -36,6 +36,7 @@ class Context:
     quarantine: str | None = None
     source_database: str = "source"
     consumption_database: str = "consumption"
+    keep_snapshots: int | None = None
     moment: datetime = field(default_factory=utc_now)
     parameters: Mapping[str, Any] = field(default_factory=dict)
     source_tables: Sequence[str] = ()

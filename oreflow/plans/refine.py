@@ -12,14 +12,14 @@ from pyspark.sql import types as T
 
 from oreflow.contracts import Contract, TableSpec
 from oreflow.functions.columns import ARRIVAL_ORDER, AUDIT_COLUMNS, lookup, named, row_struct
-from oreflow.operators.dedup import first_wins, latest_per_key, unseen_keys
+from oreflow.operators.dedup import first_per_key, latest_per_key, text_key
 from oreflow.operators.mapping import instant, stamp
 from oreflow.operators.merge import INSERTED_AT, scd1_merge, split_conflicts, upsert
 from oreflow.operators.quality import REASON, REASONS, RECORD, REJECTED, check_rows
 from oreflow.operators.watermark import beyond_marks, lookback_start
-from oreflow.plans.ingest import raw_commits, version_number
+from oreflow.plans.ingest import raw_commits
 from oreflow.plans.lake import Commit, Lake
-from oreflow.session import scratch_folder
+from oreflow.session import drop_folder, scratch_folder
 
 if TYPE_CHECKING:
     from oreflow.plans.pipeline import Context
@@ -44,7 +44,11 @@ def load_table(
     context: Context,
     transform: Callable[[DataFrame, Context], DataFrame] | None = None,
 ) -> tuple[int, int]:
-    """Take the Raw runs this table has not seen; returns (valid rows, rejected rows)."""
+    """Take the Raw runs this table has not seen; returns (valid rows, rejected rows).
+
+    ``transform`` sees the valid rows before the merge and must keep the columns
+    it does not change.
+    """
     tag = f"{spec.name}:{spec.source_table}@"
     commits = raw_commits(lake, spec.source_table)
     taken = lake.consumed_runs("persistent", spec.target_table)
@@ -52,17 +56,16 @@ def load_table(
     if not any(c.rows for c in new):
         return 0, 0
     again = _lookback(commits, new, contract, spec, context)
-    older = [c for c in commits if c not in new and c not in again]
-    rows = lake.read_commits([*again, *new])
-    if spec.deduplicate_by:
-        rows = first_wins(rows, spec.deduplicate_by, ARRIVAL_ORDER)
-        if spec.dedup_scope == "history" and older:
-            rows = unseen_keys(rows, lake.read_commits(older), spec.deduplicate_by)
+    older = lake.read_commits([c for c in commits if c not in new and c not in again])
     state = lake.read("persistent", spec.target_table)
-    rows = _beyond_watermark(rows, state, contract, spec)
+    checked = _check(lake.read_commits([*again, *new]), spec)
+    if spec.deduplicate_by:
+        checked = _deduplicate(checked, older if spec.dedup_scope == "history" else None, spec)
+    checked = _beyond_watermark(checked, state, contract, spec)
 
+    folder = scratch_folder(lake.spark, f"checked-{spec.target_table}-{context.run_id}")
+    valid, rejected = _stage(lake, checked, folder)
     new_runs = [c.run_id for c in new]
-    valid, rejected = _stage(lake, rows, spec, context)
     rejected = rejected.where(F.col(RAW_RUN).isin(new_runs))
     valid_count, rejected_count = valid.count(), rejected.count()
 
@@ -83,12 +86,15 @@ def load_table(
     consumed = [tag + run for run in new_runs]
     done = _write_target(lake, spec, context, incoming, state, schema, consumed)
     bad = lake.write_part("persistent", spec.rejects_table, context.run_id, quarantined)
-    lake.record([done, bad] if bad.rows else [done])
     if rejected_count:
         write_quarantine_json(rejected, spec, context)
     if spec.watermark_column:
         _advance_watermark(lake, spec, valid)
-    return valid_count, rejected_count
+    lake.record([done, bad] if bad.rows else [done])
+    drop_folder(lake.spark, folder)
+    if context.keep_snapshots:
+        lake.expire_snapshots("persistent", spec.target_table, context.keep_snapshots)
+    return valid_count - (bad.rows - rejected_count), bad.rows
 
 
 def _lookback(
@@ -106,50 +112,62 @@ def _lookback(
     return [c for c in commits if c not in new and (c.arrival_date or "") >= start]
 
 
+def _check(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Map and check every Raw row, keeping what later steps need beside it.
+
+    Checks look at one row only, so they come before the dedup: its shuffle then
+    moves the mapped columns, and complete raw rows only for rejects.
+    """
+    extra = {
+        ARRIVAL: F.struct(*[named(name) for name in ARRIVAL_ORDER]),
+        RAW_RUN: F.col("run_id"),
+        "__file": F.col("source_file_name"),
+        "__modified": F.col("source_file_modified_ts"),
+    }
+    extra |= {mark: text_key(rows, name) for mark, name in _key_marks(spec).items()}
+    return check_rows(rows.withColumns(extra), spec, list(extra))
+
+
+def _key_marks(spec: TableSpec) -> dict[str, str]:
+    return {f"__key_{i}": name for i, name in enumerate(spec.deduplicate_by)}
+
+
+def _deduplicate(checked: DataFrame, older: DataFrame | None, spec: TableSpec) -> DataFrame:
+    """First row per raw key, of this load and of the earlier ones."""
+    marks = _key_marks(spec)
+    first = first_per_key(checked, [F.col(mark) for mark in marks], [F.col(ARRIVAL)])
+    if older is not None:
+        seen = older.select(*[text_key(older, name).alias(mark) for mark, name in marks.items()])
+        first = first.join(seen.distinct(), list(marks), "left_anti")
+    return first
+
+
 def _beyond_watermark(
-    rows: DataFrame, state: DataFrame | None, contract: Contract, spec: TableSpec
+    checked: DataFrame, state: DataFrame | None, contract: Contract, spec: TableSpec
 ) -> DataFrame:
     """Rows of new accounts and newer versions, where the contract keeps marks per account.
 
     The committed Persistent table holds the highest version of every account
-    that passed all layers, so it is the watermark.  Rows of an equal version
-    stay in while conflicts are to be found.
+    that passed all layers, so it is the watermark.  Rejected rows stay, and
+    rows of an equal version while conflicts are to be found.
     """
     key, version = contract.raw.watermark_key, contract.raw.watermark_version
-    columns = {c.source.lower(): c for c in spec.columns}
     if not key or not version or state is None or spec.update_mode != "scd1":
-        return rows
-    key_spec, version_spec = columns.get(key.lower()), columns.get(version.lower())
-    if not key_spec or not version_spec or spec.keys != (key_spec.name,):
-        return rows
-    if key_spec.data_type != T.StringType() or spec.version_column != version_spec.name:
-        return rows
-    marks = state.select(
-        named(key_spec.name).alias("__account"), named(version_spec.name).alias("mark")
+        return checked
+    by_source = {c.source.lower(): c.name for c in spec.columns}
+    key, version = by_source.get(key.lower()), by_source.get(version.lower())
+    if spec.keys != (key,) or spec.version_column != version:
+        return checked
+    marks = state.select(named(key).alias("__account"), named(version).alias("mark"))
+    judged = F.when(~F.col(REJECTED), named(version)).otherwise(F.lit(2**63 - 1))
+    rows = checked.withColumn("__account", named(key))
+    return beyond_marks(rows, marks, ["__account"], judged, spec.quarantine_conflicts).drop(
+        "__account"
     )
-    marked = rows.withColumn("__account", lookup(rows, key))
-    number = version_number(rows, version)
-    # Rows without a usable version are for the checks to reject.
-    number = F.coalesce(number, F.lit(2**63 - 1))
-    kept = beyond_marks(marked, marks, ["__account"], number, spec.quarantine_conflicts)
-    return kept.drop("__account")
-
-
-def _stage(
-    lake: Lake, rows: DataFrame, spec: TableSpec, context: Context
-) -> tuple[DataFrame, DataFrame]:
-    """Check the rows once and write them split by outcome, so neither side is recomputed."""
-    rows = rows.withColumns(
-        {
-            ARRIVAL: F.struct(*[named(name) for name in ARRIVAL_ORDER]),
-            RAW_RUN: F.col("run_id"),
-            "__file": F.col("source_file_name"),
-            "__modified": F.col("source_file_modified_ts"),
-        }
-    )
-    carried = [ARRIVAL, RAW_RUN, "__file", "__modified"]
-    checked = check_rows(rows, spec, carried)
-    folder = scratch_folder(lake.spark, f"checked-{spec.target_table}-{context.run_id}")
+
+
+def _stage(lake: Lake, checked: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Write checked rows once, split by outcome, so that neither side is recomputed."""
     checked.write.partitionBy(REJECTED).parquet(folder)
     staged = lake.spark.read.schema(checked.schema).parquet(folder)
     return staged.where(~F.col(REJECTED)), staged.where(F.col(REJECTED))

@@ -192,7 +192,8 @@ def landed_rows(spark: SparkSession, folder: str, spec: LandingSpec, known=()) -
     scanned = csv.scan(spark, found, spec, known)
     landed = scratch_folder(spark, "landed")
     scanned.write.parquet(landed)
-    return csv.number_rows(spark.read.schema(scanned.schema).parquet(landed), found)
+    rows = spark.read.schema(scanned.schema).parquet(landed)
+    return csv.number_rows(rows, found, scratch_folder(spark, "splits"))
 
 
 @query(

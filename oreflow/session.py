@@ -16,6 +16,8 @@ ENGINE_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+SCRATCH = "oreflow"
+
 
 def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -37,4 +39,10 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="oreflow-")
-    return f"{base.rstrip('/')}/oreflow/{label}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{SCRATCH}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder this engine wrote, on whatever file system it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -154,23 +154,19 @@ def split_table(landed: DataFrame) -> DataFrame:
     return splits.withColumn("__before", F.coalesce(F.sum("__count").over(before), F.lit(0)))
 
 
-def number_rows(landed: DataFrame, files: DataFrame | None = None) -> DataFrame:
-    """Add ``source_row_number`` (and the row of ``files`` as a struct) to written landing rows.
+def number_rows(landed: DataFrame, files: DataFrame, folder: str) -> DataFrame:
+    """Add ``source_row_number`` and the file's facts to written landing rows.
 
     ``landed`` must be read back from a written table, so that the running ids
-    seen by the count and by the join are the same.
+    seen by the count and by the join are the same.  The split table goes to
+    ``folder``; it is copied to the executors only up to a checked size.
     """
-    splits = split_table(landed)
-    if files is not None:
-        entries = files.select(F.col("uri").alias(URI), F.struct(*FILE_FACTS).alias(FILE))
-        splits = splits.join(entries, URI)
-    splits = splits.drop("__count")
-    if _split_count(landed) <= COPIED_SPLITS:
+    facts = files.select(F.col("uri").alias(URI), F.struct(*FILE_FACTS).alias(FILE))
+    table = split_table(landed).drop("__count").join(facts, URI)
+    table.write.parquet(folder)
+    splits = landed.sparkSession.read.schema(table.schema).parquet(folder)
+    if splits.count() <= COPIED_SPLITS:
         splits = F.broadcast(splits)
-    numbered = landed.join(splits, [URI, BLOCK])
     position = F.col("__before") + (F.col(RECORD) - F.col("__first")) + 1
+    numbered = landed.join(splits, [URI, BLOCK])
     return numbered.withColumn("source_row_number", position).drop("__before", "__first")
-
-
-def _split_count(landed: DataFrame) -> int:
-    return landed.select(URI, BLOCK).distinct().count()

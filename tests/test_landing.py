@@ -18,7 +18,8 @@ def landed(spark, folder, spec=LandingSpec(), known=(), **hashing):
     scanned = csv.scan(spark, found, spec, known)
     path = scratch_folder(spark, "landed")
     scanned.write.parquet(path)
-    return csv.number_rows(spark.read.schema(scanned.schema).parquet(path), found)
+    rows = spark.read.schema(scanned.schema).parquet(path)
+    return csv.number_rows(rows, found, scratch_folder(spark, "splits"))
 
 
 def values(df, *columns):

@@ -1,6 +1,7 @@
 """Whole runs over small feeds."""
 
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,8 +164,10 @@ def test_bucketed_snapshots_merge_the_same(spark, make_context, buckets):
     put(make_context.landing, "a.csv", "customer_id,name,email\n1,Ada,\n2,Bob,\n")
     run_pipeline(spark, contract, make_context("run-1"))
     put(make_context.landing, "b.csv", "customer_id,name,email\n2,Ben,\n3,Cyd,\n")
-    done = run_pipeline(spark, contract, make_context("run-2"))
+    done = run_pipeline(spark, contract, make_context("run-2", keep_snapshots=1))
     table = done.lake.read("persistent", "customers")
+    old, current = done.lake.commits("persistent", "customers")
+    assert not Path(old.path).exists() and Path(current.path).exists()
     assert rows(table, "customer_id", "name") == [(1, "Ada"), (2, "Ben"), (3, "Cyd")]
 
 
