@@ -230,6 +230,8 @@ def _landing(section: Mapping[str, Any], source: Mapping[str, Any]) -> LandingSp
     if checksum != "sha256":
         raise ValueError(f"file checksum {checksum!r} is not supported, only sha256")
     encoding = str(source.get("encoding", "UTF-8")).upper().replace("_", "-")
+    if encoding.startswith(("UTF-16", "UTF-32")):
+        raise ValueError(f"encoding {encoding!r} is not supported: line breaks must be one byte")
     return LandingSpec(
         pattern=section.get("pattern")
         or section.get("file_pattern")

@@ -19,6 +19,18 @@ from oreflow.operators.dedup import latest_per_key
 
 INSERTED_AT = "latest_insert_datetime"
 
+KEY_PARTS = 16
+
+
+def key_part() -> Column:
+    """Part of the input a row lies in, to reduce a key per part and not to one row.
+
+    Copies of a hot key are then merged before the shuffle, yet the join that
+    follows shuffles both of its sides itself.  Adaptive execution splits a hot
+    key only then; behind a full aggregation of the keys it would not.
+    """
+    return F.spark_partition_id() % KEY_PARTS
+
 
 def _choose(
     target: DataFrame, incoming: DataFrame, keys: Sequence[str], take_incoming: Column, kept: Sequence[str]
@@ -84,36 +96,42 @@ def append(target: DataFrame, incoming: DataFrame) -> DataFrame:
     return target.unionByName(incoming, allowMissingColumns=True)
 
 
-def conflicting_versions(
-    incoming: DataFrame, keys: Sequence[str], version: str, compared: Sequence[str], current: DataFrame | None = None
-) -> DataFrame:
-    """(keys, version) pairs that occur with more than one record content.
+def split_conflicts(
+    incoming: DataFrame,
+    keys: Sequence[str],
+    version: str,
+    compared: Sequence[str],
+    current: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows safe to merge, rows whose version also exists with other content).
 
-    Only a count's worth of state per pair is shuffled (lowest and highest
-    hash), so many copies of one record cost one row per task.
+    Each (keys, version) is reduced to the lowest and highest record hash per
+    part; a row is in conflict when one of them differs from its own hash.
     """
     by = [*keys, version]
-    rows = incoming.select(*[named(n) for n in by], record_hash(compared).alias("__hash"))
+    hashed = incoming.withColumn("__hash", record_hash(compared))
+    seen = hashed.select(*[named(n) for n in by], "__hash")
     if current is not None:
         held = current.select(*[named(n) for n in by], record_hash(compared).alias("__hash"))
-        rows = rows.unionByName(held)
-    grouped = rows.groupBy(*by).agg(F.min("__hash").alias("__low"), F.max("__hash").alias("__high"))
-    return grouped.where(F.col("__low") != F.col("__high")).select(*by)
-
-
-def split_conflicts(
-    incoming: DataFrame, keys: Sequence[str], version: str, compared: Sequence[str], current: DataFrame | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(rows safe to merge, rows of a conflicting version)."""
-    clashes = conflicting_versions(incoming, keys, version, compared, current)
-    by = [*keys, version]
-    return incoming.join(clashes, by, "left_anti"), incoming.join(clashes, by, "left_semi")
+        seen = seen.unionByName(held)
+    ends = (
+        seen.withColumn("__part", key_part())
+        .groupBy(*[named(n) for n in by], "__part")
+        .agg(F.min("__hash").alias("__low"), F.max("__hash").alias("__high"))
+        .drop("__part")
+    )
+    rows, ends = hashed.alias("r"), ends.alias("e")
+    clash = (F.col("e.__low") != F.col("r.__hash")) | (F.col("e.__high") != F.col("r.__hash"))
+    for name in by:
+        clash = clash & (named(name, "r") == named(name, "e"))
+    sound = rows.join(ends, clash, "left_anti").drop("__hash")
+    return sound, rows.join(ends, clash, "left_semi").drop("__hash")
 
 
 def absent_keys(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Incoming rows whose key is not in ``existing`` yet (read for its keys only)."""
-    held = existing.select(*[named(key) for key in keys]).distinct()
-    return incoming.join(held, list(keys), "left_anti")
+    held = existing.select(*[named(key) for key in keys], key_part().alias("__part")).distinct()
+    return incoming.join(held.drop("__part"), list(keys), "left_anti")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -32,8 +32,9 @@ def beyond_marks(
 ) -> DataFrame:
     """Rows of new keys, and rows above their key's mark.
 
-    ``marks`` is unique per key, so the join keeps the row count; a hot key in
-    ``df`` is a skewed left side, which adaptive execution splits.
+    ``marks`` is unique per key, so the join keeps the row count.  Read it from
+    the table it was stored in: a hot key in ``df`` is then a skewed left side
+    that adaptive execution splits, which it does not do beside an aggregate.
     """
     value = named(version) if isinstance(version, str) else version
     joined = df.withColumn("__version", value).join(marks, list(keys), "left")

@@ -70,7 +70,8 @@ def land(lake: Lake, contract: Contract, context: Context) -> tuple[int, int]:
     scratch = scratch_folder(spark, f"landing-{context.run_id}")
     folder = f"{scratch}/files"
     # Written once: hashing reads every byte and must not be repeated.
-    files.new_files(files.fingerprint(listed), ledger).write.parquet(folder)
+    found = files.fingerprint(listed, encoding=landing.encoding)
+    files.new_files(found, ledger).write.parquet(folder)
     fresh = spark.read.schema(files.FILES_SCHEMA).parquet(folder)
     if fresh.isEmpty():
         drop_folder(spark, scratch)

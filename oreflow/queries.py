@@ -272,6 +272,32 @@ def schema_contract(spark: SparkSession, folder: str) -> DataFrame:
     return numbered.select("conv_id", "turn", F.col(csv.REJECT).alias("reason"))
 
 
+@query(
+    """
+SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS month, 1 AS deliveries FROM orders
+WHERE o_orderdate >= TIMESTAMP '1998-01-01'
+"""
+)
+def landing_discovery(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of a second delivery, after the first was loaded; its copies are skipped."""
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_custkey", month.alias("month"))
+    landing = scratch_folder(spark, "csv")
+
+    def deliver(delivery: DataFrame, name: str) -> DataFrame:
+        monthly = delivery.repartition("month").sortWithinPartitions("month", "o_orderkey")
+        writer = monthly.write.partitionBy("month").option("header", True)
+        writer.csv(f"{landing}/{name}")
+        return files.fingerprint(files.list_files(spark, f"{landing}/*/*", "*.csv"))
+
+    earlier = rows.where(F.col("month") < "1998-01")
+    ledger = scratch_folder(spark, "ledger")
+    deliver(earlier, "first").select("checksum").write.parquet(ledger)
+    found = files.new_files(deliver(rows, "second"), spark.read.parquet(ledger))
+    delivered = F.regexp_extract("path", "month=([0-9-]+)", 1).alias("month")
+    return found.groupBy(delivered).agg(F.count(F.lit(1)).cast("int").alias("deliveries"))
+
+
 # --- Raw -------------------------------------------------------------------------
 
 
@@ -945,8 +971,11 @@ WHERE m.mark IS NULL OR e.ts > m.mark
 )
 def watermark_per_key(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type")
-    marks = watermark.marks_per_key(rows.where("event_type = 'purchase'"), ["user_id"], "ts")
-    return watermark.beyond_marks(rows.drop("event_type"), marks, ["user_id"], "ts")
+    marks = scratch_folder(spark, "marks")
+    bought = rows.where("event_type = 'purchase'")
+    watermark.marks_per_key(bought, ["user_id"], "ts").write.parquet(marks)
+    stored = spark.read.parquet(marks)
+    return watermark.beyond_marks(rows.drop("event_type"), stored, ["user_id"], "ts")
 
 
 @query("SELECT user_id, max(ts) AS mark FROM events GROUP BY user_id")

@@ -3,7 +3,7 @@
 Spark applies one schema by position to all files of a read, so files are read
 in groups of equal header and united by name.  A file without any quote cannot
 hold a line break inside a cell and is read line by line, in splits; other files
-are parsed as a whole.
+are parsed as a whole, unless the contract declares ``multi_line: false``.
 
 Row numbers need the count of records before each split.  They are counted on
 the *written* landing rows: ``scan`` marks every record with its split and a
@@ -114,7 +114,7 @@ def scan(
     configured with them.  The result is to be written once before it is used.
     """
     if spec.multi_line is None:
-        whole = F.col("has_quote")
+        whole = ~F.col("splittable")
     else:
         whole = F.lit(bool(spec.multi_line))
     groups = (

@@ -5,24 +5,33 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import sys
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Send this module's functions along with the task: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Up to this size a file is hashed inside the JVM in one piece (one row of the
 # binary file source); larger files are read in chunks by a Python task.
 WHOLE_FILE_BYTES = 128 * 1024 * 1024
 CHUNK_BYTES = 8 * 1024 * 1024
 
+# A file that holds none of these has one record on every line that is not blank:
+# no cell can hold a line break, and no line consists of blanks only.
+WHOLE_FILE_MARKS = ('"', "\n ", "\n\t", "\r ", "\r\t")
+
 SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 FILES_SCHEMA = (
     "path string, uri string, name string, size long, modified timestamp, "
-    "checksum string, header string, has_quote boolean"
+    "checksum string, header string, splittable boolean"
 )
 
 
@@ -59,9 +68,15 @@ def content_checksum(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
-def fingerprint(files: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
-    """Add checksum, header line and whether a quote occurs at all; drop the content."""
+def fingerprint(
+    files: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES, encoding: str = "UTF-8"
+) -> DataFrame:
+    """Add checksum, header line and whether lines can be read on their own; drop the content."""
     text = F.col("content").cast("string")
+    held = F.lit(False)
+    for mark in WHOLE_FILE_MARKS:
+        held = held | text.contains(mark)
+    header = text if encoding == "UTF-8" else F.decode("content", encoding)
     small = files.where(F.col("size") <= whole_file_bytes).select(
         "path",
         "uri",
@@ -69,39 +84,42 @@ def fingerprint(files: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) -> D
         "size",
         "modified",
         content_checksum(F.col("content")).alias("checksum"),
-        F.substring_index(text, "\n", 1).alias("header"),
-        (F.instr(text, '"') > 0).alias("has_quote"),
+        F.substring_index(header, "\n", 1).alias("header"),
+        (~held).alias("splittable"),
     )
     large = files.where(F.col("size") > whole_file_bytes).drop("content")
     count = large.count()  # listing only: the content column is pruned
     if count == 0:
         return small
-    streamed = large.repartition(count, "path").mapInPandas(_fingerprint_streams, FILES_SCHEMA)
-    return small.unionByName(streamed)
 
+    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [_read_through(path, encoding) for path in batch["path"]]
+            columns = pd.DataFrame(
+                found, columns=["checksum", "header", "splittable"], index=batch.index
+            )
+            yield pd.concat([batch, columns], axis=1)
 
-def _fingerprint_streams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        found = [_read_through(path) for path in batch["path"]]
-        columns = pd.DataFrame(
-            found, columns=["checksum", "header", "has_quote"], index=batch.index
-        )
-        yield pd.concat([batch, columns], axis=1)
+    streamed = large.repartition(count, "path").mapInPandas(stream, FILES_SCHEMA)
+    return small.unionByName(streamed)
 
 
-def _read_through(path: str) -> tuple[str, str, bool]:
-    """Checksum, first line and quote flag of one file of any size, in constant memory."""
+def _read_through(path: str, encoding: str) -> tuple[str, str, bool]:
+    """Checksum, first line and split flag of one file of any size, in constant memory."""
     digest = hashlib.sha256()
-    first_line, line_ended, has_quote = b"", False, False
+    marks = [mark.encode() for mark in WHOLE_FILE_MARKS]
+    first_line, line_ended, splittable, last = b"", False, True, b""
     with _open(path) as stream:
         while chunk := stream.read(CHUNK_BYTES):
             digest.update(chunk)
-            has_quote = has_quote or b'"' in chunk
+            seen = last + chunk  # a mark may straddle two chunks
+            splittable = splittable and not any(mark in seen for mark in marks)
+            last = chunk[-1:]
             if not line_ended:
                 head, newline, _ = chunk.partition(b"\n")
                 first_line += head
                 line_ended = bool(newline)
-    return digest.hexdigest(), first_line.decode("utf-8", "replace"), has_quote
+    return digest.hexdigest(), first_line.decode(encoding, "replace"), splittable
 
 
 def _open(path: str):

@@ -42,17 +42,17 @@ def test_discovery_lists_only_the_folder_itself(spark, tmp_path):
 
 @pytest.mark.parametrize("whole_file_bytes", [10**9, 0])
 def test_fingerprint_in_one_piece_and_streamed(spark, tmp_path, whole_file_bytes):
-    texts = {"a b.csv": 'x,"y"\n1,2\n', "b.csv": "p,q\r\n3,4", "long.csv": "a" * 10_000}
+    texts = {"a b.csv": 'x,"y"\n1,2\n', "b.csv": "p,q\r\n3,4", "long.csv": "a" * 10_000, "c.csv": "p\n \n"}
     for name, text in texts.items():
         (tmp_path / name).write_bytes(text.encode())
     listed = files.list_files(spark, str(tmp_path), "*.csv")
     found = {r["name"]: r for r in files.fingerprint(listed, whole_file_bytes).collect()}
-    assert len(found) == 3
+    assert len(found) == 4
     for name, text in texts.items():
         assert found[name]["checksum"] == hashlib.sha256(text.encode()).hexdigest()
         assert found[name]["size"] == len(text)
         assert found[name]["header"].rstrip("\r") == text.split("\n")[0].rstrip("\r")
-        assert found[name]["has_quote"] == ('"' in text)
+        assert found[name]["splittable"] == ('"' not in text and "\n " not in text)
 
 
 def test_dialect(spark, tmp_path):
@@ -146,6 +146,22 @@ def test_other_delimiter_and_declared_line_mode(spark, tmp_path):
     assert values(landed(spark, tmp_path, spec), "a", "b") == [("1", "2;3")]
 
 
+def test_lines_of_blanks_are_records(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("a,b\n1,2\n  \n\n3,4\n")
+    (tmp_path / "g.csv").write_text("a\n \nx\n")
+    assert values(landed(spark, tmp_path), "a", "b", "source_row_number") == [
+        ("1", "2", 1), ("  ", None, 2), ("3", "4", 3), (" ", None, 1), ("x", None, 2),
+    ]
+
+
+def test_latin1(spark, tmp_path):
+    (tmp_path / "f.csv").write_bytes("größe,b\né,2\n".encode("latin-1"))
+    spec = LandingSpec(encoding="ISO-8859-1")
+    for limit in (10**9, 0):
+        rows = landed(spark, tmp_path, spec, whole_file_bytes=limit, encoding="ISO-8859-1")
+        assert values(rows, "größe", "b") == [("é", "2")]
+
+
 def test_ledger_and_manifest(spark):
     schema = "path string, size long, modified long, checksum string"
     now = spark.createDataFrame(
