@@ -26,7 +26,7 @@ def refresh(lake: Lake, item: ConsumptionSpec, contract: Contract, context: Cont
     """
     publish_sources(lake, contract, context)
     database = context.consumption_database
-    lake.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    lake.create_database(database)
     if item.mapping:
         result = lake.spark.sql(_statement(item.mapping))
         commit = lake.write_snapshot("consumption", item.table, context.run_id, result)
@@ -53,7 +53,7 @@ def run_statements(lake: Lake, text: str) -> None:
     """One statement, or several as a Spark SQL script."""
     body = _statement(text)
     if ";" in body:
-        body = f"BEGIN\n{body};\nEND"
+        body = f"BEGIN\n{body}\n;\nEND"
     lake.spark.sql(body)
 
 

@@ -126,7 +126,7 @@ class Lake:
 
     def _bucket_table(self, folder: str) -> str:
         """Catalog name of a bucketed folder (a pointer; the folder is the table)."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {BUCKET_DATABASE}")
+        self.create_database(BUCKET_DATABASE)
         return f"{BUCKET_DATABASE}.t_{folder.rsplit('/', 1)[-1]}"
 
     def _read_bucketed(self, commit: Commit) -> DataFrame:
@@ -222,6 +222,11 @@ class Lake:
         """Raw runs already taken into a table."""
         return {run for commit in self.commits(layer, table) for run in commit.consumed_runs}
 
+    def create_database(self, name: str) -> None:
+        """A catalog database whose own tables, if any, lie in the lake."""
+        folder = f"{self.root}/catalog/{name}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)} LOCATION '{folder}'")
+
     def _glob(self, paths: Sequence[str]) -> str:
         """One path expression for many folders."""
         if len(paths) == 1:
@@ -246,7 +251,7 @@ class Lake:
         commits = self.visible(layer, table)
         if not commits:
             return False
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
+        self.create_database(database)
         columns = _united([commit.schema for commit in commits]).names
         by_columns: dict[tuple[str, ...], list[str]] = {}
         for commit in commits:

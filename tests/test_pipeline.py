@@ -432,7 +432,7 @@ def test_consumption_sql_script_and_file(spark, make_context, tmp_path):
     put(make_context.landing, "customers.csv", "customer_id,name,email\n1,Ada,a@x\n2,Bob,b;x\n")
     script = (
         "DROP TABLE IF EXISTS names_a; "
-        "CREATE TABLE names_a AS SELECT name FROM source.customers WHERE email = 'b;x';"
+        "CREATE TABLE names_a AS SELECT name FROM source.customers WHERE email = 'b;x' -- last"
     )
     query = tmp_path / "query.sql"
     query.write_text(script.replace("names_a", "names_b"), encoding="utf-8")
