@@ -13,9 +13,8 @@ if TYPE_CHECKING:
 
 def publish_sources(lake: Lake, contract: Contract, context: Context) -> None:
     """Persistent tables (and their quarantines) as ``source.<table>``."""
-    for spec in contract.persistent:
-        lake.publish(context.source_database, "persistent", spec.target_table)
-        lake.publish(context.source_database, "persistent", spec.rejects_table)
+    tables = [name for spec in contract.persistent for name in (spec.target_table, spec.rejects_table)]
+    lake.publish(context.source_database, "persistent", *tables)
 
 
 def refresh(lake: Lake, item: ConsumptionSpec, contract: Contract, context: Context) -> None:

@@ -173,11 +173,11 @@ class Lake:
             ],
         )
 
-    def commits(self, layer: str, table: str) -> list[Commit]:
-        """Visible folders of a table, oldest first (driver metadata, one row per run)."""
+    def commits(self, layer: str, *tables: str) -> list[Commit]:
+        """Written folders of the tables, oldest first (driver metadata, one row per run)."""
         found = (
             self.control.read("commits")
-            .where((F.col("layer") == layer) & (F.col("table_name") == table))
+            .where((F.col("layer") == layer) & F.col("table_name").isin(*tables))
             .orderBy("committed_at", "path")
             .collect()
         )
@@ -200,10 +200,8 @@ class Lake:
         return commits
 
     def visible(self, layer: str, table: str) -> list[Commit]:
-        """Folders that make up the table now: the last snapshot and later parts."""
-        commits = self.commits(layer, table)
-        starts = [i for i, commit in enumerate(commits) if commit.kind == "snapshot"]
-        return commits[starts[-1] :] if starts else commits
+        """Folders that make up the table now."""
+        return visible_part(self.commits(layer, table))
 
     def read_commits(self, commits: Sequence[Commit]) -> DataFrame | None:
         """Rows of the given folders, united by column name; None without folders."""
@@ -246,12 +244,16 @@ class Lake:
             drop_folder(self.spark, commit.path)
         return [commit.path for commit in old]
 
-    def publish(self, database: str, layer: str, table: str) -> bool:
-        """Expose a table's current content as ``database.table`` in the catalog."""
-        commits = self.visible(layer, table)
-        if not commits:
-            return False
+    def publish(self, database: str, layer: str, *tables: str) -> None:
+        """Expose the current content of tables as ``database.table`` in the catalog."""
         self.create_database(database)
+        commits = self.commits(layer, *tables)
+        for table in tables:
+            held = visible_part([c for c in commits if c.table == table])
+            if held:
+                self._publish(database, table, held)
+
+    def _publish(self, database: str, table: str, commits: Sequence[Commit]) -> None:
         columns = _united([commit.schema for commit in commits]).names
         by_columns: dict[tuple[str, ...], list[str]] = {}
         for commit in commits:
@@ -265,7 +267,12 @@ class Lake:
             f"CREATE OR REPLACE VIEW {_quoted(database)}.{_quoted(table)} AS "
             + " UNION ALL ".join(selects)
         )
-        return True
+
+
+def visible_part(commits: Sequence[Commit]) -> list[Commit]:
+    """Of a table's commits the last snapshot and the parts appended after it."""
+    starts = [i for i, commit in enumerate(commits) if commit.kind == "snapshot"]
+    return list(commits[starts[-1] :] if starts else commits)
 
 
 def _unique() -> str:

@@ -18,7 +18,7 @@ from oreflow.operators.merge import INSERTED_AT, scd1_merge, split_conflicts, up
 from oreflow.operators.quality import REASON, REASONS, RECORD, REJECTED, check_rows
 from oreflow.operators.watermark import beyond_marks, lookback_start
 from oreflow.plans.ingest import raw_commits
-from oreflow.plans.lake import Commit, Lake
+from oreflow.plans.lake import Commit, Lake, visible_part
 from oreflow.session import drop_folder, scratch_folder
 
 if TYPE_CHECKING:
@@ -51,13 +51,15 @@ def load_table(
     """
     tag = f"{spec.name}:{spec.source_table}@"
     commits = raw_commits(lake, spec.source_table)
-    taken = lake.consumed_runs("persistent", spec.target_table)
+    history = lake.commits("persistent", spec.target_table)
+    taken = {run for commit in history for run in commit.consumed_runs}
     new = [c for c in commits if tag + c.run_id not in taken]
     if not any(c.rows for c in new):
         return 0, 0
     again = _lookback(commits, new, contract, spec, context)
     older = lake.read_commits([c for c in commits if c not in new and c not in again])
-    state = lake.read("persistent", spec.target_table)
+    held = visible_part(history)
+    state = lake.read_commits(held)
     checked = _check(lake.read_commits([*again, *new]), spec)
     if spec.deduplicate_by:
         checked = _deduplicate(checked, older if spec.dedup_scope == "history" else None, spec)
@@ -74,7 +76,8 @@ def load_table(
         incoming = transform(incoming, context)
     schema = incoming.drop(ARRIVAL, RAW_RUN).schema
     quarantined = _mapped_only(rejected, spec, context)
-    if spec.update_mode == "scd1" and spec.quarantine_conflicts:
+    conflicts = spec.update_mode == "scd1" and spec.quarantine_conflicts
+    if conflicts:
         compared = [c.name for c in spec.columns]
         incoming, clashes = split_conflicts(
             incoming, spec.keys, spec.version_column, compared, state
@@ -84,17 +87,21 @@ def load_table(
         quarantined = quarantined.unionByName(clashes)
 
     consumed = [tag + run for run in new_runs]
-    done = _write_target(lake, spec, context, incoming, state, schema, consumed)
-    bad = lake.write_part("persistent", spec.rejects_table, context.run_id, quarantined)
+    done = [_write_target(lake, spec, context, incoming, state, held, schema, consumed)]
+    bad_count = 0
+    if rejected_count or conflicts:
+        bad = lake.write_part("persistent", spec.rejects_table, context.run_id, quarantined)
+        bad_count = bad.rows
+        done += [bad] if bad.rows else []
     if rejected_count:
         write_quarantine_json(rejected, spec, context)
     if spec.watermark_column:
         _advance_watermark(lake, spec, valid)
-    lake.record([done, bad] if bad.rows else [done])
+    lake.record(done)
     drop_folder(lake.spark, folder)
     if context.keep_snapshots:
         lake.expire_snapshots("persistent", spec.target_table, context.keep_snapshots)
-    return valid_count - (bad.rows - rejected_count), bad.rows
+    return valid_count - (bad_count - rejected_count), bad_count
 
 
 def _lookback(
@@ -209,6 +216,7 @@ def _write_target(
     context: Context,
     incoming: DataFrame,
     state: DataFrame | None,
+    held: Sequence[Commit],
     schema: T.StructType,
     consumed: Sequence[str],
 ) -> Commit:
@@ -228,7 +236,6 @@ def _write_target(
         merged = scd1_merge(target, incoming, spec.keys, spec.version_column, [ARRIVAL], kept)
     else:
         merged = upsert(target, incoming, spec.keys, [ARRIVAL], kept)
-    held = lake.visible("persistent", table)
     clustered = len(held) == 1 and held[0].buckets == spec.buckets and held[0].keys == spec.keys
     return lake.write_snapshot(
         "persistent", table, run_id, merged, consumed, spec.keys, spec.buckets, clustered

@@ -1070,8 +1070,7 @@ def attached(spark: SparkSession, folder: str, text: str) -> tuple[Lake, Context
     lake = Lake(spark, root)
     names = sorted(set(re.findall(r"source\.(\w+)", text)))
     lake.attach("persistent", {name: f"{folder}/{name}.parquet" for name in names})
-    for name in names:
-        lake.publish("source", "persistent", name)
+    lake.publish("source", "persistent", *names)
     return lake, Context("run-1", f"{root}/landing", root)
 
 
