@@ -34,7 +34,7 @@ HEADLINES = (
     "consumption_sql_window",
     "csv_by_header_name",
     "csv_multiline_text",
-    "pipeline_custom_step",
+    "layers_custom_step",
 )
 
 

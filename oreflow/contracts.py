@@ -134,16 +134,6 @@ class Contract:
     consumption: tuple[ConsumptionSpec, ...] = ()
     quality: tuple[Check, ...] = field(default=())
 
-    @property
-    def raw_table(self) -> str:
-        """Raw table that landed files go to."""
-        table = self.landing.raw_table or self.raw.table
-        if not table and self.persistent:
-            table = self.persistent[0].source_table
-        if not table:
-            raise ValueError("the contract names no raw table")
-        return table
-
 
 def load_contract(path: str | Path) -> Contract:
     """Read a YAML contract; table files it refers to are found next to it."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.contracts import Contract, RawSpec
@@ -60,64 +60,87 @@ def stamp_files(numbered: DataFrame, context: Context) -> DataFrame:
     return stamp(lineage, context.run_id, context.environment, context.moment)
 
 
-def land(lake: Lake, contract: Contract, context: Context) -> tuple[int, int]:
-    """Load new files; returns (rows in Raw, rows in the landing and Raw quarantines)."""
+def land(lake: Lake, contract: Contract, context: Context) -> dict[str, tuple[int, int]]:
+    """Load new files; per table (rows in Raw, rows in the landing and Raw quarantines)."""
     spark, control, landing = lake.spark, lake.control, contract.landing
     listed = files.list_files(spark, context.landing, landing.pattern)
     if listed is None:
-        return 0, 0
+        return {}
     ledger = control.read("processed_file_ledger")
     scratch = scratch_folder(spark, f"landing-{context.run_id}")
-    folder = f"{scratch}/files"
     # Written once: hashing reads every byte and must not be repeated.
     found = files.fingerprint(listed, encoding=landing.encoding)
-    files.new_files(found, ledger).write.parquet(folder)
-    fresh = spark.read.schema(files.FILES_SCHEMA).parquet(folder)
-    if fresh.isEmpty():
+    files.new_files(found, ledger).write.parquet(f"{scratch}/files")
+    fresh = spark.read.schema(files.FILES_SCHEMA).parquet(f"{scratch}/files")
+    target = F.lit(landing.raw_table) if landing.raw_table else file_stem()
+    fresh = fresh.withColumn("source_table", target)
+    tables = [row[0] for row in fresh.select("source_table").distinct().collect()]
+    if not tables:
         drop_folder(spark, scratch)
-        return 0, 0
+        return {}
     _note_manifest(lake, fresh, context)
-
-    table = contract.raw_table
-    commits: list[Commit] = []
-    inserted = rejected = 0
-    scanned = csv.scan(spark, fresh, landing, contract.raw.columns)
-    if scanned is not None:
-        landed = _write_landed(lake, contract, context, scanned, commits, f"{scratch}/rows")
-        numbered = csv.number_rows(landed, fresh, f"{scratch}/splits")
-        stamped = stamp_files(numbered, context)
-        rows = stamped.where(named(csv.REJECT).isNull())
-        rows = rows.select(_raw_names(landed))
-        rows, raw_rejects = refine_raw(rows, contract.raw, raw_history(lake, table, contract.raw))
-        part = lake.write_part("raw", table, context.run_id, rows, context.arrival_date)
-        inserted = part.rows
-        commits.append(part)
-        if raw_rejects is not None:
-            part = lake.write_part("raw", contract.raw.quarantine_table, context.run_id, raw_rejects)
-            rejected += part.rows
-            commits.append(part)
-        if landing.checks_records:
-            bad = stamped.where(named(csv.REJECT).isNotNull())
-            bad = bad.select(
-                *_raw_names(landed),
-                named(csv.MALFORMED).alias("malformed_record"),
-                named(csv.REJECT).alias(REASON),
-            )
-            name = landing.quarantine_table or f"{table}__landing_quarantine"
-            part = lake.write_part("landing", name, context.run_id, bad)
-            rejected += part.rows
-            commits.append(part)
+    counts, commits = {}, []
+    for number, table in enumerate(sorted(tables)):
+        own = fresh.where(F.col("source_table") == table)
+        counts[table] = _land_table(
+            lake, contract, context, table, own, f"{scratch}/{number}", commits
+        )
     if commits:
         lake.record(commits)
     entries = fresh.select(
         "checksum",
-        F.lit(table).alias("source_table"),
+        "source_table",
         "path",
         instant(context.moment).alias("processed_at"),
         F.lit(context.run_id).alias("run_id"),
     )
     control.append("processed_file_ledger", files.ledger_rows(entries, ledger).coalesce(1))
     drop_folder(spark, scratch)
+    return counts
+
+
+def file_stem() -> Column:
+    """File name without its last suffix: the Raw table when the contract names none."""
+    return F.regexp_replace("name", r"(?<=.)\.[^.]*$", "")
+
+
+def _land_table(
+    lake: Lake,
+    contract: Contract,
+    context: Context,
+    table: str,
+    fresh: DataFrame,
+    scratch: str,
+    commits: list[Commit],
+) -> tuple[int, int]:
+    """Write one table's new files; ``commits`` takes what is to become visible."""
+    landing = contract.landing
+    raw = contract.raw if landing.raw_table or contract.raw.table == table else RawSpec()
+    scanned = csv.scan(lake.spark, fresh, landing, raw.columns)
+    if scanned is None:
+        return 0, 0
+    landed = _write_landed(lake, contract, context, table, scanned, commits, f"{scratch}/rows")
+    numbered = csv.number_rows(landed, fresh, f"{scratch}/splits")
+    stamped = stamp_files(numbered, context)
+    rows = stamped.where(named(csv.REJECT).isNull()).select(_raw_names(landed))
+    rows, raw_rejects = refine_raw(rows, raw, raw_history(lake, table, raw))
+    part = lake.write_part("raw", table, context.run_id, rows, context.arrival_date)
+    commits.append(part)
+    inserted, rejected = part.rows, 0
+    if raw_rejects is not None:
+        part = lake.write_part("raw", raw.quarantine_table, context.run_id, raw_rejects)
+        commits.append(part)
+        rejected += part.rows
+    if landing.checks_records:
+        bad = stamped.where(named(csv.REJECT).isNotNull()).select(
+            *_raw_names(landed),
+            named(csv.MALFORMED).alias("malformed_record"),
+            named(csv.REJECT).alias(REASON),
+        )
+        name = landing.quarantine_table or f"{table}__landing_quarantine"
+        part = lake.write_part("landing", name, context.run_id, bad)
+        commits.append(part)
+        rejected += part.rows
     return inserted, rejected
 
 
@@ -134,6 +157,7 @@ def _write_landed(
     lake: Lake,
     contract: Contract,
     context: Context,
+    table: str,
     scanned: DataFrame,
     commits: list[Commit],
     folder: str,
@@ -141,7 +165,7 @@ def _write_landed(
     """Parse the files exactly once, into the landing table or a scratch table."""
     landing = contract.landing
     if landing.preserve_source:
-        name = landing.landing_table or f"{contract.raw_table}__landing"
+        name = landing.landing_table or f"{table}__landing"
         part = lake.write_part("landing", name, context.run_id, scanned)
         commits.append(part)
         return lake.read_commits([part])
@@ -211,7 +235,7 @@ def latest_version(rows: DataFrame, keys: tuple[str, ...], version: str) -> Data
     return latest_per_key(numbered, keys, order).drop("__version")
 
 
-def version_number(df: DataFrame, version: str):
+def version_number(df: DataFrame, version: str) -> Column:
     text = lookup(df, version)
     return F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))
 

@@ -86,11 +86,13 @@ class Pipeline:
         self.control.processor(run_id, name, "SUCCEEDED", started, utc_now())
 
     def landing_to_raw(self) -> int:
-        table = self.contract.raw_table
+        run_id = self.context.run_id
         with self.processor("landing_to_raw"):
-            inserted, rejected = land(self.lake, self.contract, self.context)
-        self.control.rows(self.context.run_id, "landing_to_raw", "raw", table, inserted, rejected)
-        return inserted
+            counts = land(self.lake, self.contract, self.context)
+        nothing = {self.contract.landing.raw_table or "raw": (0, 0)}
+        for table, (inserted, rejected) in (counts or nothing).items():
+            self.control.rows(run_id, "landing_to_raw", "raw", table, inserted, rejected)
+        return sum(inserted for inserted, _ in counts.values())
 
     def raw_to_persistent(
         self,
@@ -115,7 +117,7 @@ class Pipeline:
 
     def persistent_to_consumption(self, only: Sequence[str] | None = None) -> list[str]:
         done = []
-        for item in selected(self.contract.consumption, only, lambda i: i.table or i.name):
+        for item in selected(self.contract.consumption, only, lambda i: i.name):
             with self.processor(f"persistent_to_consumption:{item.name}"):
                 refresh(self.lake, item, self.contract, self.context)
             done.append(item.name)

@@ -1226,7 +1226,7 @@ SELECT lower(c_mktsegment) AS segment, CAST(c_nationkey AS BIGINT) AS nation_id,
 FROM customer WHERE c_acctbal >= 0 GROUP BY ALL
 """
 )
-def pipeline_custom_step(spark: SparkSession, folder: str) -> DataFrame:
+def layers_custom_step(spark: SparkSession, folder: str) -> DataFrame:
     """Landing to Consumption over CSV files, with one step of the user's own."""
     context = Context("run-1", customer_feed(spark, folder), scratch_folder(spark, "lake"))
     steps = {"customers": lambda df, _: df.withColumn("segment", F.lower("segment"))}
@@ -1241,7 +1241,7 @@ SELECT c_custkey AS customer_id, CAST(c_acctbal AS DECIMAL(18,2)) AS balance,
 FROM customer WHERE c_acctbal < 0
 """
 )
-def pipeline_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+def layers_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     context = Context("run-1", customer_feed(spark, folder), scratch_folder(spark, "lake"))
     done = run_pipeline(spark, parse_contract(CUSTOMER_CONTRACT), context)
     rejected = done.lake.read("persistent", "customers__quarantine")

@@ -33,7 +33,6 @@ def test_single_mapping_takes_the_raw_table_and_its_checks():
     spec = parse_contract(document).persistent[0]
     assert spec.source_table == "r" and spec.keys == ("id",)
     assert spec.checks == (Check("not_null", ("id",)),)
-    assert parse_contract(document).raw_table == "r"
 
 
 def test_own_checks_replace_inherited_ones_and_global_rules_are_added():

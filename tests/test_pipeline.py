@@ -444,6 +444,20 @@ def test_consumption_sql_script_and_file(spark, make_context, tmp_path):
     assert spark.catalog.currentDatabase() == "default"
 
 
+def test_files_without_a_named_raw_table_go_to_tables_of_their_own_name(spark, make_context):
+    mapping = lambda name: {
+        "name": name, "target_table": name, "source_table": f"raw.{name}", "columns": [{"name": "v"}]
+    }
+    put(make_context.landing, "raw.a.csv", "v\n1\n2\n")
+    put(make_context.landing, "raw.b.csv", "v,w\n3,x\n")
+    contract = parse_contract({"persistent": [mapping("a"), mapping("b")]})
+    done = run_pipeline(spark, contract, make_context("run-1"))
+    assert rows(done.lake.read("persistent", "a"), "v") == [("1",), ("2",)]
+    assert rows(done.lake.read("persistent", "b"), "v") == [("3",)]
+    counts = done.control.read("row_counts").where("layer = 'raw'")
+    assert rows(counts, "table_name", "inserted") == [("raw.a", 2), ("raw.b", 1)]
+
+
 def test_watermark_is_recorded(spark, make_context):
     put(make_context.landing, "a.csv", "customer_id,name,email\n5,Ada,\n9,Bob,\n")
     contract = parse_contract(with_table(watermark_column="customer_id"))
