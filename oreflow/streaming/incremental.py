@@ -52,6 +52,10 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Merge everything available into a Persistent table, then stop.
 
+    Within a batch the last row per key in ``order`` wins, and a later batch
+    wins over an earlier one: the stream takes files oldest first, all that are
+    there in one batch unless the source limits it.
+
     The checkpoint remembers the files taken.  A batch that is replayed after a
     failure finds its own id among the committed ones and is skipped, so every
     batch is merged exactly once.

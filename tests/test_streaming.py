@@ -1,3 +1,5 @@
+import os
+
 from pyspark.sql import functions as F
 
 from oreflow.plans.lake import Lake
@@ -20,6 +22,7 @@ def test_stream_takes_each_file_once_and_survives_a_replay(spark, tmp_path):
 
     (landing / "1.csv").write_text('id,v,ord\n1,a,1\n2,"b\nb",2\n1,c,3\n')
     (landing / "2.csv").write_text("id,v,ord\n2,d,4\n")
+    os.utime(landing / "1.csv", (1_700_000_000, 1_700_000_000))  # files come oldest first
     assert run() == ([(1, "c"), (2, "d")], 2)
     assert run() == ([(1, "c"), (2, "d")], 2)
     (landing / "3.csv").write_text("id,v,ord\n3,e,5\n")
