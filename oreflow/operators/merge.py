@@ -120,7 +120,8 @@ def split_conflicts(
         .agg(F.min("__hash").alias("__low"), F.max("__hash").alias("__high"))
         .drop("__part")
     )
-    rows, ends = hashed.alias("r"), ends.alias("e")
+    # As many rows as there are keys: never one to copy to every executor.
+    rows, ends = hashed.alias("r"), ends.hint("merge").alias("e")
     clash = (F.col("e.__low") != F.col("r.__hash")) | (F.col("e.__high") != F.col("r.__hash"))
     for name in by:
         clash = clash & (named(name, "r") == named(name, "e"))
