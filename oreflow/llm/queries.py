@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import packing
+from oreflow.llm import bytebpe, packing, seekable, warc
 from oreflow.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,25 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
     )
     return packed.withColumn("length", F.col("length").cast("long"))
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytebpe.digests(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = seekable.round_trip(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return read.select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -78,6 +78,7 @@ class ChunkEncoder:
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
         self._chunks = chunks
+        self.largest_id = max(self._tokenizer.get_vocab().values())
         line_end, mark, *_ = *self._plain(["\n"]), *self._plain([_MARK])
         #: Ids of a line end beside the mark (none where white space is dropped), and the mark's id.
         self._ends, self._mark = len(line_end), int(mark[0])
