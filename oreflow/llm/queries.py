@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import bytebpe, packing, seekable, warc
+from oreflow.llm import bytebpe, packing, seekable, simhash, warc
 from oreflow.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
     )
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -90,6 +90,24 @@ class ChunkEncoder:
         self._starts = np.zeros(0, np.int64)
         self._sizes = np.zeros(0, np.int64)
         self._ids = np.zeros(0, np.uint32)
+        self._uses = np.zeros(0, np.int64)
+
+    def _thin(self) -> None:
+        """Forget the chunks that came once; all of them, if that frees little."""
+        kept = np.flatnonzero(self._uses > 1)
+        names = list(self._known)
+        names = [names[at] for at in kept.tolist()]
+        chars = sum(map(len, names))
+        if len(kept) > KNOWN_CHUNKS // 2 or chars > KNOWN_CHARS // 2:
+            self._forget()
+            return
+        self._known = _Numbered(zip(names, range(len(names)), strict=True))
+        self._chars, self._uses = chars, np.zeros(len(names), np.int64)
+        sizes = self._sizes[kept]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        where = np.arange(total) + np.repeat(self._starts[kept] - ends + sizes, sizes)
+        self._ids, self._sizes, self._starts = self._ids[where], sizes, ends - sizes
 
     def _plain(self, strings: list[str]) -> list[np.ndarray]:
         found = self._tokenizer.encode_batch_fast(strings, add_special_tokens=False)
@@ -122,7 +140,7 @@ class ChunkEncoder:
 
     def _run(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self._known) > KNOWN_CHUNKS or self._chars > KNOWN_CHARS:
-            self._forget()
+            self._thin()
         before = len(self._known)
         pieces = [self._chunks(text) for text in texts]
         counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -131,6 +149,9 @@ class ChunkEncoder:
         )
         if len(self._known) > before:
             self._learn(list(islice(self._known, before, None)))
+        uses = np.bincount(known, minlength=len(self._known))
+        uses[: len(self._uses)] += self._uses
+        self._uses = uses
         sizes = self._sizes[known]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
