@@ -19,10 +19,11 @@ from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
-from oreflow.llm.common import new_folder, staged
+from oreflow.llm.common import new_folder
 from oreflow.llm.seekable import file_system
 
 #: An archive is listed in blocks of about so many bytes; a task reads one.
@@ -158,21 +159,14 @@ def _block(path: str, start: int, end: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist([{"path": path, "start": start, "length": end - start}])
 
 
-RECORD = (
-    "record_id string, type string, concurrent_to string, refers_to string, uri string, date string, "
-    "digest string, http_length long, payload binary, payload_bytes long, payload_sha1 string, "
-    "fields map<string,string>"
-)
-_ARROW = pa.schema(
-    [
-        *((n, pa.string()) for n in "record_id type concurrent_to refers_to uri date digest".split()),
-        ("http_length", pa.int64()),
-        ("payload", pa.binary()),
-        ("payload_bytes", pa.int64()),
-        ("payload_sha1", pa.string()),
-        ("fields", pa.map_(pa.string(), pa.string())),
-    ]
-)
+_KINDS = {
+    **dict.fromkeys("record_id type concurrent_to refers_to uri date digest".split(), pa.string()),
+    "http_length": pa.int64(),
+    "payload": pa.binary(),
+    "payload_bytes": pa.int64(),
+    "payload_sha1": pa.string(),
+    "fields": pa.map_(pa.string(), pa.string()),
+}
 #: Parsed records go on in portions of about so many payload bytes.
 PORTION_BYTES = 4 << 20
 
@@ -182,12 +176,21 @@ def _headers(lines: bytes) -> dict[str, str]:
     return {name.strip().lower(): value.strip() for name, colon, value in pairs if colon}
 
 
+#: A member's compressed bytes are handed over in pieces of so many: what is left over
+#: after a member is copied, so the pieces are near the size of a record.
+PIECE_BYTES = 1 << 14
+
+
 def members(data: bytes) -> Iterator[bytes]:
     """The plain bytes of each gzip member."""
-    while data:
-        opener = zlib.decompressobj(31)
-        yield opener.decompress(data)
-        data = opener.unused_data
+    view, at = memoryview(data), 0
+    while at < len(view):
+        opener, out = zlib.decompressobj(31), []
+        while not opener.eof and at < len(view):
+            piece = view[at : at + PIECE_BYTES]
+            out.append(opener.decompress(piece))
+            at += len(piece) - len(opener.unused_data)
+        yield b"".join(out)
 
 
 def parse(record: bytes) -> dict:
@@ -220,8 +223,16 @@ def parse(record: bytes) -> dict:
     return row
 
 
-def read_records(blocks: DataFrame) -> DataFrame:
-    """The records of listed blocks, one row each; a task a block."""
+def read_records(blocks: DataFrame, payloads: bool = True) -> DataFrame:
+    """The records of listed blocks, one row each; a task a block.
+
+    Sizes and digests of payloads are always taken; ``payloads`` brings them along.
+    """
+    kinds = {name: kind for name, kind in _KINDS.items() if payloads or name != "payload"}
+
+    def table(rows: list[dict]) -> pa.RecordBatch:
+        columns = [pa.array([row.get(n) for row in rows], kind) for n, kind in kinds.items()]
+        return pa.RecordBatch.from_arrays(columns, names=list(kinds))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,45 +246,38 @@ def read_records(blocks: DataFrame) -> DataFrame:
                     rows.append(parse(record))
                     size += len(record)
                     if size > PORTION_BYTES:
-                        yield pa.RecordBatch.from_pylist(rows, _ARROW)
+                        yield table(rows)
                         rows, size = [], 0
-                yield pa.RecordBatch.from_pylist(rows, _ARROW)
+                yield table(rows)
 
-    return blocks.repartition(max(1, blocks.count())).mapInArrow(read, RECORD)
+    schema = from_arrow_schema(pa.schema(list(kinds.items())))
+    return blocks.repartition(max(1, blocks.count())).mapInArrow(read, schema)
 
 
 def assemble(records: DataFrame) -> DataFrame:
     """One nested row a capture: its response or revisit, requests and metadata.
 
-    Requests and metadata belong to the capture that they name in concurrent_to.
-    A capture without them has empty arrays; those that name no capture are left.
+    Requests and metadata belong to the capture that they name in concurrent_to;
+    all records meet in one shuffle by the identifier of their capture.  A capture
+    without them has empty arrays; those that name no capture that is there are
+    left out.  Without a payload column in ``records`` the response has none.
     """
-
-    def named(kind: str, column: str, *parts: str) -> DataFrame:
-        rows = records.where(F.col("type") == kind)
-        rows = rows.groupBy(F.col("concurrent_to").alias(f"of_{column}"))
-        return rows.agg(F.array_sort(F.collect_list(F.struct(*parts))).alias(column))
-
-    captures = records.where(F.col("type").isin("response", "revisit"))
-    requests = named("request", "requests", "record_id", "uri", "date")
-    # maps have no order; their entries have
-    noted = records.withColumn("fields", F.array_sort(F.map_entries("fields")))
-    metadata = noted.where(F.col("type") == "metadata")
-    metadata = metadata.groupBy(F.col("concurrent_to").alias("of_metadata")).agg(
-        F.array_sort(F.collect_list(F.struct("record_id", "fields"))).alias("metadata")
-    )
-    out = captures.join(requests, F.col("record_id") == F.col("of_requests"), "left")
-    out = out.join(metadata, F.col("record_id") == F.col("of_metadata"), "left")
-    none = F.array()
-    return out.select(
-        "record_id",
-        F.struct(
-            *("type", "uri", "date", "digest", "refers_to", "http_length"),
-            *("payload", "payload_bytes", "payload_sha1"),
-        ).alias("response"),
-        F.coalesce("requests", none).alias("requests"),
-        F.coalesce("metadata", none).alias("metadata"),
+    kind = F.col("type")
+    wanted = ("type", "uri", "date", "digest", "refers_to", "http_length")
+    wanted += ("payload", "payload_bytes", "payload_sha1")
+    answer = F.struct(*(c for c in wanted if c in records.columns))
+
+    def of(name: str, *parts: str | Column) -> Column:
+        return F.array_sort(F.collect_list(F.when(kind == name, F.struct(*parts))))
+
+    # a map has no order; its entries have
+    fields = F.array_sort(F.map_entries("fields")).alias("fields")
+    grouped = records.groupBy(F.coalesce("concurrent_to", "record_id").alias("record_id")).agg(
+        F.any_value(F.when(kind.isin("response", "revisit"), answer), F.lit(True)).alias("response"),
+        of("request", "record_id", "uri", "date").alias("requests"),
+        of("metadata", "record_id", fields).alias("metadata"),
     )
+    return grouped.where(F.col("response").isNotNull())
 
 
 def page_rows(captures: DataFrame) -> DataFrame:
@@ -305,4 +309,5 @@ def page_rows(captures: DataFrame) -> DataFrame:
 def round_trip(pages: DataFrame, least_payload: int = LEAST_PAYLOAD) -> DataFrame:
     """Write archives to the shared scratch and read them back: one row a page."""
     folder = new_folder(pages.sparkSession, "archives")
-    return page_rows(assemble(read_records(write_archives(pages, folder, least_payload))))
+    blocks = write_archives(pages, folder, least_payload)
+    return page_rows(assemble(read_records(blocks, payloads=False)))
