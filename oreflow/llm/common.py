@@ -9,6 +9,7 @@ from contextlib import suppress
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from oreflow.session import drop_folder, scratch_folder
 
@@ -43,6 +44,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def with_fields(df: DataFrame, ddl: str) -> StructType:
+    """The schema of df and the fields behind it."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])
+
+
 def slices(batch: pa.RecordBatch, column: str, chars: int) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) of runs of rows of about ``chars`` characters; null is empty."""
     first, run, size = 0, [], 0
