@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import bytebpe, langid, linededup, packing, seekable, simhash, toxicity, warc
+from oreflow.llm import balltree, bytebpe, hnsw, langid, linededup, packing, seekable, simhash, toxicity, warc
 from oreflow.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_removed", "text")
+
+
+@query
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.nearest(table(spark, sf_dir, "embeddings"), every=50)
