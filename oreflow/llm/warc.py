@@ -287,7 +287,7 @@ def page_rows(captures: DataFrame) -> DataFrame:
     """
     answer = F.col("response")
     entries = F.flatten(F.transform("metadata", lambda m: m["fields"]))
-    page_id = F.filter(entries, lambda e: e["key"] == "page-id")[0]["value"].cast("long")
+    page_id = F.get(F.filter(entries, lambda e: e["key"] == "page-id"), F.lit(0))["value"].cast("long")
     sound = answer["payload_sha1"].isNull() | (
         F.concat(F.lit("sha1:"), answer["payload_sha1"]) == answer["digest"]
     )
