@@ -8,37 +8,37 @@ from pyspark.sql import functions as F
 
 from oreflow import Step, load_contract, parse_contract, read_steps, run_pipeline, run_steps
 
-CUSTOMERS = {
-    "landing": {"raw_table": "raw_customers"},
+STATIONS = {
+    "landing": {"raw_table": "raw_stations"},
     "raw": {
-        "table_name": "raw_customers",
-        "data_quality_checks": [{"rule": "col_is_not_null", "columns": ["customer_id"]}],
+        "table_name": "raw_stations",
+        "data_quality_checks": [{"rule": "col_is_not_null", "columns": ["station_no"]}],
     },
     "persistent": [
         {
-            "table_name": "customers",
-            "source_table": "raw_customers",
-            "primary_keys": ["customer_id"],
-            "deduplicate_by": ["customer_id"],
+            "table_name": "stations",
+            "source_table": "raw_stations",
+            "primary_keys": ["station_no"],
+            "deduplicate_by": ["station_no"],
             "columns": [
-                {"name": "customer_id", "type": "INTEGER", "nullable": False},
-                {"name": "name", "type": "TEXT", "nullable": False},
-                {"name": "email", "type": "TEXT"},
+                {"name": "station_no", "type": "INTEGER", "nullable": False},
+                {"name": "title", "type": "TEXT", "nullable": False},
+                {"name": "contact", "type": "TEXT"},
             ],
         }
     ],
     "consumption": [
         {
-            "name": "customer_emails",
-            "mapping": "SELECT customer_id, email FROM source.customers WHERE email IS NOT NULL;",
+            "name": "station_contacts",
+            "mapping": "SELECT station_no, contact FROM source.stations WHERE contact IS NOT NULL;",
         }
     ],
 }
 
 
 def with_table(**changes):
-    table = {**CUSTOMERS["persistent"][0], **changes}
-    return {**CUSTOMERS, "persistent": [table]}
+    table = {**STATIONS["persistent"][0], **changes}
+    return {**STATIONS, "persistent": [table]}
 
 
 def put(landing, name, text):
@@ -49,25 +49,25 @@ def rows(df, *columns):
     return sorted(tuple(r) for r in df.select(*columns).collect())
 
 
-THREE = "customer_id,name,email\n1,Ada,a@example.com\n1,Dup,a2@example.com\n,Invalid,\n"
+THREE = "station_no,title,contact\n41,Hilltop,desk@hill.test\n41,Hilltop again,old@hill.test\n,Unnumbered,\n"
 
 
 def test_first_wins_and_quarantine(spark, make_context):
-    put(make_context.landing, "customers.csv", THREE)
-    done = run_pipeline(spark, parse_contract(CUSTOMERS), make_context("run-1"))
-    table = done.lake.read("persistent", "customers")
-    assert rows(table, "customer_id", "name", "email") == [(1, "Ada", "a@example.com")]
-    rejected = done.lake.read("persistent", "customers__quarantine")
-    assert rows(rejected, "name", "reject_reason", "reject_reasons") == [
-        ("Invalid", "data_quality_failed", ["not_null(customer_id)"])
+    put(make_context.landing, "stations.csv", THREE)
+    done = run_pipeline(spark, parse_contract(STATIONS), make_context("run-1"))
+    table = done.lake.read("persistent", "stations")
+    assert rows(table, "station_no", "title", "contact") == [(41, "Hilltop", "desk@hill.test")]
+    rejected = done.lake.read("persistent", "stations__quarantine")
+    assert rows(rejected, "title", "reject_reason", "reject_reasons") == [
+        ("Unnumbered", "data_quality_failed", ["not_null(station_no)"])
     ]
-    raw = done.lake.read("raw", "raw_customers")
+    raw = done.lake.read("raw", "raw_stations")
     assert raw.count() == 3
-    assert rows(raw, "source_row_number", "customer_id", "email")[2] == (3, "", "")
-    assert spark.table("consumption.customer_emails").collect()[0]["email"] == "a@example.com"
+    assert rows(raw, "source_row_number", "station_no", "contact")[2] == (3, "", "")
+    assert spark.table("consumption.station_contacts").collect()[0]["contact"] == "desk@hill.test"
     # The rejected row as JSON, nulls kept.
-    record = spark.read.json(f"{done.context.quarantine_folder}/raw_customers/customers/*").first()
-    assert record["source"]["name"] == "Invalid" and record["mapped"]["customer_id"] is None
+    record = spark.read.json(f"{done.context.quarantine_folder}/raw_stations/stations/*").first()
+    assert record["source"]["title"] == "Unnumbered" and record["mapped"]["station_no"] is None
     assert record["reason"] == "data_quality_failed"
     # Audit.
     assert rows(done.control.runs(), "run_id", "status") == [("run-1", "SUCCEEDED")]
@@ -78,21 +78,21 @@ def test_first_wins_and_quarantine(spark, make_context):
 
 
 def test_upsert_without_dedup_keeps_the_last_row(spark, make_context):
-    put(make_context.landing, "customers.csv", THREE)
+    put(make_context.landing, "stations.csv", THREE)
     contract = parse_contract(with_table(deduplicate_by=[]))
     done = run_pipeline(spark, contract, make_context("run-1"))
-    assert rows(done.lake.read("persistent", "customers"), "customer_id", "name") == [(1, "Dup")]
+    assert rows(done.lake.read("persistent", "stations"), "station_no", "title") == [(41, "Hilltop again")]
 
 
 def test_second_run_without_files_changes_nothing(spark, make_context):
-    put(make_context.landing, "customers.csv", THREE)
-    contract = parse_contract(CUSTOMERS)
+    put(make_context.landing, "stations.csv", THREE)
+    contract = parse_contract(STATIONS)
     done = run_pipeline(spark, contract, make_context("run-1"))
-    before = done.lake.read("persistent", "customers").collect()
+    before = done.lake.read("persistent", "stations").collect()
     again = run_pipeline(spark, contract, make_context("run-2"))
-    assert again.lake.read("persistent", "customers").collect() == before
-    assert again.lake.read("raw", "raw_customers").count() == 3
-    assert again.lake.read("persistent", "customers__quarantine").count() == 1
+    assert again.lake.read("persistent", "stations").collect() == before
+    assert again.lake.read("raw", "raw_stations").count() == 3
+    assert again.lake.read("persistent", "stations__quarantine").count() == 1
     assert again.context.previous_success is not None
 
 
@@ -100,13 +100,13 @@ def test_update_in_a_later_run_keeps_the_insert_time(spark, make_context):
     contract = parse_contract(with_table(deduplicate_by=[]))
     early = datetime(2024, 1, 1, tzinfo=timezone.utc)
     late = datetime(2024, 1, 2, tzinfo=timezone.utc)
-    put(make_context.landing, "a.csv", "customer_id,name,email\n1,Ada,a@x\n2,Bob,b@x\n")
+    put(make_context.landing, "a.csv", "station_no,title,contact\n1,Hilltop,a@x\n2,Bay,b@x\n")
     run_pipeline(spark, contract, make_context("run-1", moment=early))
-    put(make_context.landing, "b.csv", "customer_id,name,email\n1,Ada,\n3,Cyd,c@x\n")
+    put(make_context.landing, "b.csv", "station_no,title,contact\n1,Hilltop,\n3,Creek,c@x\n")
     done = run_pipeline(spark, contract, make_context("run-2", moment=late))
-    table = done.lake.read("persistent", "customers")
-    found = {r["customer_id"]: r for r in table.collect()}
-    assert found[1]["email"] is None  # NULL overwrites
+    table = done.lake.read("persistent", "stations")
+    found = {r["station_no"]: r for r in table.collect()}
+    assert found[1]["contact"] is None  # NULL overwrites
     naive = [moment.replace(tzinfo=None) for moment in (early, late)]
     assert [found[i]["run_id"] for i in (1, 2, 3)] == ["run-2", "run-1", "run-2"]
     assert [found[i]["latest_insert_datetime"] for i in (1, 2, 3)] == [naive[0], naive[0], naive[1]]
@@ -114,105 +114,103 @@ def test_update_in_a_later_run_keeps_the_insert_time(spark, make_context):
 
 
 def test_dedup_scope(spark, make_context):
-    put(make_context.landing, "a.csv", "customer_id,name,email\n1,Ada,a@x\n")
-    history = parse_contract(CUSTOMERS)
+    put(make_context.landing, "a.csv", "station_no,title,contact\n1,Hilltop,a@x\n")
+    history = parse_contract(STATIONS)
     run_pipeline(spark, history, make_context("run-1"))
-    put(make_context.landing, "b.csv", "customer_id,name,email\n1,Later,l@x\n2,Bob,b@x\n")
+    put(make_context.landing, "b.csv", "station_no,title,contact\n1,Later,l@x\n2,Bay,b@x\n")
     done = run_pipeline(spark, history, make_context("run-2"))
-    table = done.lake.read("persistent", "customers")
-    assert rows(table, "customer_id", "name") == [(1, "Ada"), (2, "Bob")]
+    table = done.lake.read("persistent", "stations")
+    assert rows(table, "station_no", "title") == [(1, "Hilltop"), (2, "Bay")]
 
 
 def test_dedup_scope_batch(spark, make_context):
     contract = parse_contract(with_table(dedup_scope="batch"))
-    put(make_context.landing, "a.csv", "customer_id,name,email\n1,Ada,a@x\n")
+    put(make_context.landing, "a.csv", "station_no,title,contact\n1,Hilltop,a@x\n")
     run_pipeline(spark, contract, make_context("run-1"))
-    put(make_context.landing, "b.csv", "customer_id,name,email\n1,Later,l@x\n1,Last,l@x\n")
+    put(make_context.landing, "b.csv", "station_no,title,contact\n1,Later,l@x\n1,Last,l@x\n")
     done = run_pipeline(spark, contract, make_context("run-2"))
-    assert rows(done.lake.read("persistent", "customers"), "customer_id", "name") == [(1, "Later")]
+    assert rows(done.lake.read("persistent", "stations"), "station_no", "title") == [(1, "Later")]
 
 
 def test_invalid_first_row_hides_a_valid_duplicate(spark, make_context):
-    put(make_context.landing, "a.csv", "customer_id,name,email\n1,,a@x\n1,Ada,a@x\n")
-    done = run_pipeline(spark, parse_contract(CUSTOMERS), make_context("run-1"))
-    assert done.lake.read("persistent", "customers").count() == 0
-    assert done.lake.read("persistent", "customers__quarantine").count() == 1
+    put(make_context.landing, "a.csv", "station_no,title,contact\n1,,a@x\n1,Hilltop,a@x\n")
+    done = run_pipeline(spark, parse_contract(STATIONS), make_context("run-1"))
+    assert done.lake.read("persistent", "stations").count() == 0
+    assert done.lake.read("persistent", "stations__quarantine").count() == 1
 
 
 def test_keyless_table_appends_only_new_rows(spark, make_context):
     contract = parse_contract(with_table(primary_keys=[], deduplicate_by=[]))
-    put(make_context.landing, "a.csv", "customer_id,name,email\n1,Ada,\n1,Ada,\n")
+    put(make_context.landing, "a.csv", "station_no,title,contact\n1,Hilltop,\n1,Hilltop,\n")
     run_pipeline(spark, contract, make_context("run-1"))
-    put(make_context.landing, "b.csv", "customer_id,name,email\n2,Bob,\n")
+    put(make_context.landing, "b.csv", "station_no,title,contact\n2,Bay,\n")
     done = run_pipeline(spark, contract, make_context("run-2"))
-    assert rows(done.lake.read("persistent", "customers"), "customer_id") == [(1,), (1,), (2,)]
-    assert spark.table("source.customers").count() == 3
+    assert rows(done.lake.read("persistent", "stations"), "station_no") == [(1,), (1,), (2,)]
+    assert spark.table("source.stations").count() == 3
 
 
 def test_overwrite_mode(spark, make_context):
     contract = parse_contract(with_table(table_update_mode="overwrite", deduplicate_by=[]))
-    put(make_context.landing, "a.csv", "customer_id,name,email\n1,Ada,\n1,Ana,\n2,Bob,\n")
+    put(make_context.landing, "a.csv", "station_no,title,contact\n1,Hilltop,\n1,Ana,\n2,Bay,\n")
     run_pipeline(spark, contract, make_context("run-1"))
-    put(make_context.landing, "b.csv", "customer_id,name,email\n3,Cyd,\n")
+    put(make_context.landing, "b.csv", "station_no,title,contact\n3,Creek,\n")
     done = run_pipeline(spark, contract, make_context("run-2"))
-    assert rows(done.lake.read("persistent", "customers"), "customer_id") == [(3,)]
+    assert rows(done.lake.read("persistent", "stations"), "station_no") == [(3,)]
 
 
 @pytest.mark.parametrize("buckets", [None, 4])
 def test_bucketed_snapshots_merge_the_same(spark, make_context, buckets):
     contract = parse_contract(with_table(buckets=buckets, deduplicate_by=[]))
-    put(make_context.landing, "a.csv", "customer_id,name,email\n1,Ada,\n2,Bob,\n")
+    put(make_context.landing, "a.csv", "station_no,title,contact\n1,Hilltop,\n2,Bay,\n")
     run_pipeline(spark, contract, make_context("run-1"))
-    put(make_context.landing, "b.csv", "customer_id,name,email\n2,Ben,\n3,Cyd,\n")
+    put(make_context.landing, "b.csv", "station_no,title,contact\n2,Ben,\n3,Creek,\n")
     done = run_pipeline(spark, contract, make_context("run-2", keep_snapshots=1))
-    table = done.lake.read("persistent", "customers")
-    old, current = done.lake.commits("persistent", "customers")
+    table = done.lake.read("persistent", "stations")
+    old, current = done.lake.commits("persistent", "stations")
     assert not Path(old.path).exists() and Path(current.path).exists()
-    assert rows(table, "customer_id", "name") == [(1, "Ada"), (2, "Ben"), (3, "Cyd")]
+    assert rows(table, "station_no", "title") == [(1, "Hilltop"), (2, "Ben"), (3, "Creek")]
 
 
-ACCOUNT_COLUMNS = (
-    "acct_id,bill_cyc_cd,setup_dt,currency_cd,acct_mgmt_grp,bill_after_dt,protect_cyc_sw,"
-    "cis_division,mailing_prem_id,protect_prem_sw,coll_cl_cd,cr_review_dt,postpone_cr_rvw_dt,"
-    "int_cr_review_sw,cust_cl_cd,bill_prt_intercept,no_dep_rvw_sw,version"
+LEASE_COLUMNS = ",".join(
+    ["lease_no", "signed_on", *[f"term_{i:02d}" for i in range(1, 16)], "version"]
 )
 
 
-def accounts_contract(tmp_path, **table):
+def leases_contract(tmp_path, **table):
     """The same contract as a tree of YAML files."""
     import yaml
 
     raw = {
-        "table_name": "raw_accounts",
+        "table_name": "raw_leases",
         "lookback_days": 1,
-        "incremental_key": ["acct_id", "version"],
+        "incremental_key": ["lease_no", "version"],
         "watermark": {
             "strategy": "per_account",
-            "account_column": "acct_id",
+            "account_column": "lease_no",
             "version_column": "version",
         },
-        "deduplicate_by": ["acct_id", "version"],
+        "deduplicate_by": ["lease_no", "version"],
         "record_hash_columns": "all",
-        "primary_keys": ["acct_id"],
+        "primary_keys": ["lease_no"],
         "version_column": "version",
         "standardize": ["trim_whitespace", "cast_version_integer"],
         "select_latest_per_key": True,
         "data_quality_checks": [
-            {"rule": "col_is_not_null", "columns": ["acct_id", "version"]},
+            {"rule": "col_is_not_null", "columns": ["lease_no", "version"]},
             {"rule": "is_integer", "columns": ["version"]},
             {"rule": "non_negative", "columns": ["version"]},
         ],
     }
     persistent = {
-        "table_name": "accounts",
-        "source_table": "raw_accounts",
-        "primary_keys": ["acct_id"],
-        "deduplicate_by": ["acct_id", "version"],
+        "table_name": "leases",
+        "source_table": "raw_leases",
+        "primary_keys": ["lease_no"],
+        "deduplicate_by": ["lease_no", "version"],
         "strategy": "SCD1",
         "update_when": "incoming.version > current.version",
         "conflict_policy": "quarantine",
         "columns": [
-            {"name": "acct_id", "type": "TEXT", "nullable": False},
+            {"name": "lease_no", "type": "TEXT", "nullable": False},
             {"name": "version", "type": "INTEGER", "nullable": False},
             *[{"name": f"attr_{i:02d}", "type": "TEXT"} for i in range(1, 17)],
         ],
@@ -222,39 +220,39 @@ def accounts_contract(tmp_path, **table):
     workflow = {
         "source": {"encoding": "utf-8-sig", "delimiter": ",", "checksum": "sha256"},
         "landing": {
-            "table": "land_accounts",
-            "raw_table": "raw_accounts",
-            "file_pattern": "ACCT_*.csv",
+            "table": "land_leases",
+            "raw_table": "raw_leases",
+            "file_pattern": "LEASE_*.csv",
             "preserve_source": True,
             "validation": {
                 "exact_column_count": 18,
-                "required_columns": ["acct_id", "version"],
+                "required_columns": ["lease_no", "version"],
                 "reject_unknown_columns": True,
-                "quarantine": "land_accounts__quarantine",
+                "quarantine": "land_leases__quarantine",
             },
         },
         "table_metadata": {"raw": "raw.yml", "persistent": ["persistent.yml"]},
         "consumption": {
-            "table": "dim_account",
-            "mapping": "SELECT * FROM source.accounts",
+            "table": "dim_lease",
+            "mapping": "SELECT * FROM source.leases",
         },
         "data_processors": [
             {
                 "processor_name": "land",
                 "notebook": "some.module.landing_to_raw",
-                "target_tables": ["raw.raw_accounts"],
+                "target_tables": ["raw.raw_leases"],
             },
             {
                 "processor_name": "refine",
                 "notebook": "some.module.raw_to_persistent",
                 "depends_on": ["land"],
-                "target_tables": ["persistent.accounts"],
+                "target_tables": ["persistent.leases"],
             },
             {
                 "processor_name": "serve",
                 "notebook": "some.module.persistent_to_consumption",
                 "depends_on": ["refine"],
-                "target_tables": ["consumption.dim_account"],
+                "target_tables": ["consumption.dim_lease"],
             },
         ],
     }
@@ -263,127 +261,127 @@ def accounts_contract(tmp_path, **table):
     return tmp_path / "workflow.yml"
 
 
-def account(acct, version, setup="2024-01-01"):
-    middle = "USD,GRP1,2024-02-01,Y,DIV1,PREM1,N,CL1,2024-03-01,2024-03-15,Y,CCL1,N,N"
-    return f"{acct},CYCA,{setup},{middle},{version}\n"
+def lease(number, version, signed="2024-01-01"):
+    terms = ",".join(f"t{i}" for i in range(1, 16))
+    return f"{number},{signed},{terms},{version}\n"
 
 
-def test_accounts_end_to_end(spark, make_context, tmp_path):
-    path = accounts_contract(tmp_path)
-    text = ACCOUNT_COLUMNS + "\n" + account("A001", 1) + account("A002", 1)
-    put(make_context.landing, "ACCT_1.csv", text)
+def test_leases_end_to_end(spark, make_context, tmp_path):
+    path = leases_contract(tmp_path)
+    text = LEASE_COLUMNS + "\n" + lease("A001", 1) + lease("A002", 1)
+    put(make_context.landing, "LEASE_1.csv", text)
     put(make_context.landing, "other.csv", "a\n1\n")
     context = make_context("run-1")
     done = run_steps(spark, load_contract(path), context, read_steps(path))
-    table = done.lake.read("persistent", "accounts")
-    assert rows(table, "acct_id", "version", "attr_01") == [("A001", 1, None), ("A002", 1, None)]
+    table = done.lake.read("persistent", "leases")
+    assert rows(table, "lease_no", "version", "attr_01") == [("A001", 1, None), ("A002", 1, None)]
     assert rows(table, "record_source", "source_file_name", "source_batch_id") == [
-        ("raw_accounts", "ACCT_1.csv", "run-1")
+        ("raw_leases", "LEASE_1.csv", "run-1")
     ] * 2
-    assert done.lake.read("landing", "land_accounts").count() == 2
-    assert spark.table("consumption.dim_account").count() == 2
-    hashes = done.lake.read("raw", "raw_accounts").select("record_hash").distinct()
+    assert done.lake.read("landing", "land_leases").count() == 2
+    assert spark.table("consumption.dim_lease").count() == 2
+    hashes = done.lake.read("raw", "raw_leases").select("record_hash").distinct()
     assert hashes.count() == 2
 
 
-def test_accounts_versions_and_checks(spark, make_context, tmp_path):
-    attrs = [{"name": "setup", "source": "setup_dt", "type": "DATE"}]
+def test_leases_versions_and_checks(spark, make_context, tmp_path):
+    attrs = [{"name": "setup", "source": "signed_on", "type": "DATE"}]
     keys = [
-        {"name": "acct_id", "type": "TEXT", "nullable": False},
+        {"name": "lease_no", "type": "TEXT", "nullable": False},
         {"name": "version", "type": "INTEGER", "nullable": False},
     ]
-    contract = load_contract(accounts_contract(tmp_path, columns=[*keys, *attrs]))
-    header = ACCOUNT_COLUMNS + "\n"
-    bad = account("", 1) + account("B1", "") + account("B2", "1.5") + account("B3", -1)
+    contract = load_contract(leases_contract(tmp_path, columns=[*keys, *attrs]))
+    header = LEASE_COLUMNS + "\n"
+    bad = lease("", 1) + lease("B1", "") + lease("B2", "1.5") + lease("B3", -1)
     put(
         make_context.landing,
-        "ACCT_1.csv",
-        header + account("A1", 2) + account("A1", 1) + account(" A2 ", 1) + account("A2", 1) + bad
+        "LEASE_1.csv",
+        header + lease("A1", 2) + lease("A1", 1) + lease(" A2 ", 1) + lease("A2", 1) + bad
         + "short,row\n",
     )
     done = run_pipeline(spark, contract, make_context("run-1"))
-    table = lambda p: rows(p.lake.read("persistent", "accounts").select(
-        "acct_id", "version", F.col("setup").cast("string").alias("setup"), "run_id"
-    ), "acct_id", "version", "setup", "run_id")
+    table = lambda p: rows(p.lake.read("persistent", "leases").select(
+        "lease_no", "version", F.col("setup").cast("string").alias("setup"), "run_id"
+    ), "lease_no", "version", "setup", "run_id")
     assert table(done) == [("A1", 2, "2024-01-01", "run-1"), ("A2", 1, "2024-01-01", "run-1")]
-    reasons = done.lake.read("persistent", "accounts__quarantine")
+    reasons = done.lake.read("persistent", "leases__quarantine")
     assert rows(reasons, "reject_reason", "reject_reasons") == [
         ("cast_failed", ["cast_failed(version)", "not_null(version)", "is_integer(version)"]),
         ("data_quality_failed", ["non_negative(version)"]),
-        ("data_quality_failed", ["not_null(acct_id)"]),
+        ("data_quality_failed", ["not_null(lease_no)"]),
         ("data_quality_failed", ["not_null(version)"]),
     ]
-    malformed = done.lake.read("landing", "land_accounts__quarantine")
+    malformed = done.lake.read("landing", "land_leases__quarantine")
     assert rows(malformed, "malformed_record", "reject_reason", "source_row_number") == [
         ("short,row", "malformed_record", 9)
     ]
     # A lower version, an equal one with other content, and a higher one.
     put(
         make_context.landing,
-        "ACCT_2.csv",
-        header + account("A1", 1, "2025-01-01") + account("A2", 1, "2025-01-01")
-        + account("A3", 7, "2025-01-01"),
+        "LEASE_2.csv",
+        header + lease("A1", 1, "2025-01-01") + lease("A2", 1, "2025-01-01")
+        + lease("A3", 7, "2025-01-01"),
     )
     second = run_pipeline(spark, contract, make_context("run-2"))
     assert table(second) == [*table(done)[:2], ("A3", 7, "2025-01-01", "run-2")]
-    put(make_context.landing, "ACCT_3.csv", header + account("A1", 3, "2026-01-01"))
+    put(make_context.landing, "LEASE_3.csv", header + lease("A1", 3, "2026-01-01"))
     third = run_pipeline(spark, contract, make_context("run-3"))
     assert table(third)[0] == ("A1", 3, "2026-01-01", "run-3")
-    inserted = third.lake.read("persistent", "accounts").where("acct_id = 'A1'").first()
-    first = done.lake.commits("persistent", "accounts")[0]
-    before = done.lake.read_commits([first]).where("acct_id = 'A1'").first()
+    inserted = third.lake.read("persistent", "leases").where("lease_no = 'A1'").first()
+    first = done.lake.commits("persistent", "leases")[0]
+    before = done.lake.read_commits([first]).where("lease_no = 'A1'").first()
     assert inserted["persistent_insert_ts"] == before["persistent_insert_ts"]
     assert inserted["persistent_update_ts"] > before["persistent_update_ts"]
 
 
 def test_conflicting_version_goes_to_quarantine(spark, make_context, tmp_path):
     keys = [
-        {"name": "acct_id", "type": "TEXT", "nullable": False},
+        {"name": "lease_no", "type": "TEXT", "nullable": False},
         {"name": "version", "type": "INTEGER", "nullable": False},
-        {"name": "setup_dt", "type": "TEXT"},
+        {"name": "signed_on", "type": "TEXT"},
     ]
     raw = {"incremental_key": [], "deduplicate_by": []}
-    path = accounts_contract(tmp_path, columns=keys, deduplicate_by=[], raw=raw)
+    path = leases_contract(tmp_path, columns=keys, deduplicate_by=[], raw=raw)
     contract = load_contract(path)
-    header = ACCOUNT_COLUMNS + "\n"
-    put(make_context.landing, "ACCT_1.csv", header + account("A1", 2, "x") + account("A2", 1, "x"))
+    header = LEASE_COLUMNS + "\n"
+    put(make_context.landing, "LEASE_1.csv", header + lease("A1", 2, "x") + lease("A2", 1, "x"))
     run_pipeline(spark, contract, make_context("run-1"))
-    put(make_context.landing, "ACCT_2.csv", header + account("A1", 2, "y") + account("A2", 2, "y"))
+    put(make_context.landing, "LEASE_2.csv", header + lease("A1", 2, "y") + lease("A2", 2, "y"))
     done = run_pipeline(spark, contract, make_context("run-2"))
-    table = done.lake.read("persistent", "accounts")
-    assert rows(table, "acct_id", "version", "setup_dt") == [("A1", 2, "x"), ("A2", 2, "y")]
-    bad = done.lake.read("persistent", "accounts__quarantine")
-    assert rows(bad, "acct_id", "setup_dt", "reject_reason") == [("A1", "y", "version_conflict")]
+    table = done.lake.read("persistent", "leases")
+    assert rows(table, "lease_no", "version", "signed_on") == [("A1", 2, "x"), ("A2", 2, "y")]
+    bad = done.lake.read("persistent", "leases__quarantine")
+    assert rows(bad, "lease_no", "signed_on", "reject_reason") == [("A1", "y", "version_conflict")]
 
 
 def test_raw_quarantine(spark, make_context, tmp_path):
-    path = accounts_contract(tmp_path, raw={"quarantine_table": "raw_accounts__quarantine"})
-    header = ACCOUNT_COLUMNS + "\n"
-    put(make_context.landing, "ACCT_1.csv", header + account("A1", 2) + account("A2", "x"))
+    path = leases_contract(tmp_path, raw={"quarantine_table": "raw_leases__quarantine"})
+    header = LEASE_COLUMNS + "\n"
+    put(make_context.landing, "LEASE_1.csv", header + lease("A1", 2) + lease("A2", "x"))
     done = run_pipeline(spark, load_contract(path), make_context("run-1"))
-    assert rows(done.lake.read("raw", "raw_accounts"), "acct_id") == [("A1",)]
-    bad = done.lake.read("raw", "raw_accounts__quarantine")
-    assert rows(bad, "acct_id", "reject_reasons") == [("A2", ["is_integer(version)"])]
+    assert rows(done.lake.read("raw", "raw_leases"), "lease_no") == [("A1",)]
+    bad = done.lake.read("raw", "raw_leases__quarantine")
+    assert rows(bad, "lease_no", "reject_reasons") == [("A2", ["is_integer(version)"])]
 
 
 def test_failed_run_is_recorded_and_can_be_repeated(spark, make_context):
-    put(make_context.landing, "customers.csv", THREE)
-    broken = {**CUSTOMERS, "consumption": [{"name": "x", "mapping": "SELECT nope FROM source.nope"}]}
+    put(make_context.landing, "stations.csv", THREE)
+    broken = {**STATIONS, "consumption": [{"name": "x", "mapping": "SELECT nope FROM source.nope"}]}
     context = make_context("run-1")
     with pytest.raises(Exception):
         run_pipeline(spark, parse_contract(broken), context)
-    done = run_pipeline(spark, parse_contract(CUSTOMERS), make_context("run-2"))
+    done = run_pipeline(spark, parse_contract(STATIONS), make_context("run-2"))
     states = {r["run_id"]: r for r in done.control.runs().collect()}
     assert states["run-1"]["status"] == "FAILED" and states["run-1"]["error"]
     assert states["run-2"]["status"] == "SUCCEEDED"
-    assert done.lake.read("raw", "raw_customers").count() == 3
+    assert done.lake.read("raw", "raw_stations").count() == 3
 
 
 def test_raw_of_a_run_that_broke_off_is_loaded_again(spark, make_context, monkeypatch):
     from oreflow.plans.control import ControlTables
 
-    put(make_context.landing, "customers.csv", THREE)
-    contract = parse_contract(CUSTOMERS)
+    put(make_context.landing, "stations.csv", THREE)
+    contract = parse_contract(STATIONS)
     append = ControlTables.append
 
     def fail(self, name, content):
@@ -398,14 +396,14 @@ def test_raw_of_a_run_that_broke_off_is_loaded_again(spark, make_context, monkey
     done = run_pipeline(spark, contract, make_context("run-2"))
     from oreflow.plans.ingest import read_raw
 
-    assert read_raw(done.lake, "raw_customers").count() == 3
-    assert done.lake.read("persistent", "customers").count() == 1
+    assert read_raw(done.lake, "raw_stations").count() == 3
+    assert done.lake.read("persistent", "stations").count() == 1
 
 
 def test_custom_transform_and_steps(spark, make_context):
-    put(make_context.landing, "customers.csv", "customer_id,name,email\n1,Ada,a@x\n")
-    contract = parse_contract(CUSTOMERS)
-    upper = {"customers": lambda df, context: df.withColumn("name", F.upper("name"))}
+    put(make_context.landing, "stations.csv", "station_no,title,contact\n1,Hilltop,a@x\n")
+    contract = parse_contract(STATIONS)
+    upper = {"stations": lambda df, context: df.withColumn("title", F.upper("title"))}
     seen = []
     steps = [
         Step("land", lambda p: p.landing_to_raw()),
@@ -413,7 +411,7 @@ def test_custom_transform_and_steps(spark, make_context):
         Step("note", lambda p: seen.append(dict(p.context.parameters)), {"x": 1}, depends_on=["refine"]),
     ]
     done = run_steps(spark, contract, make_context("run-1"), steps)
-    assert rows(done.lake.read("persistent", "customers"), "name") == [("ADA",)]
+    assert rows(done.lake.read("persistent", "stations"), "title") == [("HILLTOP",)]
     assert seen == [{"processor_name": "note", "x": 1}]
     with pytest.raises(ValueError, match="comes before"):
         run_steps(spark, contract, make_context("run-2"), steps[1:])
@@ -422,25 +420,25 @@ def test_custom_transform_and_steps(spark, make_context):
 def test_target_selection(spark, make_context):
     from oreflow import Pipeline
 
-    pipeline = Pipeline(spark, parse_contract(CUSTOMERS), make_context("run-1"))
+    pipeline = Pipeline(spark, parse_contract(STATIONS), make_context("run-1"))
     with pytest.raises(ValueError, match="no table"):
         pipeline.raw_to_persistent(["persistent.unknown"])
-    assert pipeline.raw_to_persistent(["persistent.customers"]) == {"customers": (0, 0)}
+    assert pipeline.raw_to_persistent(["persistent.stations"]) == {"stations": (0, 0)}
 
 
 def test_consumption_sql_script_and_file(spark, make_context, tmp_path):
-    put(make_context.landing, "customers.csv", "customer_id,name,email\n1,Ada,a@x\n2,Bob,b;x\n")
+    put(make_context.landing, "stations.csv", "station_no,title,contact\n1,Hilltop,a@x\n2,Bay,b;x\n")
     script = (
         "DROP TABLE IF EXISTS names_a; "
-        "CREATE TABLE names_a AS SELECT name FROM source.customers WHERE email = 'b;x' -- last"
+        "CREATE TABLE names_a AS SELECT title FROM source.stations WHERE contact = 'b;x' -- last"
     )
     query = tmp_path / "query.sql"
     query.write_text(script.replace("names_a", "names_b"), encoding="utf-8")
     items = [{"name": "a", "sql": script}, {"name": "b", "query_file": str(query)}]
-    contract = parse_contract({**CUSTOMERS, "consumption": items})
+    contract = parse_contract({**STATIONS, "consumption": items})
     run_pipeline(spark, contract, make_context("run-1", consumption_database="served"))
-    assert rows(spark.table("served.names_a"), "name") == [("Bob",)]
-    assert rows(spark.table("served.names_b"), "name") == [("Bob",)]
+    assert rows(spark.table("served.names_a"), "title") == [("Bay",)]
+    assert rows(spark.table("served.names_b"), "title") == [("Bay",)]
     assert spark.catalog.currentDatabase() == "default"
 
 
@@ -459,10 +457,10 @@ def test_files_without_a_named_raw_table_go_to_tables_of_their_own_name(spark, m
 
 
 def test_watermark_is_recorded(spark, make_context):
-    put(make_context.landing, "a.csv", "customer_id,name,email\n5,Ada,\n9,Bob,\n")
-    contract = parse_contract(with_table(watermark_column="customer_id"))
+    put(make_context.landing, "a.csv", "station_no,title,contact\n5,Hilltop,\n9,Bay,\n")
+    contract = parse_contract(with_table(watermark_column="station_no"))
     done = run_pipeline(spark, contract, make_context("run-1"))
-    assert done.control.watermark("raw_customers") == "9"
-    done.control.set_watermark("raw_customers", "11")
-    assert done.control.watermark("raw_customers") == "11"
+    assert done.control.watermark("raw_stations") == "9"
+    done.control.set_watermark("raw_stations", "11")
+    assert done.control.watermark("raw_stations") == "11"
     assert done.control.watermark("other") is None
