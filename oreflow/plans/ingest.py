@@ -69,11 +69,11 @@ def land(lake: Lake, contract: Contract, context: Context) -> dict[str, tuple[in
     ledger = control.read("processed_file_ledger")
     scratch = scratch_folder(spark, f"landing-{context.run_id}")
     # Written once: hashing reads every byte and must not be repeated.
-    found = files.fingerprint(listed, encoding=landing.encoding)
-    files.new_files(found, ledger).write.parquet(f"{scratch}/files")
-    fresh = spark.read.schema(files.FILES_SCHEMA).parquet(f"{scratch}/files")
     target = F.lit(landing.raw_table) if landing.raw_table else file_stem()
-    fresh = fresh.withColumn("source_table", target)
+    found = files.fingerprint(listed, encoding=landing.encoding).withColumn("source_table", target)
+    # equal files for two tables are loaded into both
+    files.new_files(found, ledger, files.PER_TABLE).write.parquet(f"{scratch}/files")
+    fresh = spark.read.schema(found.schema).parquet(f"{scratch}/files")
     tables = [row[0] for row in fresh.select("source_table").distinct().collect()]
     if not tables:
         drop_folder(spark, scratch)
@@ -94,7 +94,7 @@ def land(lake: Lake, contract: Contract, context: Context) -> dict[str, tuple[in
         instant(context.moment).alias("processed_at"),
         F.lit(context.run_id).alias("run_id"),
     )
-    control.append("processed_file_ledger", files.ledger_rows(entries, ledger).coalesce(1))
+    control.append("processed_file_ledger", files.ledger_rows(entries, ledger, files.PER_TABLE))
     drop_folder(spark, scratch)
     return counts
 
@@ -131,16 +131,16 @@ def _land_table(
         part = lake.write_part("raw", raw.quarantine_table, context.run_id, raw_rejects)
         commits.append(part)
         rejected += part.rows
-    if landing.checks_records:
-        bad = stamped.where(named(csv.REJECT).isNotNull()).select(
-            *_raw_names(landed),
-            named(csv.MALFORMED).alias("malformed_record"),
-            named(csv.REJECT).alias(REASON),
-        )
-        name = landing.quarantine_table or f"{table}__landing_quarantine"
-        part = lake.write_part("landing", name, context.run_id, bad)
+    bad = stamped.where(named(csv.REJECT).isNotNull()).select(
+        *_raw_names(landed),
+        named(csv.MALFORMED).alias("malformed_record"),
+        named(csv.REJECT).alias(REASON),
+    )
+    name = landing.quarantine_table or f"{table}__landing_quarantine"
+    part = lake.write_part("landing", name, context.run_id, bad)
+    if landing.checks_records or part.rows:
         commits.append(part)
-        rejected += part.rows
+    rejected += part.rows
     return inserted, rejected
 
 
@@ -150,7 +150,7 @@ def _note_manifest(lake: Lake, fresh: DataFrame, context: Context) -> None:
     noted = changed.withColumns(
         {"processed_at": instant(context.moment), "run_id": F.lit(context.run_id)}
     )
-    lake.control.append("file_manifests", noted.coalesce(1))
+    lake.control.append("file_manifests", noted)
 
 
 def _write_landed(

@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -209,9 +210,12 @@ class Lake:
             return None
         if len(commits) == 1 and commits[0].buckets:
             return self._read_bucketed(commits[0])
-        schema = _united([commit.schema for commit in commits])
-        # Parquet binds by name: a column an older folder lacks reads as NULL.
-        return self.spark.read.schema(schema).parquet(*[commit.path for commit in commits])
+        united = _united([commit.schema for commit in commits])
+        parts = []
+        for group in _by_schema(commits):
+            rows = self.spark.read.schema(group[0].schema).parquet(*[c.path for c in group])
+            parts.append(rows.selectExpr(*_cells(united, group[0].schema)))
+        return reduce(DataFrame.unionAll, parts)
 
     def read(self, layer: str, table: str) -> DataFrame | None:
         return self.read_commits(self.visible(layer, table))
@@ -254,14 +258,11 @@ class Lake:
                 self._publish(database, table, held)
 
     def _publish(self, database: str, table: str, commits: Sequence[Commit]) -> None:
-        columns = _united([commit.schema for commit in commits]).names
-        by_columns: dict[tuple[str, ...], list[str]] = {}
-        for commit in commits:
-            by_columns.setdefault(tuple(commit.schema.names), []).append(commit.path)
+        united = _united([commit.schema for commit in commits])
         selects = []
-        for held, paths in by_columns.items():
-            cells = [_quoted(c) if c in held else f"NULL AS {_quoted(c)}" for c in columns]
-            folders = _quoted(self._glob(paths))
+        for group in _by_schema(commits):
+            cells = _cells(united, group[0].schema)
+            folders = _quoted(self._glob([commit.path for commit in group]))
             selects.append(f"SELECT {', '.join(cells)} FROM parquet.{folders}")
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {_quoted(database)}.{_quoted(table)} AS "
@@ -280,12 +281,43 @@ def _unique() -> str:
 
 
 def _united(schemas: Sequence[T.StructType]) -> T.StructType:
+    """All columns, each in the name and type of the latest folder that has it."""
     fields: dict[str, T.StructField] = {}
     for schema in schemas:
         for item in schema.fields:
-            fields.setdefault(item.name.lower(), T.StructField(item.name, item.dataType, True))
+            fields[item.name.lower()] = T.StructField(item.name, item.dataType, True)
     return T.StructType(list(fields.values()))
 
 
+def _by_schema(commits: Sequence[Commit]) -> list[list[Commit]]:
+    """Folders that were written with the same columns and types together."""
+    groups: dict[tuple, list[Commit]] = {}
+    for commit in commits:
+        columns = tuple((item.name, item.dataType.json()) for item in commit.schema.fields)
+        groups.setdefault(columns, []).append(commit)
+    return list(groups.values())
+
+
+def _cells(united: T.StructType, own: T.StructType) -> list[str]:
+    """The united columns out of a folder's own; a value that its new type cannot hold fails."""
+    held = {item.name.lower(): item for item in own.fields}
+    cells = []
+    for item in united.fields:
+        name, kind = _quoted(item.name), item.dataType.simpleString()
+        old = held.get(item.name.lower())
+        if old is None:
+            cells.append(f"CAST(NULL AS {kind}) AS {name}")
+            continue
+        value, was = _quoted(old.name), old.dataType.simpleString()
+        if old.dataType != item.dataType:
+            cast = f"TRY_CAST({value} AS {kind})"
+            text = isinstance(old.dataType, T.StringType)
+            sound = f"{cast} IS NOT NULL" if text else f"CAST({cast} AS {was}) <=> {value}"
+            lost = f"raise_error(concat('{was} to {kind} loses ', string({value})))"
+            value = f"IF({value} IS NULL OR {sound}, {cast}, {lost})"
+        cells.append(f"{value} AS {name}")
+    return cells
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreflow.contracts import Contract, TableSpec
+from oreflow.functions.casts import contract_type
 from oreflow.functions.columns import ARRIVAL_ORDER, AUDIT_COLUMNS, lookup, named, row_struct
 from oreflow.operators.dedup import first_per_key, latest_per_key, text_key
 from oreflow.operators.mapping import instant, stamp
@@ -69,7 +70,9 @@ def load_table(
     valid, rejected = _stage(lake, checked, folder)
     new_runs = [c.run_id for c in new]
     rejected = rejected.where(F.col(RAW_RUN).isin(new_runs))
-    valid_count, rejected_count = valid.count(), rejected.count()
+    # rows that a lookback reads again were counted by the run that brought them
+    valid_count = valid.where(F.col(RAW_RUN).isin(new_runs)).count()
+    rejected_count = rejected.count()
 
     incoming = _persistent_rows(valid, spec, context)
     if transform is not None:
@@ -95,9 +98,9 @@ def load_table(
         done += [bad] if bad.rows else []
     if rejected_count:
         write_quarantine_json(rejected, spec, context)
-    if spec.watermark_column:
-        _advance_watermark(lake, spec, valid)
     lake.record(done)
+    if spec.watermark_column:  # after the rows are visible: a mark is never ahead of them
+        _advance_watermark(lake, spec, valid)
     drop_folder(lake.spark, folder)
     if context.keep_snapshots:
         lake.expire_snapshots("persistent", spec.target_table, context.keep_snapshots)
@@ -275,9 +278,15 @@ def write_quarantine_json(rejected: DataFrame, spec: TableSpec, context: Context
 
 
 def _advance_watermark(lake: Lake, spec: TableSpec, valid: DataFrame) -> None:
+    """The highest value so far, compared in the mark's type; a mark never moves back."""
     column = lookup(valid, spec.watermark_column)
     if column is None:
         return
-    highest = valid.agg(F.max(column).cast("string").alias("value")).first()["value"]
-    if highest is not None:
-        lake.control.set_watermark(spec.source_table, highest)
+    kind = valid.select(column).schema[0].dataType
+    if isinstance(kind, T.StringType):
+        kind = contract_type(spec.watermark_type)
+    held = lake.control.watermark(spec.source_table)
+    highest = F.greatest(F.max(column.try_cast(kind)), F.lit(held).try_cast(kind))
+    value = valid.agg(highest.cast("string").alias("value")).first()["value"]
+    if value is not None and value != held:
+        lake.control.set_watermark(spec.source_table, value)

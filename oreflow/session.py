@@ -14,6 +14,8 @@ ENGINE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # any encoding that a contract names, not only those of Spark's short list
+    "spark.sql.legacy.javaCharsets": "true",
 }
 
 SCRATCH = "oreflow"

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -131,18 +132,21 @@ def scan(
             continue
         problem = header_problem(names, spec, known)
         part = read_group(spark, group["paths"], names, spec, group["whole"])
-        parts.append(part.withColumn(REJECT, _reject_reason(problem, spec)))
+        parts.append(part.withColumn(REJECT, _reject_reason(problem, spec, len(names))))
     if not parts:
         return None
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _reject_reason(problem: str | None, spec: LandingSpec) -> Column:
+def _reject_reason(problem: str | None, spec: LandingSpec, cells: int) -> Column:
+    """Without record checks a short record is filled up; one with surplus cells would lose them."""
     if problem:
         return F.lit(problem)
-    if not spec.checks_records:
-        return F.lit(None).cast("string")
-    return F.when(named(MALFORMED).isNotNull(), F.lit("malformed_record"))
+    if spec.checks_records:
+        return F.when(named(MALFORMED).isNotNull(), F.lit("malformed_record"))
+    plain = F.regexp_replace(named(MALFORMED), '"(?:[^"]++|"")*+"', "")
+    held = F.size(F.split(plain, re.escape(spec.delimiter)))
+    return F.when(named(MALFORMED).isNotNull() & (held > cells), F.lit("surplus_cells"))
 
 
 def split_table(landed: DataFrame) -> DataFrame:

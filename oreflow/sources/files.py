@@ -6,7 +6,7 @@ import hashlib
 import os
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from urllib.parse import urlparse
 
 import pandas as pd
@@ -27,6 +27,15 @@ CHUNK_BYTES = 8 * 1024 * 1024
 # no cell can hold a line break, and no line consists of blanks only.
 WHOLE_FILE_MARKS = ('"', "\n ", "\n\t", "\r ", "\r\t")
 
+# The first record that is not blank: line ends inside quotes belong to it.
+HEADER = (
+    r"^(?:\uFEFF?[ \t]*(?:\r\n|\r|\n))*+"
+    r"((?:\"(?:[^\"]++|\"\")*+\"|[^\"\r\n]++)*+)"
+)
+
+# What a file is known by where equal files may belong to several tables.
+PER_TABLE = ("checksum", "source_table")
+
 SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 FILES_SCHEMA = (
@@ -84,7 +93,7 @@ def fingerprint(
         "size",
         "modified",
         content_checksum(F.col("content")).alias("checksum"),
-        F.substring_index(header, "\n", 1).alias("header"),
+        F.regexp_extract(header, HEADER, 1).alias("header"),
         (~held).alias("splittable"),
     )
     large = files.where(F.col("size") > whole_file_bytes).drop("content")
@@ -105,21 +114,19 @@ def fingerprint(
 
 
 def _read_through(path: str, encoding: str) -> tuple[str, str, bool]:
-    """Checksum, first line and split flag of one file of any size, in constant memory."""
+    """Checksum, header and split flag of one file of any size; the header is in its first chunk."""
     digest = hashlib.sha256()
     marks = [mark.encode() for mark in WHOLE_FILE_MARKS]
-    first_line, line_ended, splittable, last = b"", False, True, b""
+    head, splittable, last = b"", True, b""
     with _open(path) as stream:
         while chunk := stream.read(CHUNK_BYTES):
             digest.update(chunk)
             seen = last + chunk  # a mark may straddle two chunks
             splittable = splittable and not any(mark in seen for mark in marks)
             last = chunk[-1:]
-            if not line_ended:
-                head, newline, _ = chunk.partition(b"\n")
-                first_line += head
-                line_ended = bool(newline)
-    return digest.hexdigest(), first_line.decode(encoding, "replace"), splittable
+            head = head or chunk
+    header = re.match(HEADER, head.decode(encoding, "replace"))
+    return digest.hexdigest(), header.group(1), splittable
 
 
 def _open(path: str):
@@ -134,18 +141,16 @@ def _open(path: str):
     return system.open_input_stream(inner)
 
 
-def first_of_copies(files: DataFrame) -> DataFrame:
-    """One file per checksum, the first by path; copies are merged before the shuffle."""
-    facts = [c for c in files.columns if c != "checksum"]
-    first = files.groupBy("checksum").agg(
-        F.min_by(F.struct(*facts), F.col("path")).alias("__file")
-    )
-    return first.select(*[f"__file.{c}" if c != "checksum" else c for c in files.columns])
+def first_of_copies(files: DataFrame, keys: Sequence[str] = ("checksum",)) -> DataFrame:
+    """One file per key, the first by path; copies are merged before the shuffle."""
+    facts = [c for c in files.columns if c not in keys]
+    first = files.groupBy(*keys).agg(F.min_by(F.struct(*facts), F.col("path")).alias("__file"))
+    return first.select(*[f"__file.{c}" if c not in keys else c for c in files.columns])
 
 
-def new_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
+def new_files(files: DataFrame, ledger: DataFrame, keys: Sequence[str] = ("checksum",)) -> DataFrame:
     """Files whose content was never loaded; of identical files the first by path."""
-    return first_of_copies(files).join(ledger.select("checksum").distinct(), "checksum", "left_anti")
+    return first_of_copies(files, keys).join(ledger.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def already_loaded(files: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -153,9 +158,9 @@ def already_loaded(files: DataFrame, ledger: DataFrame) -> DataFrame:
     return files.join(ledger.select("checksum").distinct(), "checksum", "left_semi")
 
 
-def ledger_rows(files: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Rows to add to the ledger: one per checksum that is not in it yet."""
-    return new_files(files, ledger)
+def ledger_rows(files: DataFrame, ledger: DataFrame, keys: Sequence[str] = ("checksum",)) -> DataFrame:
+    """Rows to add to the ledger: one per key that is not in it yet."""
+    return new_files(files, ledger, keys)
 
 
 def ledger_of(ledger: DataFrame, source_table: str) -> DataFrame:

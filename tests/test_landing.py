@@ -76,7 +76,7 @@ def test_columns_bind_by_name_and_missing_ones_are_null(spark, tmp_path):
 def test_short_and_long_records(spark, tmp_path):
     (tmp_path / "f.csv").write_text("a,b\n3\n4,5,6\n7,8\n")
     assert values(landed(spark, tmp_path), "a", "b", csv.REJECT) == [
-        ("3", None, None), ("4", "5", None), ("7", "8", None),
+        ("3", None, None), ("4", "5", "surplus_cells"), ("7", "8", None),
     ]
     strict = LandingSpec(exact_column_count=2)
     assert values(landed(spark, tmp_path, strict), csv.REJECT, csv.MALFORMED) == [
