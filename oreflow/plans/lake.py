@@ -8,6 +8,7 @@ parts appended after it.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
@@ -23,10 +24,14 @@ from oreflow.plans.control import ControlTables
 from oreflow.session import drop_folder
 
 
-# Catalog database for the entries that let Spark use the bucketing of a snapshot.
+# Catalog databases, one a lake, for the entries that let Spark use the bucketing of a snapshot.
 BUCKET_DATABASE = "oreflow_snapshots"
 
 
+class ConcurrentChange(RuntimeError):
+    """Another run changed a table between reading its state and committing the next one."""
+
+
 @dataclass(frozen=True)
 class Commit:
     """One written folder of a table."""
@@ -49,6 +54,7 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
         self.control = control or ControlTables(spark, f"{self.root}/control")
+        self.bucket_database = f"{BUCKET_DATABASE}_{hashlib.sha256(self.root.encode()).hexdigest()[:12]}"
 
     def write_part(
         self,
@@ -127,8 +133,8 @@ class Lake:
 
     def _bucket_table(self, folder: str) -> str:
         """Catalog name of a bucketed folder (a pointer; the folder is the table)."""
-        self.create_database(BUCKET_DATABASE)
-        return f"{BUCKET_DATABASE}.t_{folder.rsplit('/', 1)[-1]}"
+        self.create_database(self.bucket_database)
+        return f"{self.bucket_database}.t_{folder.rsplit('/', 1)[-1]}"
 
     def _read_bucketed(self, commit: Commit) -> DataFrame:
         name = self._bucket_table(commit.path)
@@ -150,6 +156,12 @@ class Lake:
             ]
         )
 
+    def check_unchanged(self, layer: str, table: str, held: Sequence[Commit]) -> None:
+        """Refuse to go on when the table is no longer what it was when it was read."""
+        now = {commit.path for commit in self.visible(layer, table)}
+        if now != {commit.path for commit in held}:
+            raise ConcurrentChange(f"{layer}.{table} was changed by another run; repeat this one")
+
     def record(self, commits: Sequence[Commit]) -> None:
         """Make written folders visible, all in one append."""
         now = datetime.now(timezone.utc)

@@ -98,6 +98,8 @@ def load_table(
         done += [bad] if bad.rows else []
     if rejected_count:
         write_quarantine_json(rejected, spec, context)
+    if done[0].kind == "snapshot":  # it replaces what was read
+        lake.check_unchanged("persistent", spec.target_table, held)
     lake.record(done)
     if spec.watermark_column:  # after the rows are visible: a mark is never ahead of them
         _advance_watermark(lake, spec, valid)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from oreflow import parse_contract, run_pipeline
-from oreflow.plans.lake import Lake
+from oreflow.plans.lake import ConcurrentChange, Lake
 
 RAW = {"landing": {"raw_table": "raw_rain"}, "raw": {"table_name": "raw_rain"}}
 
@@ -93,3 +93,25 @@ def test_lookback_counts_new_rows_only(spark, make_context):
     done = run_pipeline(spark, contract, make_context("run-2", moment=moment))
     counts = done.control.read("row_counts").where("layer = 'persistent' AND run_id = 'run-2'")
     assert [r.inserted for r in counts.select(F.col("inserted")).collect()] == [1]
+
+
+def test_a_merge_refuses_a_table_that_changed_meanwhile(spark, make_context):
+    table = {
+        "table_name": "rain", "source_table": "raw_rain", "primary_keys": ["day"],
+        "columns": [{"name": "day", "type": "INTEGER", "nullable": False}],
+    }
+    contract = parse_contract({**RAW, "persistent": [table]})
+    put(make_context.landing, "a.csv", "day\n1\n")
+    lake = run_pipeline(spark, contract, make_context("run-1")).lake
+
+    def meddle(df, context):
+        other = lake.read("persistent", "rain").withColumn("day", F.lit(99))
+        lake.record([lake.write_snapshot("persistent", "rain", "other", other)])
+        return df
+
+    put(make_context.landing, "b.csv", "day\n2\n")
+    with pytest.raises(ConcurrentChange):
+        run_pipeline(spark, contract, make_context("run-2"), transforms={"rain": meddle})
+    assert [r.day for r in lake.read("persistent", "rain").collect()] == [99]
+    run_pipeline(spark, contract, make_context("run-3"))
+    assert sorted(r.day for r in lake.read("persistent", "rain").collect()) == [2, 99]
