@@ -17,15 +17,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(function: Callable[[SparkSession, str], DataFrame]):
+def query(function: Callable[[SparkSession, str], DataFrame], sql: str | None = None):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
         return function(spark, sf_dir)
 
     QUERIES[function.__name__] = run
+    if sql is not None:
+        ORACLES[function.__name__] = sql
     return run
 
 
+def with_sql(sql: str):
+    return lambda function: query(function, sql)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -75,7 +81,42 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query
+@with_sql(
+    """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS place
+  FROM documents WHERE text IS NOT NULL
+), worded AS (
+  SELECT doc_id, place, line, list_filter(string_split(lower(line), ' '), lambda w: w <> '') AS words
+  FROM lines
+), sets AS (
+  SELECT doc_id, place, line,
+         CASE WHEN len(words) = 0 THEN []
+              ELSE list_distinct(list_transform(range(1, greatest(len(words) - 4, 1) + 1),
+                                                lambda i: array_to_string(words[i:i + 4], ' ')))
+         END AS shingles
+  FROM worded
+), spread AS (
+  SELECT doc_id, place, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+), gone AS (
+  SELECT DISTINCT doc_id, place FROM (
+    SELECT y.doc_id, y.place
+    FROM spread x JOIN spread y ON x.shingle = y.shingle
+     AND (x.doc_id < y.doc_id OR (x.doc_id = y.doc_id AND x.place < y.place))
+    GROUP BY x.doc_id, x.place, y.doc_id, y.place
+    HAVING 9 * count(*) >= 4 * (any_value(x.n) + any_value(y.n)))
+)
+SELECT d.doc_id, CAST(coalesce(c.n_lines, 0) AS INTEGER) AS n_lines,
+       CAST(coalesce(c.n_removed, 0) AS INTEGER) AS n_removed,
+       CASE WHEN d.text IS NOT NULL THEN coalesce(c.text, '') END AS text
+FROM documents d LEFT JOIN (
+  SELECT l.doc_id, count(*) AS n_lines, count(g.place) AS n_removed,
+         string_agg(l.line, chr(10) ORDER BY l.place) FILTER (WHERE g.place IS NULL) AS text
+  FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.place = g.place
+  GROUP BY l.doc_id) c ON d.doc_id = c.doc_id
+"""
+)
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_removed", "text")
@@ -86,6 +127,24 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-@query
+@with_sql(
+    """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+)
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balltree.nearest(table(spark, sf_dir, "embeddings"), every=50)
