@@ -169,6 +169,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         asked = asked.select(
             "size", others.alias("shard"), block, "vec_id", "key", "vector", F.col("least").cast("double").alias("floor")
         )
+        asked = asked.toDF(*asked.columns)  # columns of its own, not those of the vectors it meets
         every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
         held = rows.select("size", "shard", every_block, "vec_id", "vector")
 
