@@ -245,8 +245,11 @@ def _one_a_task(listed: DataFrame) -> DataFrame:
     return listed.repartition(max(1, listed.count()))
 
 
-def read_documents(listed: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32, ids of every document, from the files; a task a file."""
+def read_documents(listed: DataFrame, with_ids: bool = True) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32, ids of every document, from the files; a task a file.
+
+    ``with_ids=False`` reads and checks the ids all the same and leaves them there.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,21 +259,21 @@ def read_documents(listed: DataFrame) -> DataFrame:
                     reader = Reader(stream)
                     for number in range(len(reader.ranges)):
                         held = reader.frame(number)
-                        ids = np.concatenate([d.ids for d in held]).astype(np.int32)
-                        ends = np.cumsum([0, *(len(d.ids) for d in held)])
                         crc = [zlib.crc32(d.ids.astype("<u4").tobytes()) for d in held]
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([d.doc_id for d in held], pa.int64()),
-                                pa.array([row["before"] + d.start for d in held], pa.int64()),
-                                pa.array([len(d.ids) for d in held], pa.int64()),
-                                pa.array(crc, pa.int64()),
-                                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
-                            ],
-                            names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
-                        )
-
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long, ids array<int>"
+                        columns = [
+                            pa.array([d.doc_id for d in held], pa.int64()),
+                            pa.array([row["before"] + d.start for d in held], pa.int64()),
+                            pa.array([len(d.ids) for d in held], pa.int64()),
+                            pa.array(crc, pa.int64()),
+                        ]
+                        if with_ids:
+                            ids = np.concatenate([d.ids for d in held]).astype(np.int32)
+                            ends = np.cumsum([0, *(len(d.ids) for d in held)])
+                            columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)))
+                        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = ["doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * with_ids]
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
     return _one_a_task(listed).mapInArrow(read, schema)
 
 
@@ -295,6 +298,6 @@ def find_documents(listed: DataFrame, wanted: list[int | None]) -> DataFrame:
 
 
 def round_trip(documents: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
-    """Write to the shared scratch and read back."""
+    """Write to the shared scratch and read back: all but the ids themselves."""
     folder = new_folder(documents.sparkSession, "token-files")
-    return read_documents(write_documents(documents, tokenizer, folder, end_id))
+    return read_documents(write_documents(documents, tokenizer, folder, end_id), with_ids=False)

@@ -28,6 +28,9 @@ RUN_CHARS = 1 << 19
 
 #: A blank between two characters that are no white space: there a word ends in either scheme.
 _BETWEEN = re.compile(r" (?=\S)(?<=\S )")
+#: A blank beside other white space, and white space beyond ASCII.
+_TOUCHING = tuple(p for c in " \t\n\v\f\r\x1c\x1d\x1e\x1f" for p in (f" {c}", f"{c} "))
+_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Stands between chunks that are encoded in one string; chunks that hold it are encoded alone.
 _MARK = "\x01"
 _PLAIN = re.compile(r" ?[^\s\x01](?:[^\x01]*[^\s\x01])?\Z")
@@ -40,7 +43,11 @@ def blank_chunks(text: str) -> list[str]:
 
 def spaced_chunks(text: str) -> list[str]:
     """For byte-level pre-tokenizers, where one blank opens the word behind it."""
-    first, *rest = _BETWEEN.split(text)
+    alone = not any(map(text.__contains__, _TOUCHING)) and (text.isascii() or not _WIDE.search(text))
+    if alone and text[:1] != " " and text[-1:] != " ":  # each blank is between two words
+        first, *rest = text.split(" ")
+    else:
+        first, *rest = _BETWEEN.split(text)
     return [first, *[f" {word}" for word in rest]]
 
 
