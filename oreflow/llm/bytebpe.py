@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import chain, groupby, islice
 from operator import itemgetter
 
@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 from oreflow.llm.common import slices
 
 #: Bounds of what a worker keeps: transitions, distinct words, characters of them.
-TRANSITIONS = 200_000
-KNOWN_WORDS = 300_000
-KNOWN_CHARS = 10_000_000
+TRANSITIONS = 700_000
+KNOWN_WORDS = 400_000
+KNOWN_CHARS = 12_000_000
 #: Texts are worked on in portions of about so many characters.
 PORTION = 1 << 19
 
@@ -79,7 +79,7 @@ class Merges:
         known = self._beside.get(pair)
         if known is not None:
             return known
-        if len(self._beside) > TRANSITIONS:
+        if len(self._beside) > TRANSITIONS // 2:
             self._beside.clear()
         ranks, before, stays = self.ranks, len(self.ranks) << 1, True
         while True:
@@ -106,61 +106,80 @@ class Transducer:
     """Reads bytes of one word, puts out token ids; states are made when first met."""
 
     def __init__(self, ranks: dict[bytes, int]):
+        if max(map(len, ranks)) > 255:
+            raise ValueError("tokens of more than 255 bytes")
         self.merges = Merges(ranks)
         self._forget()
 
     def _forget(self) -> None:
-        self._numbers: dict[tuple[bytes, bytes], int] = {}
-        #: By number: last token put out; bytes behind it; for each place in these, where
-        #: the token that ends there begins; the places where a longer token may begin.
-        self._states: list[tuple[bytes, bytes, tuple[int, ...], tuple[int, ...]]] = []
-        self._moves: dict[int, tuple[int, tuple[int, ...]]] = {}
+        #: States are numbered as they are met.  A state's key: length of the last token
+        #: put out, that token, the bytes behind it.
+        self._numbers: dict[bytes, int] = {}
+        #: By number: key; for each place behind, where the token that ends there begins;
+        #: the places where a longer token may begin.  Places are kept as bytes if they fit.
+        self._states: list[tuple[bytes, bytes | tuple, bytes | tuple]] = []
+        #: state << 8 | byte -> number of what is put out << 32 | next state
+        self._moves: dict[int, int] = {}
+        self._outs: list[tuple[int, ...]] = [()]
+        self._out_number: dict[tuple[int, ...], int] = {(): 0}
         self._ends: dict[int, tuple[int, ...]] = {}
-        self._number(b"", b"", (0,), ())
-
-    def _number(self, last: bytes, behind: bytes, begins: tuple, live: tuple) -> int:
-        number = self._numbers.setdefault((last, behind), len(self._states))
-        if number == len(self._states):
-            self._states.append((last, behind, begins, live))
+        self._number(b"", b"", [0], [])
+
+    def _number(self, last: bytes, behind: bytes, begins: list[int], live: list[int]) -> int:
+        key = bytes((len(last),)) + last + behind
+        number = self._numbers.get(key)
+        if number is None:
+            number = self._numbers[key] = len(self._states)
+            small = bytes if len(begins) < 256 else tuple
+            self._states.append((key, small(begins), small(live)))
         return number
 
-    def _ids(self, behind: bytes, begins: tuple[int, ...], end: int) -> tuple[int, ...]:
+    def _ids(self, behind: bytes, begins: Sequence[int], end: int) -> tuple[int, ...]:
         """The tokens of the bytes up to ``end``."""
-        out = []
+        out, ranks = [], self.merges.ranks
         while end:
-            out.append(self.merges.ranks[behind[begins[end] : end]])
-            end = begins[end]
+            begin = begins[end]
+            out.append(ranks[behind[begin:end]])
+            end = begin
         return tuple(out[::-1])
 
-    def _make(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        last, behind, begins, live = self._states[state]
-        merges = self.merges
-        behind += bytes((byte,))
-        size = len(behind)
-        live = (*live, size - 1)
+    def _make(self, state: int, byte: int) -> int:
+        key, begins, live = self._states[state]
+        cut = 1 + key[0]
+        last, behind = key[1:cut], key[cut:] + bytes((byte,))
+        merges, size = self.merges, len(behind)
+        ranks, openings = merges.ranks, merges.openings
+        tails = [(at, behind[at:]) for at in live]
+        tails.append((size - 1, behind[size - 1 :]))
         # one token ends here that its neighbour lets stand
-        for at in live:
-            token = behind[at:]
-            if token in merges.ranks and merges.reachable(token):
+        for at, token in tails:
+            if token in ranks and merges.reachable(token):
                 before = behind[begins[at] : at] if at else last
                 if not before or merges.beside(before, token):
                     break
-        begins = (*begins, at)
-        live = tuple(at for at in live if behind[at:] in merges.openings)
+        begins = [*begins, at]
+        live = [at for at, tail in tails if tail in openings]
         # what the encodings up to each live place and to the end have in common is sure
-        places = {size, *live}
-        while len(places) > 1:
-            furthest = max(places)
-            places.remove(furthest)
-            places.add(begins[furthest])
-        cut = places.pop()
-        out = self._ids(behind, begins, cut)
+        cut = size
+        if live:
+            places = {size, *live}
+            while len(places) > 1:
+                furthest = max(places)
+                places.remove(furthest)
+                places.add(begins[furthest])
+            cut = places.pop()
+        out = self._ids(behind, begins, cut) if cut else ()
         if cut:
-            last = behind[begins[cut] : cut]
-            behind = behind[cut:]
-            begins = (0, *(at - cut for at in begins[cut + 1 :]))
-            live = tuple(at - cut for at in live)
-        return self._number(last, behind, begins, live), out
+            last, behind = behind[begins[cut] : cut], behind[cut:]
+            # places that no live encoding passes may begin before the cut; nothing asks them
+            begins = [0, *[max(at - cut, 0) for at in begins[cut + 1 :]]]
+            live = [at - cut for at in live]
+        number = self._out_number.setdefault(out, len(self._outs))
+        if number == len(self._outs):
+            self._outs.append(out)
+        move = number << 32 | self._number(last, behind, begins, live)
+        self._moves[state << 8 | byte] = move
+        return move
 
     def encode(self, word: bytes) -> list[int]:
         rank = self.merges.ranks.get(word)
@@ -169,18 +188,18 @@ class Transducer:
         if len(self._moves) > TRANSITIONS:
             self._forget()
         out: list[int] = []
-        state, moves = 0, self._moves
+        state, find, outs = 0, self._moves.get, self._outs
         for byte in word:
-            key = state << 8 | byte
-            move = moves.get(key)
+            move = find(state << 8 | byte)
             if move is None:
-                move = moves[key] = self._make(state, byte)
-            state, ids = move
-            if ids:
-                out += ids
+                move = self._make(state, byte)
+            state = move & 0xFFFFFFFF
+            if move > state:
+                out += outs[move >> 32]
         rest = self._ends.get(state)
         if rest is None:
-            _, behind, begins, _ = self._states[state]
+            key, begins, _ = self._states[state]
+            behind = key[1 + key[0] :]
             rest = self._ends[state] = self._ids(behind, begins, len(behind))
         out += rest
         return out
