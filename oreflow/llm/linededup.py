@@ -45,33 +45,25 @@ def _mask(bits: int) -> Column:
 
 
 def _lines(documents: DataFrame) -> DataFrame:
+    """Lines in lower case that have a word."""
     # outer, or Catalyst would split each text twice: to see if there is anything, and again
-    lines = F.posexplode_outer(F.split("text", "\n")).alias("at", "line")
+    lines = F.posexplode_outer(F.split(F.lower("text"), "\n")).alias("at", "line")
     return documents.select("doc_id", lines).where(F.trim("line") != "")
 
 
-def _shingles(line: Column) -> Column:
-    """Hashes of the distinct shingles of a line."""
+def shingle_sets(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``shingles``: hashes of the distinct shingles of each."""
     empty = F.xxhash64(F.lit(""))
-    words = F.array_remove(F.transform(F.split(F.lower(line), " "), lambda w: F.xxhash64(w)), empty)
-    return words, lambda words: F.array_distinct(
-        F.slice(
-            F.transform(
-                words,
-                lambda w, i: F.xxhash64(w, *(F.get(words, i + k) for k in range(1, SHINGLE))).bitwiseAND(
-                    _mask(_CODE_BITS)
-                ),
-            ),
-            1,
-            F.greatest(F.size(words) - (SHINGLE - 1), F.lit(1)),
-        )
-    )
+    hashed = F.transform(F.split("line", " "), lambda word: F.xxhash64(word))
+    words = F.col("words")
 
+    def shingle(word: Column, at: Column) -> Column:
+        whole = F.xxhash64(word, *(F.get(words, at + k) for k in range(1, SHINGLE)))
+        return whole.bitwiseAND(_mask(_CODE_BITS))
 
-def shingle_sets(lines: DataFrame) -> DataFrame:
-    """``lines`` with the column shingles in place of line's words."""
-    words, of_words = _shingles(F.col("line"))
-    return lines.withColumn("words", words).withColumn("shingles", of_words(F.col("words"))).drop("words")
+    number = F.greatest(F.size(words) - (SHINGLE - 1), F.lit(1))
+    shingles = F.array_distinct(F.slice(F.transform(words, shingle), 1, number))
+    return lines.withColumn("words", F.array_remove(hashed, empty)).withColumn("shingles", shingles).drop("words")
 
 
 def _table(rows: DataFrame, size: int) -> Column:
@@ -157,7 +149,10 @@ _POSTING = {"doc_id": "doc", "at": "at", "n": "n", "k": "k"}
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(y_doc, y_at): the later lines of the pairs that are similar."""
-    pairs = pairs.select("x_doc", "x_at", "y_doc", "y_at").distinct()
+    pairs = staged(pairs.select("x_doc", "x_at", "y_doc", "y_at").distinct(), "pairs")
+    ends = pairs.select(F.col("x_doc").alias("doc_id"), F.col("x_at").alias("at"))
+    ends = ends.unionByName(pairs.select(F.col("y_doc").alias("doc_id"), F.col("y_at").alias("at")))
+    sets = sets.where(passes(sieve(ends, _place_hash()), _place_hash()))
 
     def fetch(rows: DataFrame, side: str) -> DataFrame:
         own = sets.select(*(F.col(c).alias(f"own_{c}") for c in sets.columns))
@@ -175,8 +170,7 @@ def _place_hash() -> Column:
 def repeated_lines(documents: DataFrame) -> DataFrame:
     """(doc_id, at): the places of the lines that go."""
     lines = _lines(documents)
-    text = F.lower("line")
-    by_text = [F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b")]
+    by_text = [F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b")]
 
     classes = rarity(shingle_sets(lines))
     num, den = LEAST
@@ -197,7 +191,7 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     wanted = met.select("doc_id", "at").distinct()
     wanted = wanted.select(F.col("doc_id").alias("own_doc"), F.col("at").alias("own_at"))
     place = F.col("doc_id").eqNullSafe(F.col("own_doc")) & (F.col("at") == F.col("own_at"))
-    sieved = lines.withColumn("bitmap", bitmap).where(passes(F.col("bitmap"), _place_hash())).drop("bitmap")
+    sieved = lines.where(passes(bitmap, _place_hash()))
     sets = sieved.join(wanted, place, "left_semi")
     sets = staged(shingle_sets(sets).select("doc_id", "at", "shingles"), "sets")
 
@@ -214,7 +208,7 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     more = _verified(near, sets)
     similar_ = decided.unionByName(more).select(F.col("y_doc").alias("doc_id"), F.col("y_at").alias("at"))
 
-    light = lines.select("doc_id", "at", *by_text)
+    light = staged(lines.select("doc_id", "at", *by_text), "lines")
     copies = light.groupBy("a", "b").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n"))
     copies = copies.where("n > 1").select(F.col("a").alias("of_a"), F.col("b").alias("of_b"), "first")
     equal = light.join(copies, (F.col("a") == F.col("of_a")) & (F.col("b") == F.col("of_b")))
@@ -235,11 +229,9 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     by_doc = gone.groupBy("doc_id").agg(F.collect_list("at").alias("gone_at"))
     by_doc = by_doc.select(F.col("doc_id").alias("gone_id"), "gone_at")
     hashed = F.xxhash64("doc_id")
-    marked = documents.withColumn("gone_bits", sieve(gone, hashed))
-    touched = passes(F.col("gone_bits"), hashed)
+    touched = passes(sieve(gone, hashed), hashed)
     none = F.array().cast("array<int>")
-    joined = marked.where(touched).drop("gone_bits")
-    joined = joined.join(by_doc, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").drop("gone_id")
+    joined = documents.where(touched).join(by_doc, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").drop("gone_id")
     joined = joined.withColumn("gone_at", F.coalesce("gone_at", none))
     split = F.split("text", "\n")
     kept = F.filter(split, lambda line, at: ~F.array_contains(F.col("gone_at"), at))
@@ -251,7 +243,7 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
             "text": F.array_join(kept, "\n"),
         }
     ).drop("gone_at")
-    same = marked.where(~touched).drop("gone_bits").withColumns(
+    same = documents.where(~touched).withColumns(
         {"n_lines": F.when(F.col("text").isNull(), 0).otherwise(n_lines), "n_removed": F.lit(0)}
     )
     return cleaned.unionByName(same)
