@@ -70,16 +70,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of SimHash near-duplicates the document with the smallest doc_id.
+    """Of each group of SimHash near-duplicates the row with the smallest doc_id; null doc_ids come last.
 
-    Of rows that repeat a doc_id one stays.
+    Rows are told by doc_id and text: of rows that repeat a doc_id each group keeps its own.
     """
     prepare(spark)
-    found = simhash.near_duplicates(docs.select("doc_id", "text"))
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    first = simhash.survivors(docs.select("doc_id", "text")).toDF("first_a", "first_b")
     plain = _own_names(docs, "doc_id", "text")
-    stays = plain.join(first.toDF("first_id"), F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    a, b = simhash.text_hashes()
+    stays = plain.join(first, (a == F.col("first_a")) & (b == F.col("first_b")), "left_semi")
+    # rows that repeat both doc_id and text
+    one = Window.partitionBy(a, b).orderBy("doc_id")
     stays = stays.withColumn("nth", F.row_number().over(one)).where("nth = 1")
     return stays.select(*plain.columns).toDF(*docs.columns)
 

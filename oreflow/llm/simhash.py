@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import slices, staged
+from oreflow.llm.common import slices, staged, with_fields
 from oreflow.llm.components import components
 
 SHINGLE = 3
@@ -68,19 +68,19 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> bytes:
 
 
 def fingerprints(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fingerprint (long) of each whole text; null is empty, without words zero."""
+    """All columns but the text, and fingerprint (long) of each whole text; null is empty, without words zero."""
+    carried = [c for c in documents.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in slices(batch, "text", RUN_CHARS):
                 found = np.frombuffer(b"".join(fingerprint(t, shingle) for t in texts), ">i8")
+                own = [batch.column(c).slice(first, len(texts)) for c in carried]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, len(texts)), pa.array(found.astype(np.int64))],
-                    names=["doc_id", "fingerprint"],
+                    [*own, pa.array(found.astype(np.int64))], names=[*carried, "fingerprint"]
                 )
 
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint long")
+    return documents.mapInArrow(run, with_fields(documents.select(*carried), "fingerprint long"))
 
 
 def embedding(fingerprint: Column) -> Column:
@@ -118,6 +118,14 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, groups: int = GROUPS) -
     return left.join(right, ["grid", "cell"]).where((F.col("u") < F.col("v")) & near & exact).select("u", "v")
 
 
+def _rooted(nodes: DataFrame, max_bits: int, groups: int) -> DataFrame:
+    """fingerprint, least, root: distinct fingerprints with the root of their component."""
+    found = components(links(nodes.select("fingerprint"), max_bits, groups))
+    return nodes.join(found, F.col("fingerprint") == F.col("node"), "left").select(
+        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
+    )
+
+
 def near_duplicates(
     documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, groups: int = GROUPS
 ) -> DataFrame:
@@ -127,12 +135,9 @@ def near_duplicates(
     a group of copies costs one row in the join whatever its size.  Null doc_ids
     count as largest: a component of them alone has a null component_id.
     """
-    docs = staged(fingerprints(documents, shingle), "fingerprints")
+    docs = staged(fingerprints(documents.select("doc_id", "text"), shingle), "fingerprints")
     nodes = docs.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
-    found = components(links(nodes.select("fingerprint"), max_bits, groups))
-    roots = nodes.join(found, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
+    roots = _rooted(nodes, max_bits, groups)
     named = roots.groupBy(F.col("root").alias("of_root")).agg(F.min("least").alias("component_id"))
     named = roots.join(named, F.col("root") == F.col("of_root")).select(
         F.col("fingerprint").alias("of"), "component_id"
@@ -141,3 +146,21 @@ def near_duplicates(
     return docs.join(named, F.col("fingerprint") == F.col("of")).select(
         "doc_id", hexed.alias("fingerprint"), "component_id"
     )
+
+
+def text_hashes(doc_id: str = "doc_id", text: str = "text") -> tuple[Column, Column]:
+    """Two hashes that with each other tell a row by its doc_id and text."""
+    return F.xxhash64(doc_id, text), F.xxhash64(F.lit(1), doc_id, text)
+
+
+def survivors(
+    documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, groups: int = GROUPS
+) -> DataFrame:
+    """(a, b): the text_hashes of one row of each component, the least by (doc_id, hashes); null doc_ids last."""
+    a, b = text_hashes()
+    hashed = documents.select("doc_id", "text", a.alias("a"), b.alias("b"))
+    docs = staged(fingerprints(hashed, shingle), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "a", "b")
+    nodes = docs.groupBy("fingerprint").agg(F.min(row).alias("least"))
+    first = _rooted(nodes, max_bits, groups).groupBy("root").agg(F.min("least").alias("first"))
+    return first.select("first.a", "first.b")

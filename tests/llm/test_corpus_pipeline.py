@@ -81,6 +81,17 @@ def test_lines_and_groups_by_brute_force(stages):
     assert {i: r for i, r in kept.items()} == {i: after[i] for i in after if root[i] == i}
 
 
+def test_one_row_stays_of_each_group_whatever_its_ids(spark):
+    rng = random.Random(5)
+    a, b, c, d, e = (" ".join(str(rng.random()) for _ in range(40)) for _ in range(5))
+    rows = [(None, a), (None, b), (None, b), (3, c), (5, c), (5, d), (5, e), (None, e), (7, None)]
+    table = spark.createDataFrame([(t, i, 0) for i, t in rows], "text string, doc_id long, nth int")
+    kept = corpus_pipeline.near_dedup(spark, table, "")
+    assert kept.columns == table.columns
+    expected = [(None, a), (None, b), (3, c), (5, d), (5, e), (7, None)]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(str, expected))
+
+
 def test_packing_holds_all_that_was_kept(stages):
     kept, pieces = by_id(stages[4]), stages[5].collect()
     plain = tokenizer(WORD_BPE)
