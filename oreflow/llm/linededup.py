@@ -2,8 +2,9 @@
 
 A line is the set of its five-word shingles (a shorter line: one shingle of all its
 words).  A line goes if an earlier line, in the order of (doc_id, place in the
-text), has a Jaccard similarity of at least 4/5 with it; equal lines are the special
-case.  Lines without a word stay.
+text, hashes of the row), has a Jaccard similarity of at least 4/5 with it; equal
+lines are the special case.  Lines without a word stay.  A row is told by two hashes
+of its doc_id and text, so rows of one doc_id, or of none, have lines of their own.
 
 Method, in DataFrame operations only:
 
@@ -48,7 +49,15 @@ def _lines(documents: DataFrame) -> DataFrame:
     """Lines in lower case that have a word."""
     # outer, or Catalyst would split each text twice: to see if there is anything, and again
     lines = F.posexplode_outer(F.split(F.lower("text"), "\n")).alias("at", "line")
-    return documents.select("doc_id", lines).where(F.trim("line") != "")
+    a, b = row_hashes()
+    # hashed once a text, below the lines
+    rows = documents.select("doc_id", "text", a.alias("row_a"), b.alias("row_b"))
+    return rows.select("doc_id", "row_a", "row_b", lines).where(F.trim("line") != "")
+
+
+def row_hashes() -> tuple[Column, Column]:
+    """What tells a row: two hashes of its doc_id and text."""
+    return F.xxhash64("doc_id", "text"), F.xxhash64(F.lit(1), "doc_id", "text")
 
 
 def shingle_sets(lines: DataFrame) -> DataFrame:
@@ -119,7 +128,14 @@ def passes(bitmap: Column, hashed: Column) -> Column:
 
 def _earlier(a: str, b: str) -> Column:
     """Place a before place b; null doc_ids come first."""
-    return F.struct(f"{a}_doc", f"{a}_at") < F.struct(f"{b}_doc", f"{b}_at")
+    order = ("doc", "at", "row_a", "row_b")
+    return F.struct(*(f"{a}_{c}" for c in order)) < F.struct(*(f"{b}_{c}" for c in order))
+
+
+def _same_place(side: str) -> Column:
+    """The place of a side of a pair is that of the columns own_*."""
+    equal = [F.col(f"{side}_{c}") == F.col(f"own_{c}") for c in _PLACE]
+    return equal[0] & equal[1] & equal[2]
 
 
 def _may_match() -> Column:
@@ -144,31 +160,36 @@ def _named(df: DataFrame, side: str) -> DataFrame:
     )
 
 
-_POSTING = {"doc_id": "doc", "at": "at", "n": "n", "k": "k"}
+#: A line: its row and its number in the text.
+_PLACE = ["row_a", "row_b", "at"]
+_POSTING = {"doc_id": "doc", "at": "at", "row_a": "row_a", "row_b": "row_b", "n": "n", "k": "k"}
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(y_doc, y_at): the later lines of the pairs that are similar."""
-    pairs = staged(pairs.select("x_doc", "x_at", "y_doc", "y_at").distinct(), "pairs")
-    ends = pairs.select(F.col("x_doc").alias("doc_id"), F.col("x_at").alias("at"))
-    ends = ends.unionByName(pairs.select(F.col("y_doc").alias("doc_id"), F.col("y_at").alias("at")))
+    """The places, as y_*, of the later lines of the pairs that are similar."""
+    pairs = staged(pairs.select(*(f"{side}_{c}" for side in "xy" for c in _PLACE)).distinct(), "pairs")
+
+    def places(side: str) -> DataFrame:
+        return pairs.select(*(F.col(f"{side}_{c}").alias(c) for c in _PLACE))
+
+    ends = places("x").unionByName(places("y"))
     sets = sets.where(passes(sieve(ends, _place_hash()), _place_hash()))
 
     def fetch(rows: DataFrame, side: str) -> DataFrame:
         own = sets.select(*(F.col(c).alias(f"own_{c}") for c in sets.columns))
-        place = F.col(f"{side}_doc").eqNullSafe(F.col("own_doc_id")) & (F.col(f"{side}_at") == F.col("own_at"))
-        return rows.join(own, place).withColumnRenamed("own_shingles", side).drop("own_doc_id", "own_at")
+        joined = rows.join(own, _same_place(side)).withColumnRenamed("own_shingles", side)
+        return joined.drop(*(f"own_{c}" for c in _PLACE))
 
     both = fetch(fetch(pairs, "x"), "y")
-    return both.where(similar(F.col("x"), F.col("y"))).select("y_doc", "y_at").distinct()
+    return both.where(similar(F.col("x"), F.col("y"))).select(*(f"y_{c}" for c in _PLACE)).distinct()
 
 
 def _place_hash() -> Column:
-    return F.xxhash64("doc_id", "at")
+    return F.xxhash64(*_PLACE)
 
 
 def repeated_lines(documents: DataFrame) -> DataFrame:
-    """(doc_id, at): the places of the lines that go."""
+    """(row_a, row_b, at): the places of the lines that go."""
     lines = _lines(documents)
     by_text = [F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b")]
 
@@ -176,62 +197,66 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     num, den = LEAST
     codes = _ordered(F.col("shingles"), F.col("classes")).alias("codes")
     # each column used once, so that the table of classes goes into the expression, not the rows
-    coded = shingle_sets(lines).withColumn("classes", classes).select("doc_id", "at", "line", codes)
-    coded = coded.select("doc_id", "at", *by_text, F.size("codes").alias("n"), "codes")
+    coded = shingle_sets(lines).withColumn("classes", classes).select("doc_id", *_PLACE, "line", codes)
+    coded = coded.select("doc_id", *_PLACE, *by_text, F.size("codes").alias("n"), "codes")
     prefix = F.slice("codes", 1, F.col("n") - _ceil_div(F.col("n") * num, den) + 1)
     # equal lines are one: the first of them
-    first = coded.groupBy("a", "b").agg(F.min(F.struct("doc_id", "at", "n", prefix.alias("prefix"))).alias("first"))
+    line = F.struct("doc_id", "at", "row_a", "row_b", "n", prefix.alias("prefix"))
+    first = coded.groupBy("a", "b").agg(F.min(line).alias("first"))
     postings = first.select("first.*").select(
-        "doc_id", "at", "n", F.posexplode("prefix").alias("k", "code")
+        "doc_id", *_PLACE, "n", F.posexplode("prefix").alias("k", "code")
     )
     entry = Window.partitionBy("code")
     met = staged(postings.withColumn("size", F.count("*").over(entry)).where("size > 1"), "met")
 
     bitmap = sieve(met, _place_hash())
-    wanted = met.select("doc_id", "at").distinct()
-    wanted = wanted.select(F.col("doc_id").alias("own_doc"), F.col("at").alias("own_at"))
-    place = F.col("doc_id").eqNullSafe(F.col("own_doc")) & (F.col("at") == F.col("own_at"))
     sieved = lines.where(passes(bitmap, _place_hash()))
-    sets = sieved.join(wanted, place, "left_semi")
-    sets = staged(shingle_sets(sets).select("doc_id", "at", "shingles"), "sets")
+    # equal rows have their lines in common: once each
+    sieved = sieved.groupBy(*_PLACE).agg(F.any_value("line").alias("line"))
+    sets = sieved.join(met.select(*_PLACE).distinct(), _PLACE, "left_semi")
+    sets = staged(shingle_sets(sets).select(*_PLACE, "shingles"), "sets")
 
     # against the first line of each entry
-    leads = met.groupBy("code").agg(F.min(F.struct("doc_id", "at", "n", "k")).alias("lead"))
+    leads = met.groupBy("code").agg(F.min(F.struct("doc_id", "at", "row_a", "row_b", "n", "k")).alias("lead"))
     leads = _named(leads.select("code", "lead.*"), "x")
     pairs = leads.join(_named(met, "y"), "code").where(_earlier("x", "y") & _may_match())
     decided = staged(_verified(pairs, sets), "decided")
 
     # the rest against all earlier lines of their entries but the first
-    here = F.col("doc_id").eqNullSafe(F.col("y_doc")) & (F.col("at") == F.col("y_at"))
-    rest = _named(met.join(decided, here, "left_anti"), "y")
+    known = decided.select(*(F.col(f"y_{c}").alias(c) for c in _PLACE))
+    rest = _named(met.join(known, _PLACE, "left_anti"), "y")
     near = _named(met, "x").join(rest, "code").where(_earlier("x", "y") & _may_match())
     more = _verified(near, sets)
-    similar_ = decided.unionByName(more).select(F.col("y_doc").alias("doc_id"), F.col("y_at").alias("at"))
+    similar_ = known.unionByName(more.select(*(F.col(f"y_{c}").alias(c) for c in _PLACE)))
 
-    light = staged(lines.select("doc_id", "at", *by_text), "lines")
-    copies = light.groupBy("a", "b").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n"))
+    light = staged(lines.select("doc_id", *_PLACE, *by_text), "lines")
+    earliest = F.min(F.struct("doc_id", "at", "row_a", "row_b")).alias("first")
+    copies = light.groupBy("a", "b").agg(earliest, F.count("*").alias("n"))
     copies = copies.where("n > 1").select(F.col("a").alias("of_a"), F.col("b").alias("of_b"), "first")
     equal = light.join(copies, (F.col("a") == F.col("of_a")) & (F.col("b") == F.col("of_b")))
-    equal = equal.where(~F.struct("doc_id", "at").eqNullSafe(F.col("first"))).select("doc_id", "at")
-    return similar_.unionByName(equal)
+    itself = F.struct(*_PLACE) == F.struct(*(F.col(f"first.{c}") for c in _PLACE))
+    return similar_.unionByName(equal.where(~itself).select(*_PLACE))
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
     """``documents`` with text less its repeated lines, and n_lines and n_removed.
 
     Columns of these two names are replaced, all others kept.  Null text has no
-    lines and stays null; a text whose every line goes is empty.  doc_id names a
-    document: rows that repeat one count as one place and lose the same lines.  Null
-    doc_ids come before all others.
+    lines and stays null; a text whose every line goes is empty.  Rows that repeat
+    both doc_id and text count as one place and lose the same lines; rows that share
+    a doc_id, or have none, with other texts lose only their own.  Null doc_ids come
+    before all others; of lines at one place of one doc_id that of the lesser hash of
+    the row comes first.
     """
     documents = documents.drop("n_lines", "n_removed")
     gone = staged(repeated_lines(documents.select("doc_id", "text")).distinct(), "gone")
-    by_doc = gone.groupBy("doc_id").agg(F.collect_list("at").alias("gone_at"))
-    by_doc = by_doc.select(F.col("doc_id").alias("gone_id"), "gone_at")
-    hashed = F.xxhash64("doc_id")
-    touched = passes(sieve(gone, hashed), hashed)
+    by_row = gone.groupBy("row_a", "row_b").agg(F.collect_list("at").alias("gone_at"))
+    by_row = by_row.toDF("gone_a", "gone_b", "gone_at")
+    a, b = row_hashes()
+    touched = passes(sieve(gone, F.col("row_a")), a)
     none = F.array().cast("array<int>")
-    joined = documents.where(touched).join(by_doc, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").drop("gone_id")
+    own = (a == F.col("gone_a")) & (b == F.col("gone_b"))
+    joined = documents.where(touched).join(by_row, own, "left").drop("gone_a", "gone_b")
     joined = joined.withColumn("gone_at", F.coalesce("gone_at", none))
     split = F.split("text", "\n")
     kept = F.filter(split, lambda line, at: ~F.array_contains(F.col("gone_at"), at))

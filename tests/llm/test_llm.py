@@ -273,6 +273,26 @@ def test_lines_of_repeated_and_null_ids(spark):
     assert rows == [(False, 0, "a b c"), (True, 1, ""), (True, 1, ""), (True, 2, "")]
 
 
+def test_lines_of_repeated_and_null_ids_with_different_texts(spark):
+    def kept(*rows):
+        found = linededup.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()
+        return sorted((r.doc_id or 0, r.text, r.n_removed) for r in found)
+
+    assert kept((1, "a\nb"), (1, "c\na")) == [(1, "a\nb", 0), (1, "c", 1)]
+    words = [" ".join(f"{name}{i}" for i in range(30)) for name in "pqrstu"]
+    near = [f"{text} more" for text in words]
+    # repeated and nearly repeated lines at all places of rows without an id
+    rows = [(None, f"{words[0]}\n{words[1]}"), (None, f"{words[2]}\n{near[0]}"), (None, f"own\n{words[3]}\n{near[2]}")]
+    rows += [(9, f"{words[4]}\n{words[3]}"), (9, f"{near[1]}\n{words[5]}"), (9, "x\ny"), (9, "x\ny")]
+    expected = [
+        (0, words[2], 1), (0, f"own\n{words[3]}", 1), (0, f"{words[0]}\n{words[1]}", 0),
+        (9, words[4], 1), (9, words[5], 1), (9, "x\ny", 0), (9, "x\ny", 0),
+    ]
+    assert kept(*rows) == sorted(expected)
+    # at one place of one id one of the two stays
+    assert [n for *_, n in kept((None, words[0]), (None, f"{words[0]}\nown"))] in ([0, 1], [1, 0])
+
+
 def test_lines_run_no_python(spark):
     plan = linededup.dedup_lines(documents(spark, ["a b", "a b"]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
