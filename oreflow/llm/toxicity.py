@@ -2,13 +2,15 @@
 
 A text is a bag of sentences.  A sentence is toxic with probability
 p = sigmoid(bias + weights of its words), where a word weighs what its letter n-grams and
-the word as a whole do (so endings and made-up forms don't hide a stem); the text is toxic if any sentence is:
-P = 1 - product of (1 - p).  Labels are of texts alone; fitting the likelihood of
+the word as a whole do (so endings and made-up forms don't hide a stem); the text is toxic if any sentence is.
+The bias counts once a text and a sentence by what it has above the bias, so plain
+sentences add nothing, however many there are: with q = 1 - sigmoid(bias),
+P = 1 - q * product of min(1, (1 - p) / q).  Labels are of texts alone; fitting the likelihood of
 P finds the sentences that account for them, and scoring says which these are.
 
-The classifier is fitted on a bounded sample of the labelled rows: SAMPLE texts of
-either label, chosen by a hash of their doc_id, in one task.  Scores then need no
-shuffle.
+The classifier is fitted on a bounded sample of the labelled rows that have a text:
+SAMPLE texts of either label, chosen by a hash of doc_id and text, in one task.
+Scores then need no shuffle.
 """
 
 from __future__ import annotations
@@ -20,14 +22,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import bucket_of, slices, with_fields
+from oreflow.llm.common import bucket_of, slices, staged, with_fields
 
-#: Bounds of the sample: texts of each label; longer texts are not learned from.
+#: Bounds of the sample, for each label: texts, and characters of all of them before the
+#: last one.  A text that is longer than all may be together is not learned from.
 SAMPLE = 3000
-SAMPLE_CHARS = 50_000
+SAMPLE_CHARS = 20_000_000
 #: Length of the n-grams; word ends count as letters.
 GRAM = 4
 #: Only features whose texts tell the labels apart have weights: by the likelihood
@@ -48,6 +51,7 @@ RUN_CHARS = 1 << 19
 #: Distinct words whose weight a task remembers.
 KNOWN_WORDS = 400_000
 
+_HASHES = 1 << 40
 _LEAST_LOGIT = math.log(OFFENDING / (1 - OFFENDING))
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -92,7 +96,8 @@ def _telling(bags: list[list[set[str]]], labels: list[int]) -> list[str]:
 
 def fit(texts: list[str], labels: list[int], shares: tuple[float, float]) -> tuple[float, dict[str, float]]:
     """Bias and weights of features.  ``shares``: how common labels 0 and 1 are outside the sample."""
-    bags = [[words for _, _, words in sentences(text)] for text in texts]
+    one: dict[str, str] = {}  # each word is held once
+    bags = [[{one.setdefault(w, w) for w in words} for _, _, words in sentences(text)] for text in texts]
     names = _telling(bags, labels)
     number = {feature: at for at, feature in enumerate(names)}
     known: dict[str, list[int]] = {}
@@ -104,27 +109,33 @@ def fit(texts: list[str], labels: list[int], shares: tuple[float, float]) -> tup
                 if w not in known:
                     known[w] = sorted(number[f] for f in features(w) if f in number)
                 own += known[w]
+            if not own:
+                continue  # at the bias, whatever that is
             word += sorted(own)
             of_sentence += [count] * len(own)
             of_text.append(at)
             count += 1
     of_text, word, of_sentence = (np.array(x, np.int64) for x in (of_text, word, of_sentence))
-    y = np.array(labels, np.float64)
+    y, worded = np.array(labels, np.float64), np.array([bool(bag) for bag in bags], np.float64)
     heft = np.where(y == 1, shares[1] / max(1, y.sum()), shares[0] / max(1, (1 - y).sum()))
     weights, bias = np.zeros(len(names)), FIRST_BIAS
     squares, bias_squares = np.full(len(names), 1e-8), 1e-8
     for _ in range(ROUNDS):
         z = bias + np.bincount(of_sentence, weights[word], minlength=count)
-        p = 1 / (1 + np.exp(-z))
-        none = np.bincount(of_text, np.logaddexp(0, z), minlength=len(y))  # -log of no toxic one
+        p, at_bias = 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(-bias))
+        counts = z >= bias
+        base = np.logaddexp(0, bias)
+        above = np.where(counts, np.logaddexp(0, z) - base, 0.0)
+        none = np.bincount(of_text, above, minlength=len(y)) + base * worded  # -log of no toxic one
         none = np.exp(-none)
-        pull = heft * np.where(y == 1, -none / np.maximum(1 - none, 1e-9), 1.0)
-        slope = pull[of_text] * p
+        pull = heft * worded * np.where(y == 1, -none / np.maximum(1 - none, 1e-9), 1.0)
+        slope = pull[of_text] * p * counts
         by_word = np.bincount(word, slope[of_sentence], minlength=len(names)) + DECAY * heft.sum() * weights
         squares += by_word**2
         weights -= RATE * by_word / np.sqrt(squares)
-        bias_squares += slope.sum() ** 2
-        bias -= RATE / 4 * slope.sum() / np.sqrt(bias_squares)
+        by_bias = at_bias * pull.sum() + (pull[of_text] * (p - at_bias) * counts).sum()
+        bias_squares += by_bias**2
+        bias -= RATE / 4 * by_bias / np.sqrt(bias_squares)
     keep = np.abs(weights) >= NEGLIGIBLE
     return float(bias), {n: float(w) for n, w, k in zip(names, weights, keep, strict=True) if k}
 
@@ -133,29 +144,41 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[float, dict[str, flo
     """A model from documents (doc_id, text) and labels (doc_id, toxic); None without both labels.
 
     Labels are 0 or 1, others teach nothing; of repeated labels of a doc_id the
-    greater counts.  Texts of repeated doc_ids are all learned from.
+    greater counts.  Texts of repeated doc_ids are all learned from, rows that repeat
+    both once.
     """
     known = labels.where("toxic in (0, 1) and doc_id is not null")
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    order = F.xxhash64("doc_id"), F.col("doc_id")
-    counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    hashes = F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "doc_id", "text").alias("b")
+    rows = documents.select("doc_id", *hashes, F.length("text").alias("chars"))
+    rows = rows.where(F.col("chars") <= SAMPLE_CHARS).distinct().join(known, "doc_id")
+    rows = staged(rows.select("a", "b", "chars", "toxic"), "labelled")
+    counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
         return None
-    picked = [known.where(F.col("toxic") == y).orderBy(*order).limit(SAMPLE) for y in (0, 1)]
-    chosen = F.broadcast(picked[0].unionByName(picked[1]))  # 2 * SAMPLE rows at most
-    sample = documents.select("doc_id", "text").join(chosen, "doc_id")
-    sample = sample.where(F.length("text") <= SAMPLE_CHARS).select("text", "toxic")
+
+    def picked(label: int) -> DataFrame:
+        # few more than SAMPLE by their hash, so that these alone are put in order
+        share = F.lit(max(1, min(_HASHES, 2 * SAMPLE * _HASHES // counts[label])))
+        some = rows.where((F.col("toxic") == label) & (F.pmod("a", F.lit(_HASHES)) < share))
+        return some.orderBy("a", "b").limit(SAMPLE)
+
+    before = Window.partitionBy("toxic").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
+    chosen = picked(0).unionByName(picked(1)).withColumn("before", F.coalesce(F.sum("chars").over(before), F.lit(0)))
+    chosen = F.broadcast(chosen.where(F.col("before") < SAMPLE_CHARS).select("a", "b", "toxic"))  # 2 * SAMPLE rows at most
+    sample = documents.select("text", *hashes).join(chosen, ["a", "b"]).groupBy("a", "b")
+    sample = sample.agg(F.any_value("text").alias("text"), F.any_value("toxic").alias("toxic"))
     total = sum(counts.values())
     shares = (counts[0] / total, counts[1] / total)
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["toxic", "text"]).groupby("toxic").head(2 * SAMPLE)
+        rows = rows.sort_values(["toxic", "text"])
         if rows["toxic"].nunique() < 2:
             return pd.DataFrame({"word": [], "weight": []})
         bias, weights = fit(rows["text"].tolist(), rows["toxic"].tolist(), shares)
         return pd.DataFrame({"word": [None, *weights], "weight": [bias, *weights.values()]})
 
-    fitted = sample.groupBy(F.lit("model")).applyInPandas(one, "word string, weight double")
+    fitted = sample.select("text", "toxic").groupBy(F.lit("model")).applyInPandas(one, "word string, weight double")
     rows = {r["word"]: r["weight"] for r in fitted.collect()}
     return (rows.pop(None), rows) if rows else None
 
@@ -192,9 +215,12 @@ def score(documents: DataFrame, model: tuple[float, dict[str, float]] | None) ->
 
     def judge(text: str, weigh: _Weights) -> tuple[float, list[dict]]:
         none, offending, bias = 0.0, [], shared.value[0]
+        base = math.log1p(math.exp(bias))
         for start, end, words in sentences(text):
             z = bias + math.fsum(map(weigh.__getitem__, words))
-            none += math.log1p(math.exp(z)) if z < 30 else z
+            none = none or base
+            if z > bias:
+                none += (math.log1p(math.exp(z)) if z < 30 else z) - base
             if z >= _LEAST_LOGIT:
                 offending.append({"start": start, "end": end, "p": 1 / (1 + math.exp(-z))})
         return -math.expm1(-none), offending

@@ -226,6 +226,22 @@ def test_toxicity_finds_the_sentences(spark):
     assert {r.predicted for r in none} == {0}
 
 
+def test_toxicity_does_not_grow_with_length(spark):
+    rng = random.Random(8)
+    texts = random_texts(200, 12, 40)
+    rows = [(i, f"{t}. {'you grumpish thing. ' if i % 4 == 0 else ''}and so on.") for i, t in enumerate(texts)]
+    labels = [(i, int(i % 4 == 0)) for i in range(200)]
+    long = ". ".join(" ".join(rng.choices(texts[1].split() + ["well", "done"], k=9)) for _ in range(30_000))
+    # long texts are learned from, labels without a text take no place of the sample
+    rows += [(500, long), (501, f"{long}. you grumpish thing."), (502, f"{long}. so")]
+    labels += [(502, 0), *((i, 0) for i in range(1000, 1400))]
+    table = spark.createDataFrame(rows, SCHEMA)
+    model = toxicity.train(table, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    found = {r.doc_id: r for r in toxicity.score(table, model).collect()}
+    assert [found[i].predicted for i in (500, 501, 502)] == [0, 1, 0]
+    assert sum(found[i].predicted == int(i % 4 == 0) for i in range(200)) >= 198
+
+
 # --- 5: line dedup
 
 
