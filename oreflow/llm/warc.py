@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from oreflow.llm.common import new_folder
+from oreflow.llm.common import new_folder, staged
 from oreflow.llm.seekable import file_system
 
 #: An archive is listed in blocks of about so many bytes; a task reads one.
@@ -96,22 +96,25 @@ def write_archives(pages: DataFrame, folder: str, least_payload: int = LEAST_PAY
     last.  A row that repeats both page_id and payload revisits the first of them.
     Null html is an empty payload, null urls leave their header out.
 
-    Only (page_id, digest) is grouped and joined by payload; pages move once, by
-    page_id and digest.  Blocks: path, start, length, one row each.
+    Pages are staged with a number each, by which one row of each payload is marked as
+    the leader and rows meet what is known of them: no key repeats in that join.
+    Only numbers, page_ids and digests are grouped.  Blocks: path, start, length, one
+    row each.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", payload.alias("payload"))
-    rows = rows.withColumn("sha1", F.sha1("payload"))
-    light = rows.where(F.octet_length("payload") >= least_payload).select("page_id", "sha1")
-    first = light.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    equal = (
-        light.join(first.where("n > 1"), "sha1")
-        .groupBy("page_id", "sha1")
-        .agg(F.min("first").alias("first"))
-        .select(F.col("page_id").alias("own_id"), F.col("sha1").alias("own_sha1"), "first", F.lit(True).alias("equal"))
+    # the numbers are given once and then read: a row that is made again keeps its own
+    rows = staged(rows.select("*", F.sha1("payload").alias("sha1"), F.monotonically_increasing_id().alias("row")), "pages")
+    light = rows.where(F.octet_length("payload") >= least_payload).select("page_id", "sha1", "row")
+    order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "row")
+    first = light.groupBy("sha1").agg(F.min(order).alias("first"), F.count("*").alias("n"))
+    equal = light.join(first.where("n > 1"), "sha1").select(
+        F.col("row").alias("own_row"),
+        F.col("first.page_id").alias("first"),
+        (F.col("row") == F.col("first.row")).alias("leads"),
+        F.lit(True).alias("equal"),
     )
-    same = F.col("page_id").eqNullSafe(F.col("own_id")) & (F.col("sha1") == F.col("own_sha1"))
-    dealt = rows.join(equal.hint("shuffle_hash"), same, "left")
+    dealt = rows.join(equal, F.col("row") == F.col("own_row"), "left")
     files = f"{folder}/archives"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +122,6 @@ def write_archives(pages: DataFrame, folder: str, least_payload: int = LEAST_PAY
         system, root = file_system(files)
         stream = path = None
         size = start = number = 0
-        met: set[tuple] = set()
         for batch in batches:
             for row in batch.to_pylist():
                 if stream is None:
@@ -127,16 +129,14 @@ def write_archives(pages: DataFrame, folder: str, least_payload: int = LEAST_PAY
                     path = f"{task:06d}-{uuid.uuid4().hex}.warc.gz"
                     stream = system.open_output_stream(f"{root}/{path}", compression=None)
                 number += 1
-                key = row["page_id"], row["sha1"]
                 digest = base64.b32encode(bytes.fromhex(row["sha1"])).decode()
                 name, refers_to = capture_id(row["page_id"], digest, f"{task}-{number}"), None
                 if row["equal"]:
                     leader = capture_id(row["first"], digest)
-                    if row["page_id"] == row["first"] and key not in met:
+                    if row["leads"]:
                         name = leader
                     else:
                         refers_to = leader
-                    met.add(key)
                 records = _transaction(row | {"digest": digest}, name, refers_to)
                 stream.write(records)
                 size += len(records)
@@ -148,7 +148,7 @@ def write_archives(pages: DataFrame, folder: str, least_payload: int = LEAST_PAY
             if size > start:
                 yield _block(path, start, size)
 
-    columns = ["page_id", "url", "payload", "sha1", "first", "equal"]
+    columns = ["page_id", "url", "payload", "sha1", "first", "leads", "equal"]
     blocks = dealt.select(*columns).mapInArrow(write, "path string, start long, length long")
     blocks.write.parquet(f"{folder}/blocks")
     listed = pages.sparkSession.read.schema(blocks.schema).parquet(f"{folder}/blocks")

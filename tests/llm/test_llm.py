@@ -336,6 +336,28 @@ def test_warc_round_trip(spark):
     assert sorted((r.record_type, r.refers_to) for r in rows if r.page_id == 50) == [("response", None), ("revisit", 50)]
 
 
+def test_warc_one_leader_of_rows_dealt_over_tasks(spark):
+    html = "".join(random.Random(3).choices("abcdefghij", k=4000))
+    pages = spark.range(0, 600, 1, 12).select(
+        F.when(F.col("id") < 500, F.lit(None)).otherwise(F.col("id")).alias("page_id"),
+        F.lit("http://h").alias("url"),
+        F.when((F.col("id") < 400) | (F.col("id") == 7), F.lit(html)).otherwise(F.concat(F.lit("own text "), "id")).alias("html"),
+    )
+    skew = "spark.sql.adaptive.skewJoin."
+    settings = {f"{skew}skewedPartitionThresholdInBytes": "1k", f"{skew}skewedPartitionFactor": "1"}
+    settings |= {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = warc.round_trip(pages, least_payload=10).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert len(rows) == 600
+    assert sum(r.record_type == "response" and r.payload_bytes == len(html) for r in rows) == 1
+
+
 def test_warc_assembly_keeps_what_belongs_together(spark, tmp_path):
     pages = spark.createDataFrame([(1, "http://a/x", "one"), (2, "http://b/", "two")], "page_id long, url string, html string")
     records = warc.read_records(warc.write_archives(pages, str(tmp_path / "w"), least_payload=10))
