@@ -5,10 +5,12 @@ Search (SIGMOD 2014), here as a join of a vocabulary with itself.  A word's
 bigrams are ordered by rarity over the vocabulary.  Its *prefix* are the first
 three (and further places of the third); two disjoint ones of these, the cheapest
 by dynamic programming, are its *pivots*.  One edit spoils one pivot at most, so
-the other stands in the partner too, at most one place off, and, in the partner
-whose prefix reaches as far in the order, inside that prefix.  Pivots therefore
-meet prefixes by (bigram, length, place), each pivot at the five pairs of length
-and place that one edit allows.  What meets is verified by the edit distance.
+the other stands in the partner too, at most one place off, and, if the partner's
+prefix reaches as far in the order, inside that prefix.  What limits the place
+limits more: the edit lies on one side of a pivot that it spares, so all of the
+word on the other side is the same.  Pivots therefore meet prefixes by bigram,
+length, place and the part of the word that must be equal, at the lengths and
+places that one edit allows.  What meets is verified by the edit distance.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +42,10 @@ PREFIX = GRAM * EDITS + 1
 PART_CHARS = 1 << 20
 #: A task passes on what it has counted when it knows so many words.
 KNOWN_WORDS = 200_000
-
-#: (length, place) of a partner's gram less those of one's own, after one edit elsewhere.
-SHIFTS = ((0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1))
+#: One edit takes away GRAM grams at most and brings as many.
+MARKS_OFF = 2 * GRAM * EDITS
+#: Words up to this length are compared where their keys meet.
+SHOWN = 64
 
 
 def _parts(text: str) -> Iterator[str]:
@@ -140,43 +144,66 @@ def pivots(grams: list[tuple[int, int]], wanted: int = EDITS + 1) -> list[int]:
     return list(chosen[-1][wanted][1])
 
 
-def signature(word: str, ranks: dict[str, int], costs: dict[str, int]):
-    """(rank of the prefix's last gram, pivots, prefix), each gram as (rank, place)."""
-    ranked = [(ranks[word[i : i + GRAM]], i) for i in range(len(word) - GRAM + 1)]
+def signature(
+    word: str, ranks: dict[str, int], costs: dict[str, int]
+) -> tuple[int, list[int], list[int], int]:
+    """(rank of the prefix's last gram, keys to look for, keys to be found by, marks).
+
+    A key stands for a gram, its place, the word's length and the part of the word
+    that must be the same.  One edit lies before the later pivot's end, then all from
+    that pivot on is unchanged, or it lies behind the earlier pivot, then all up to
+    that pivot's end is.  The marks have a bit for each gram, by its rank: one edit
+    changes ``MARKS_OFF`` of them at most.
+    """
+    size = len(word)
+    ranked = [(ranks[word[i : i + GRAM]], i) for i in range(size - GRAM + 1)]
     first = sorted(ranked)[:PREFIX]
     last = first[-1][0]
-    prefix = [gram for gram in ranked if gram[0] <= last]
-    rank_at = {place: rank for rank, place in first}
-    places = pivots([(place, costs[word[place : place + GRAM]]) for _, place in first])
-    return last, [(rank_at[place], place) for place in places], prefix
+    early, late = pivots([(place, costs[word[place : place + GRAM]]) for _, place in first])
+    head, tail = word[: early + GRAM], word[late:]
+    asked = [_key("h", size + by, early, head) for by in (-1, 0, 1)]
+    asked += [_key("t", size + by, late + by, tail) for by in (-1, 0, 1)]
+    given = []
+    for rank, place in ranked:
+        if rank <= last:
+            given.append(_key("h", size, place, word[: place + GRAM]))
+            given.append(_key("t", size, place, word[place:]))
+    marks = 0
+    for rank, _ in ranked:
+        marks |= 1 << rank * 29 % 63
+    return last, asked, given, marks
+
+
+def _key(side: str, length: int, place: int, part: str) -> int:
+    """Equal for what must be equal; words whose keys agree by chance are told apart later."""
+    return xxhash.xxh64_intdigest(f"{side}{length},{place},{part}") - (1 << 63)
 
 
 def _signatures(words: DataFrame) -> DataFrame:
-    """(id, length, last, pivots, prefix) of every word."""
+    """(id, last, asked, given, marks, shown) of every word; ``shown`` is the word, unless it is long."""
     costs = gram_counts(words)
     order = sorted(costs, key=lambda gram: (costs[gram], gram))
     shared = words.sparkSession.sparkContext.broadcast(({g: i for i, g in enumerate(order)}, costs))
-    gram = pa.list_(pa.struct([("rank", pa.int32()), ("place", pa.int32())]))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, costs = shared.value
         for batch in batches:
             spelled = batch.column("word").to_pylist()
             signed = [signature(word, ranks, costs) for word in spelled]
-            named = [[[{"rank": r, "place": p} for r, p in s[k]] for s in signed] for k in (1, 2)]
+            keys = [pa.array([s[k] for s in signed], pa.list_(pa.int64())) for k in (1, 2)]
+            shown = [word if len(word) <= SHOWN else None for word in spelled]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
-                    pa.array(map(len, spelled), pa.int32()),
                     pa.array([s[0] for s in signed], pa.int32()),
-                    pa.array(named[0], gram),
-                    pa.array(named[1], gram),
+                    *keys,
+                    pa.array([s[3] for s in signed], pa.int64()),
+                    pa.array(shown, pa.string()),
                 ],
-                names=["id", "length", "last", "pivots", "prefix"],
+                names=["id", "last", "asked", "given", "marks", "shown"],
             )
 
-    listed = "array<struct<rank:int,place:int>>"
-    schema = f"id long, length int, last int, pivots {listed}, prefix {listed}"
+    schema = "id long, last int, asked array<long>, given array<long>, marks long, shown string"
     return staged(words.select("id", "word").mapInArrow(sign, schema), "signatures")
 
 
@@ -186,22 +213,19 @@ def near_words(words: DataFrame) -> DataFrame:
     ``words`` has (id, word, n), distinct words of 4 or more letters of ``RUN``.
     """
     signed = _signatures(words)
-    index = signed.select(
-        F.explode("prefix").alias("g"), "length", F.col("id").alias("of"), F.col("last").alias("reach")
-    ).select("g.rank", "length", "g.place", "of", "reach")
-    shifts = F.array(*[F.struct(F.lit(l).alias("length"), F.lit(p).alias("place")) for l, p in SHIFTS])
-    probes = (
-        signed.select("id", "last", "length", F.explode("pivots").alias("g"))
-        .select("id", "last", "length", "g", F.explode(shifts).alias("shift"))
-        .select(
-            "id",
-            "last",
-            "g.rank",
-            (F.col("length") + F.col("shift.length")).alias("length"),
-            (F.col("g.place") + F.col("shift.place")).alias("place"),
-        )
+    asks = signed.select(F.explode("asked").alias("key"), "id", "last", "marks", "shown")
+    gives = signed.select(
+        F.explode("given").alias("key"),
+        F.col("id").alias("of"),
+        F.col("last").alias("reach"),
+        F.col("marks").alias("marks_of"),
+        F.col("shown").alias("shown_of"),
     )
-    met = probes.join(index, ["rank", "length", "place"]).where("last <= reach and id <> of")
+    alike = F.bit_count(F.col("marks").bitwiseXOR(F.col("marks_of"))) <= MARKS_OFF
+    # long words do not travel with every key; theirs are verified below
+    close = F.coalesce(F.levenshtein("shown", "shown_of", EDITS) == 1, F.lit(True))
+    own = (F.col("last") <= F.col("reach")) & (F.col("id") != F.col("of"))
+    met = asks.join(gives, "key").where(own & alike & close)
     met = met.select(F.least("id", "of").alias("a"), F.greatest("id", "of").alias("b")).distinct()
     for side in ("a", "b"):
         met = met.join(words.select(F.col("id").alias(side), F.col("word").alias(f"word_{side}")), side)
