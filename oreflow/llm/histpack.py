@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreflow.llm.common import slices, staged
-from oreflow.llm.tokens import RUN_CHARS, blank_chunks, encoder
+from oreflow.llm.tokens import RUN_CHARS, encoder, word_chunks
 
 CAPACITY = 2048
 END_ID = 1
@@ -231,7 +231,7 @@ def token_windows(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer, blank_chunks)
+        own = encoder(tokenizer, word_chunks)
         kind = _kind(max(own.largest_id, end_id))
         end, part = np.array([end_id], np.uint32), TaskContext.get().partitionId()
         met = np.zeros(capacity + 1, np.int64)

@@ -41,6 +41,19 @@ def blank_chunks(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+#: A mark between a plain letter and a blank: a word ends before it in any scheme that tells marks from letters.
+_MARK_BEHIND = re.compile(r"[,.;:!?](?<=[a-z].)(?=[ \n])")
+
+
+def word_chunks(text: str) -> list[str]:
+    """For tokenizers that also lower-case: as blank_chunks, A-Z lower-cased and marks behind words apart.
+
+    There are fewer distinct ones.
+    """
+    text = text.encode().lower().decode()  # of bytes only A-Z are letters
+    return _MARK_BEHIND.sub(r" \g<0>", text).replace("\n", " ").split(" ")
+
+
 def spaced_chunks(text: str) -> list[str]:
     """For byte-level pre-tokenizers, where one blank opens the word behind it."""
     alone = not any(map(text.__contains__, _TOUCHING)) and (text.isascii() or not _WIDE.search(text))

@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from oreflow.llm import histpack, merkle, spelling
+from oreflow.llm import histpack, merkle, spelling, tokens
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -198,6 +198,15 @@ def plain_ids(texts):
     return [own.encode(text or "", add_special_tokens=False).ids + [1] for text in texts]
 
 
+def test_word_chunks_give_the_ids_of_whole_texts():
+    rng = random.Random(7)
+    alphabet = " \n\t\r a'sBé1.,;:!?\u0301\x1cİΣß字😀-\x01\"K"
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 30))) for _ in range(4000)]
+    texts += ["A word, and. Another! \"quoted.\" don't, it's. X.Y. z; q:", "word. " * 50, "ÀB, Ça. va?\nOui!"]
+    own = tokens.ChunkEncoder(WORD_BPE, tokens.word_chunks)
+    assert [ids.tolist() + [1] for ids in own.encode(texts)] == plain_ids(texts)
+
+
 def check_packed(rows, texts, capacity):
     """Every id in one piece, sequences without gaps, none padded."""
     ids = plain_ids(texts)
