@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from pathlib import Path
 from typing import Any
 
@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 from oreflow.functions.casts import contract_type
 from oreflow.functions.rules import RULES
 
+# Hash partitions of a keyed table where the contract names no number.
+DEFAULT_PARTITIONS = 16
+
 UPDATE_MODES = ("incremental_upsert", "scd1", "append", "overwrite")
 
 
@@ -54,6 +57,8 @@ class LandingSpec:
     required_columns: tuple[str, ...] = ()
     reject_unknown_columns: bool = False
     quarantine_table: str | None = None
+    #: Open every file again instead of trusting path, size and time of the listing.
+    reread: bool = False
 
     @property
     def checks_records(self) -> bool:
@@ -78,6 +83,8 @@ class RawSpec:
     watermark_key: str | None = None
     watermark_version: str | None = None
     lookback_days: int | None = None
+    #: A table of this contract looks for versions with several contents: Raw must keep them.
+    keep_conflicts: bool = False
 
 
 @dataclass(frozen=True)
@@ -98,11 +105,21 @@ class TableSpec:
     watermark_type: str = "TEXT"
     lineage: bool = False
     buckets: int | None = None
+    partitions: int = DEFAULT_PARTITIONS
 
     @property
     def rejects_table(self) -> str:
         return self.quarantine_table or f"{self.target_table}__quarantine"
 
+    @property
+    def merges(self) -> bool:
+        """Whether incoming rows meet the table's by key."""
+        return bool(self.keys) and self.update_mode in ("incremental_upsert", "scd1")
+
+    @property
+    def finds_conflicts(self) -> bool:
+        return self.update_mode == "scd1" and self.quarantine_conflicts
+
     @property
     def schema(self) -> T.StructType:
         """Typed business columns; NOT NULL as the contract declares it."""
@@ -164,6 +181,8 @@ def parse_contract(document: Mapping[str, Any]) -> Contract:
     sections = _as_list(document.get("persistent"))
     shared_columns = document.get("columns") or []
     tables = tuple(_table(section, raw, shared_columns, quality) for section in sections)
+    if any(t.finds_conflicts and t.source_table == raw.table for t in tables):
+        raw = replace(raw, keep_conflicts=True)
     return Contract(
         landing=_landing(document.get("landing") or {}, document.get("source") or {}),
         raw=raw,
@@ -234,9 +253,12 @@ def _landing(section: Mapping[str, Any], source: Mapping[str, Any]) -> LandingSp
         encoding="UTF-8" if encoding in ("UTF-8-SIG", "UTF8", "UTF-8") else encoding,
         multi_line=section.get("multi_line"),
         exact_column_count=validation.get("exact_column_count"),
-        required_columns=_names(validation.get("required_columns")),
+        required_columns=_names(
+            validation.get("required_columns") or section.get("required_columns")
+        ),
         reject_unknown_columns=bool(validation.get("reject_unknown_columns", False)),
         quarantine_table=validation.get("quarantine"),
+        reread=bool(section.get("reread", False)),
     )
 
 
@@ -328,6 +350,7 @@ def _table(
         watermark_type=section.get("watermark_type", "TEXT"),
         lineage=bool(section.get("lineage_columns", mode == "scd1")),
         buckets=section.get("buckets"),
+        partitions=int(section.get("partitions") or DEFAULT_PARTITIONS),
     )
 
 

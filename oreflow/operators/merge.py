@@ -8,7 +8,7 @@ newer row overwrites.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +21,8 @@ INSERTED_AT = "latest_insert_datetime"
 
 KEY_PARTS = 16
 
+CONFLICT = "__conflict"
+
 
 def key_part() -> Column:
     """Part of the input a row lies in, to reduce a key per part and not to one row.
@@ -96,17 +98,20 @@ def append(target: DataFrame, incoming: DataFrame) -> DataFrame:
     return target.unionByName(incoming, allowMissingColumns=True)
 
 
-def split_conflicts(
+def mark_conflicts(
     incoming: DataFrame,
     keys: Sequence[str],
     version: str,
     compared: Sequence[str],
     current: DataFrame | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(rows safe to merge, rows whose version also exists with other content).
+    written: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
+    """``incoming`` with a mark on the rows whose version exists with other content too.
 
-    Each (keys, version) is reduced to the lowest and highest record hash per
-    part; a row is in conflict when one of them differs from its own hash.
+    Each (keys, version) is reduced to its lowest and highest record hash; a row is
+    in conflict when one of them is not its own.  One join gives every row its
+    mark.  ``written`` writes the reduced table and reads it again: then both
+    sides of the join are shuffled for it, and adaptive execution splits a hot key.
     """
     by = [*keys, version]
     hashed = incoming.withColumn("__hash", record_hash(compared))
@@ -114,19 +119,17 @@ def split_conflicts(
     if current is not None:
         held = current.select(*[named(n) for n in by], record_hash(compared).alias("__hash"))
         seen = seen.unionByName(held)
-    ends = (
-        seen.withColumn("__part", key_part())
-        .groupBy(*[named(n) for n in by], "__part")
-        .agg(F.min("__hash").alias("__low"), F.max("__hash").alias("__high"))
-        .drop("__part")
+    ends = seen.groupBy(*[named(n) for n in by]).agg(
+        F.min("__hash").alias("__low"), F.max("__hash").alias("__high")
     )
     # As many rows as there are keys: never one to copy to every executor.
-    rows, ends = hashed.alias("r"), ends.hint("merge").alias("e")
-    clash = (F.col("e.__low") != F.col("r.__hash")) | (F.col("e.__high") != F.col("r.__hash"))
+    rows, ends = hashed.alias("r"), written(ends).hint("merge").alias("e")
+    same = F.lit(True)
     for name in by:
-        clash = clash & (named(name, "r") == named(name, "e"))
-    sound = rows.join(ends, clash, "left_anti").drop("__hash")
-    return sound, rows.join(ends, clash, "left_semi").drop("__hash")
+        same = same & (named(name, "r") == named(name, "e"))
+    clash = (F.col("e.__low") != F.col("r.__hash")) | (F.col("e.__high") != F.col("r.__hash"))
+    marked = rows.join(ends, same, "left").withColumn(CONFLICT, F.coalesce(clash, F.lit(False)))
+    return marked.select(*[named(n, "r") for n in incoming.columns], CONFLICT)
 
 
 def absent_keys(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:

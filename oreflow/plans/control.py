@@ -20,21 +20,12 @@ SCHEMAS = {
     "row_counts": "run_id string, processor string, layer string, table_name string, "
     "inserted long, rejected long",
     "watermarks": "source_table string, value string, set_at timestamp",
-    "file_manifests": "path string, size long, modified timestamp, checksum string, "
-    "processed_at timestamp, run_id string",
-    "processed_file_ledger": "checksum string, source_table string, path string, "
-    "processed_at timestamp, run_id string",
-    "commits": "layer string, table_name string, run_id string, kind string, path string, "
-    "schema string, arrival_date string, consumed_runs array<string>, rows long, "
-    "keys array<string>, buckets int, committed_at timestamp",
 }
 
 ARROW_TYPES = {
     "string": pa.string(),
     "long": pa.int64(),
-    "int": pa.int32(),
     "timestamp": pa.timestamp("us", tz="UTC"),
-    "array<string>": pa.list_(pa.string()),
 }
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oreflow.contracts import Contract, RawSpec
 from oreflow.functions.casts import INTEGER_TEXT
@@ -21,28 +23,18 @@ from oreflow.operators.quality import (
     reason_list,
     text_reasons,
 )
-from oreflow.plans.lake import Commit, Lake
+from oreflow.plans.lake import CONTROL_SCHEMAS, LEDGER, MANIFEST, Commit, Lake
 from oreflow.session import drop_folder, scratch_folder
 from oreflow.sources import csv, files
 
 if TYPE_CHECKING:
     from oreflow.plans.pipeline import Context
 
-
-def raw_commits(lake: Lake, table: str) -> list[Commit]:
-    """Raw folders whose run also entered its files in the ledger.
-
-    The ledger is written last, so a run that broke off between the two writes
-    is invisible here and its files are loaded again by the next run.
-    """
-    ledger = lake.control.read("processed_file_ledger")
-    done = ledger.where(F.col("source_table") == table).select("run_id").distinct()
-    finished = {row["run_id"] for row in done.collect()}
-    return [commit for commit in lake.visible("raw", table) if commit.run_id in finished]
+CONTENT = "__content"
 
 
 def read_raw(lake: Lake, table: str) -> DataFrame | None:
-    return lake.read_commits(raw_commits(lake, table))
+    return lake.read("raw", table)
 
 
 def stamp_files(numbered: DataFrame, context: Context) -> DataFrame:
@@ -61,44 +53,60 @@ def stamp_files(numbered: DataFrame, context: Context) -> DataFrame:
 
 
 def land(lake: Lake, contract: Contract, context: Context) -> dict[str, tuple[int, int]]:
-    """Load new files; per table (rows in Raw, rows in the landing and Raw quarantines)."""
-    spark, control, landing = lake.spark, lake.control, contract.landing
+    """Load new files; per table (rows in Raw, rows in the landing and Raw quarantines).
+
+    First the folder is only listed, and what the manifest knows by path, size and
+    time is left closed.  What remains is read, hashed and held against the ledger.
+    Rows of all layers, ledger and manifest become visible by one commit: a run
+    that breaks off before it leaves nothing, wherever it breaks off.
+    """
+    spark, landing = lake.spark, contract.landing
     listed = files.list_files(spark, context.landing, landing.pattern)
     if listed is None:
         return {}
-    ledger = control.read("processed_file_ledger")
+    basis = lake.basis(("control", LEDGER))
+    target = F.lit(landing.raw_table) if landing.raw_table else file_stem()
+    listed = listed.drop("content").withColumn("source_table", target)
+    if not landing.reread:
+        listed = files.unread(listed, lake.manifest())
+    paths = [row["path"] for row in listed.select("path").collect()]
+    if not paths:
+        return {}
+    ledger = lake.ledger()
     scratch = scratch_folder(spark, f"landing-{context.run_id}")
     # Written once: hashing reads every byte and must not be repeated.
-    target = F.lit(landing.raw_table) if landing.raw_table else file_stem()
-    found = files.fingerprint(listed, encoding=landing.encoding).withColumn("source_table", target)
+    found = files.fingerprint(files.read_files(spark, paths), encoding=landing.encoding)
+    found = _kept(found.withColumn("source_table", target), f"{scratch}/found")
     # equal files for two tables are loaded into both
-    files.new_files(found, ledger, files.PER_TABLE).write.parquet(f"{scratch}/files")
-    fresh = spark.read.schema(found.schema).parquet(f"{scratch}/files")
+    fresh = _kept(files.new_files(found, ledger, files.PER_TABLE), f"{scratch}/fresh")
     tables = [row[0] for row in fresh.select("source_table").distinct().collect()]
-    if not tables:
-        drop_folder(spark, scratch)
-        return {}
-    _note_manifest(lake, fresh, context)
     counts, commits = {}, []
     for number, table in enumerate(sorted(tables)):
         own = fresh.where(F.col("source_table") == table)
         counts[table] = _land_table(
             lake, contract, context, table, own, f"{scratch}/{number}", commits
         )
-    if commits:
-        lake.record(commits)
-    entries = fresh.select(
-        "checksum",
-        "source_table",
-        "path",
-        instant(context.moment).alias("processed_at"),
-        F.lit(context.run_id).alias("run_id"),
-    )
-    control.append("processed_file_ledger", files.ledger_rows(entries, ledger, files.PER_TABLE))
+    for name, rows in ((MANIFEST, found), (LEDGER, fresh)):
+        commits.append(lake.write_part("control", name, context.run_id, _entries(rows, name, context)))
+    lake.record(commits, basis)
+    lake.tidy(LEDGER, MANIFEST)
     drop_folder(spark, scratch)
     return counts
 
 
+def _kept(rows: DataFrame, folder: str) -> DataFrame:
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def _entries(rows: DataFrame, name: str, context: Context) -> DataFrame:
+    """Files as the ledger or the manifest keeps them."""
+    stamped = rows.withColumns(
+        {"processed_at": instant(context.moment), "run_id": F.lit(context.run_id)}
+    )
+    return stamped.select(*T.StructType.fromDDL(CONTROL_SCHEMAS[name]).names)
+
+
 def file_stem() -> Column:
     """File name without its last suffix: the Raw table when the contract names none."""
     return F.regexp_replace("name", r"(?<=.)\.[^.]*$", "")
@@ -144,15 +152,6 @@ def _land_table(
     return inserted, rejected
 
 
-def _note_manifest(lake: Lake, fresh: DataFrame, context: Context) -> None:
-    seen = files.current_manifest(lake.control.read("file_manifests"))
-    changed = files.changed_files(fresh.select("path", "size", "modified", "checksum"), seen)
-    noted = changed.withColumns(
-        {"processed_at": instant(context.moment), "run_id": F.lit(context.run_id)}
-    )
-    lake.control.append("file_manifests", noted)
-
-
 def _write_landed(
     lake: Lake,
     contract: Contract,
@@ -188,7 +187,9 @@ def refine_raw(
     """What a Raw contract asks for beyond appending: (rows for Raw, rows for its quarantine).
 
     Standardise, hash, check, keep the best ranked row per (key, version), the
-    latest version per key, and add only what Raw does not hold yet.  Rows that
+    latest version per key, and add only what Raw does not hold yet.  Where a table
+    looks for conflicts, rows of one version with other content are no repeats:
+    they are told by their content too and reach the table that judges them.  Rows that
     fail the checks go to the Raw quarantine if the contract names one;
     otherwise they stay in Raw untouched and are rejected on the way to
     Persistent.
@@ -208,6 +209,10 @@ def refine_raw(
     labelled = rows.withColumn("__labels", text_reasons(rows, spec.checks))
     sound = labelled.where(F.col("__labels") == "").drop("__labels")
     failed = labelled.where(F.col("__labels") != "")
+    content = [CONTENT] if spec.keep_conflicts else []
+    business = without(rows.columns, [*RAW_AUDIT_COLUMNS, "record_hash"])
+    if content:
+        sound = sound.withColumn(CONTENT, record_hash(business))
     if spec.deduplicate_by and _has_all(rows, spec.deduplicate_by):
         newest_file = [
             F.col("source_file_modified_ts").desc(),
@@ -216,12 +221,16 @@ def refine_raw(
             F.col("source_file_path").desc(),
             F.col("source_row_number").desc(),
         ]
-        sound = ranked_dedup(sound, spec.deduplicate_by, newest_file)
+        sound = ranked_dedup(sound, [*spec.deduplicate_by, *content], newest_file)
     if spec.select_latest_per_key and spec.version_column and _has_all(rows, spec.keys):
-        sound = latest_version(sound, spec.keys, spec.version_column)
+        keep = latest_contents if content else latest_version
+        sound = keep(sound, spec.keys, spec.version_column)
     if history is not None and _has_all(rows, spec.incremental_key):
         if _has_all(history, spec.incremental_key):
-            sound = absent_keys(sound, history, spec.incremental_key)
+            if content:
+                history = history.withColumn(CONTENT, _content(history, business))
+            sound = absent_keys(sound, history, [*spec.incremental_key, *content])
+    sound = sound.drop(*content)
     if spec.quarantine_table:
         why = {REASON: F.lit(CHECK_FAILED), REASONS: reason_list(F.col("__labels"))}
         return sound, failed.withColumns(why).drop("__labels")
@@ -235,6 +244,22 @@ def latest_version(rows: DataFrame, keys: tuple[str, ...], version: str) -> Data
     return latest_per_key(numbered, keys, order).drop("__version")
 
 
+def latest_contents(rows: DataFrame, keys: tuple[str, ...], version: str) -> DataFrame:
+    """All rows of the highest version per key; each task keeps only its own highest before the shuffle."""
+    numbered = rows.withColumn("__version", version_number(rows, version))
+    by_version = Window.partitionBy(*[named(key) for key in keys]).orderBy(F.col("__version").desc())
+    ranked = numbered.withColumn("__rank", F.rank().over(by_version))
+    return ranked.where(F.col("__rank") == 1).drop("__rank", "__version")
+
+
+def _content(rows: DataFrame, names: Sequence[str]) -> Column:
+    """Hash of the named columns; one that the rows lack counts as empty."""
+    held = [lookup(rows, name) for name in names]
+    cells = [F.lit(None).cast("string") if c is None else c for c in held]
+    texts = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cells)])
+    return record_hash([f"c{i}" for i in range(len(cells))], texts)
+
+
 def version_number(df: DataFrame, version: str) -> Column:
     text = lookup(df, version)
     return F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))

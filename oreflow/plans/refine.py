@@ -15,11 +15,11 @@ from oreflow.functions.casts import contract_type
 from oreflow.functions.columns import ARRIVAL_ORDER, AUDIT_COLUMNS, lookup, named, row_struct
 from oreflow.operators.dedup import first_per_key, latest_per_key, text_key
 from oreflow.operators.mapping import instant, stamp
-from oreflow.operators.merge import INSERTED_AT, scd1_merge, split_conflicts, upsert
+from oreflow.operators.merge import CONFLICT, INSERTED_AT, mark_conflicts, scd1_merge, upsert
 from oreflow.operators.quality import REASON, REASONS, RECORD, REJECTED, check_rows
 from oreflow.operators.watermark import beyond_marks, lookback_start
-from oreflow.plans.ingest import raw_commits
 from oreflow.plans.lake import Commit, Lake, visible_part
+from oreflow.plans.merging import Target, align
 from oreflow.session import drop_folder, scratch_folder
 
 if TYPE_CHECKING:
@@ -51,7 +51,7 @@ def load_table(
     it does not change.
     """
     tag = f"{spec.name}:{spec.source_table}@"
-    commits = raw_commits(lake, spec.source_table)
+    commits = lake.visible("raw", spec.source_table)
     history = lake.commits("persistent", spec.target_table)
     taken = {run for commit in history for run in commit.consumed_runs}
     new = [c for c in commits if tag + c.run_id not in taken]
@@ -78,19 +78,32 @@ def load_table(
     if transform is not None:
         incoming = transform(incoming, context)
     schema = incoming.drop(ARRIVAL, RAW_RUN).schema
+    target = None
+    if spec.merges and not spec.buckets:
+        target = Target(
+            lake, spec.target_table, held, schema, spec.keys, spec.partitions, incoming
+        )
+        state = target.state
     quarantined = _mapped_only(rejected, spec, context)
-    conflicts = spec.update_mode == "scd1" and spec.quarantine_conflicts
+    conflicts = spec.finds_conflicts
     if conflicts:
         compared = [c.name for c in spec.columns]
-        incoming, clashes = split_conflicts(
-            incoming, spec.keys, spec.version_column, compared, state
+        marked = mark_conflicts(
+            incoming,
+            spec.keys,
+            spec.version_column,
+            compared,
+            state,
+            lambda ends: _written(ends, f"{folder}-versions"),
         )
-        clashes = clashes.where(F.col(RAW_RUN).isin(new_runs))
+        marked = _written(marked, f"{folder}-marked")
+        incoming = marked.where(~F.col(CONFLICT)).drop(CONFLICT)
+        clashes = marked.where(F.col(CONFLICT) & F.col(RAW_RUN).isin(new_runs))
         clashes = _mapped_only(clashes, spec, context, reason="version_conflict")
         quarantined = quarantined.unionByName(clashes)
 
     consumed = [tag + run for run in new_runs]
-    done = [_write_target(lake, spec, context, incoming, state, held, schema, consumed)]
+    done = [_write_target(lake, spec, context, incoming, state, held, schema, consumed, target)]
     bad_count = 0
     if rejected_count or conflicts:
         bad = lake.write_part("persistent", spec.rejects_table, context.run_id, quarantined)
@@ -98,12 +111,11 @@ def load_table(
         done += [bad] if bad.rows else []
     if rejected_count:
         write_quarantine_json(rejected, spec, context)
-    if done[0].kind == "snapshot":  # it replaces what was read
-        lake.check_unchanged("persistent", spec.target_table, held)
-    lake.record(done)
+    lake.record(done, {("persistent", spec.target_table): frozenset(c.path for c in held)})
     if spec.watermark_column:  # after the rows are visible: a mark is never ahead of them
         _advance_watermark(lake, spec, valid)
-    drop_folder(lake.spark, folder)
+    for scratch in (folder, f"{folder}-versions", f"{folder}-marked"):
+        drop_folder(lake.spark, scratch)
     if context.keep_snapshots:
         lake.expire_snapshots("persistent", spec.target_table, context.keep_snapshots)
     return valid_count - (bad_count - rejected_count), bad_count
@@ -141,7 +153,17 @@ def _check(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def _key_marks(spec: TableSpec) -> dict[str, str]:
-    return {f"__key_{i}": name for i, name in enumerate(spec.deduplicate_by)}
+    """Cells that tell rows apart.
+
+    A row that repeats a version is a duplicate only if it repeats its content too,
+    where the contract wants other content of a version to be found.
+    """
+    by = list(spec.deduplicate_by)
+    sources = {c.name.lower(): c.source for c in spec.columns}
+    versioned = {sources[n.lower()].lower() for n in [*spec.keys, spec.version_column] if n}
+    if by and spec.finds_conflicts and versioned <= {name.lower() for name in by}:
+        by += [c.source for c in spec.columns if c.source.lower() not in {n.lower() for n in by}]
+    return {f"__key_{i}": name for i, name in enumerate(by)}
 
 
 def _deduplicate(checked: DataFrame, older: DataFrame | None, spec: TableSpec) -> DataFrame:
@@ -185,6 +207,11 @@ def _stage(lake: Lake, checked: DataFrame, folder: str) -> tuple[DataFrame, Data
     return staged.where(~F.col(REJECTED)), staged.where(F.col(REJECTED))
 
 
+def _written(rows: DataFrame, folder: str) -> DataFrame:
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def _persistent_rows(valid: DataFrame, spec: TableSpec, context: Context) -> DataFrame:
     names = [c.name for c in spec.columns]
     if spec.lineage:
@@ -224,6 +251,7 @@ def _write_target(
     held: Sequence[Commit],
     schema: T.StructType,
     consumed: Sequence[str],
+    target: Target | None,
 ) -> Commit:
     table, run_id = spec.target_table, context.run_id
     if spec.update_mode == "overwrite":
@@ -235,12 +263,14 @@ def _write_target(
     if spec.update_mode == "append" or not spec.keys:
         rows = incoming.select(schema.names)
         return lake.write_part("persistent", table, run_id, rows, consumed_runs=consumed)
-    target = align(state, schema) if state is not None else _empty(lake, schema)
+    current = align(state, schema) if state is not None else _empty(lake, schema)
     kept = [n for n in (INSERTED_AT, "persistent_insert_ts") if n in schema.names]
     if spec.update_mode == "scd1":
-        merged = scd1_merge(target, incoming, spec.keys, spec.version_column, [ARRIVAL], kept)
+        merged = scd1_merge(current, incoming, spec.keys, spec.version_column, [ARRIVAL], kept)
     else:
-        merged = upsert(target, incoming, spec.keys, [ARRIVAL], kept)
+        merged = upsert(current, incoming, spec.keys, [ARRIVAL], kept)
+    if target is not None:
+        return target.write(run_id, merged, consumed)
     clustered = len(held) == 1 and held[0].buckets == spec.buckets and held[0].keys == spec.keys
     return lake.write_snapshot(
         "persistent", table, run_id, merged, consumed, spec.keys, spec.buckets, clustered
@@ -251,16 +281,6 @@ def _empty(lake: Lake, schema: T.StructType) -> DataFrame:
     return lake.spark.createDataFrame([], schema)
 
 
-def align(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """A table's rows in the contract's current columns and types."""
-    columns = []
-    for item in schema.fields:
-        column = lookup(df, item.name)
-        column = F.lit(None) if column is None else column
-        columns.append(column.cast(item.dataType).alias(item.name))
-    return df.select(*columns)
-
-
 def quarantine_records(rejected: DataFrame, spec: TableSpec) -> DataFrame:
     """One ``{source, mapped, reason}`` record per rejected row."""
     return rejected.select(

@@ -27,10 +27,10 @@ from oreflow.functions.casts import contract_type, parse, parse_failed
 from oreflow.functions.columns import without
 from oreflow.functions.hashing import record_hash
 from oreflow.operators import dedup, mapping, merge, quality, watermark
-from oreflow.plans import consumption, control, refine
+from oreflow.plans import consumption, control, merging, refine
 from oreflow.plans.ingest import refine_raw
 from oreflow.plans.lake import Lake
-from oreflow.plans.pipeline import Context, run_pipeline
+from oreflow.plans.pipeline import Context, Pipeline, run_pipeline
 from oreflow.session import scratch_folder
 from oreflow.sources import csv, files
 from oreflow.streaming.incremental import csv_stream, upsert_stream
@@ -298,6 +298,41 @@ def landing_discovery(spark: SparkSession, folder: str) -> DataFrame:
     return found.groupBy(delivered).agg(F.count(F.lit(1)).cast("int").alias("deliveries"))
 
 
+@query(
+    """
+WITH months AS (
+  SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n FROM orders GROUP BY 1)
+SELECT run_id, count(*) AS files, CAST(sum(rows_in_raw) AS BIGINT) AS rows_in_raw FROM (
+  SELECT CASE WHEN month < '1998-01' THEN 'run-1' ELSE 'run-2' END AS run_id, n AS rows_in_raw FROM months)
+GROUP BY run_id
+"""
+)
+def landing_second_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Three runs over a growing landing folder: files opened by each, and their rows in Raw.
+
+    The second run opens the files that came since the first; the third opens none.
+    """
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_custkey", month.alias("month"))
+    landing, root = scratch_folder(spark, "csv"), scratch_folder(spark, "lake")
+    contract = parse_contract({"landing": {"raw_table": "raw_orders"}})
+    late = F.col("month") >= "1998-01"
+    for run, delivery in (("run-1", rows.where(~late)), ("run-2", rows.where(late)), ("run-3", None)):
+        if delivery is not None:
+            monthly = delivery.repartition("month").sortWithinPartitions("month", "o_orderkey")
+            monthly.write.mode("append").partitionBy("month").option("header", True).csv(landing)
+        lake = landing_to_raw_of(spark, contract, run, f"{landing}/*", root)
+    opened = lake.manifest().groupBy("run_id").agg(F.count(F.lit(1)).alias("files"))
+    loaded = lake.read("raw", "raw_orders").groupBy("run_id").agg(F.count(F.lit(1)).alias("rows_in_raw"))
+    return opened.join(loaded, "run_id")
+
+
+def landing_to_raw_of(spark: SparkSession, contract, run_id: str, landing: str, root: str) -> Lake:
+    pipeline = Pipeline(spark, contract, Context(run_id, landing, root, quarantine=f"{root}/quarantine"))
+    pipeline.landing_to_raw()
+    return pipeline.lake
+
+
 # --- Raw -------------------------------------------------------------------------
 
 
@@ -892,6 +927,24 @@ def append_keyless(spark: SparkSession, folder: str) -> DataFrame:
     return merge.append(*event_halves(spark, folder))
 
 
+@query(UPSERT_SQL)
+def partition_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """The two deliveries through a table in hash partitions, each a commit of its own."""
+    lake = Lake(spark, scratch_folder(spark, "lake"))
+    order, kept = ["ts", "event_id"], ["inserted_at"]
+    for number, delivery in enumerate(event_halves(spark, folder)):
+        merging.merge_into(
+            lake,
+            "last_events",
+            f"run-{number}",
+            delivery,
+            ["user_id"],
+            8,
+            lambda state, rows: merge.upsert(state, rows, ["user_id"], order, kept),
+        )
+    return lake.read("persistent", "last_events").select(*UPSERT_COLUMNS)
+
+
 @query(
     VERSIONED_SQL
     + """
@@ -932,15 +985,15 @@ CONFLICT_COMPARED = ["l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
 @query(CONFLICT_SQL + "SEMI JOIN clash USING (l_orderkey, l_linenumber)")
 def conflict_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "lineitem")
-    _, clashes = merge.split_conflicts(rows, ["l_orderkey"], "l_linenumber", CONFLICT_COMPARED)
-    return clashes.select(*LINE_KEY, "l_partkey", "l_suppkey")
+    marked = merge.mark_conflicts(rows, ["l_orderkey"], "l_linenumber", CONFLICT_COMPARED)
+    return marked.where(merge.CONFLICT).select(*LINE_KEY, "l_partkey", "l_suppkey")
 
 
 @query(CONFLICT_SQL + "ANTI JOIN clash USING (l_orderkey, l_linenumber)")
 def conflict_free_rows(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "lineitem")
-    sound, _ = merge.split_conflicts(rows, ["l_orderkey"], "l_linenumber", CONFLICT_COMPARED)
-    return sound.select(*LINE_KEY, "l_partkey", "l_suppkey")
+    marked = merge.mark_conflicts(rows, ["l_orderkey"], "l_linenumber", CONFLICT_COMPARED)
+    return marked.where(f"NOT {merge.CONFLICT}").select(*LINE_KEY, "l_partkey", "l_suppkey")
 
 
 # --- Watermarks ------------------------------------------------------------------

@@ -16,6 +16,8 @@ ENGINE_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # any encoding that a contract names, not only those of Spark's short list
     "spark.sql.legacy.javaCharsets": "true",
+    # a byte that is no text becomes a replacement mark, in files of any size
+    "spark.sql.legacy.codingErrorAction": "true",
 }
 
 SCRATCH = "oreflow"

@@ -62,6 +62,15 @@ def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame | No
         plain = plain if plain.startswith("/") else os.path.abspath(plain)
         parent = F.regexp_replace(F.regexp_replace("path", SCHEME, ""), "/[^/]*$", "")
         listed = listed.where(parent == F.lit(plain))
+    return _facts(listed)
+
+
+def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The same columns for files of known paths."""
+    return _facts(spark.read.format("binaryFile").load(list(paths)))
+
+
+def _facts(listed: DataFrame) -> DataFrame:
     return listed.select(
         "path",
         F.col("_metadata.file_path").alias("uri"),
@@ -72,6 +81,16 @@ def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame | No
     )
 
 
+def unread(listed: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Listed files that were not read before: new by path, size or time for their table.
+
+    Only the listing is needed.  A file that was read is either loaded or a copy of
+    what is loaded, so it need not be opened again.
+    """
+    known = ["path", "source_table", "size", "modified"]
+    return listed.join(manifest.select(*known).distinct(), known, "left_anti")
+
+
 def content_checksum(content: Column) -> Column:
     """SHA-256 of the bytes, as lower-case hex."""
     return F.sha2(content, 256)

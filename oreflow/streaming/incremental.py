@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from oreflow.contracts import DEFAULT_PARTITIONS
 from oreflow.operators.merge import INSERTED_AT, upsert
 from oreflow.plans.lake import Lake
+from oreflow.plans.merging import merge_into
 
 
 def csv_stream(
@@ -49,6 +51,7 @@ def upsert_stream(
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     kept: Sequence[str] = (INSERTED_AT,),
+    partitions: int = DEFAULT_PARTITIONS,
 ) -> StreamingQuery:
     """Merge everything available into a Persistent table, then stop.
 
@@ -58,7 +61,8 @@ def upsert_stream(
 
     The checkpoint remembers the files taken.  A batch that is replayed after a
     failure finds its own id among the committed ones and is skipped, so every
-    batch is merged exactly once.
+    batch is merged exactly once.  A batch reads and writes the partitions its keys
+    fall in, and fails if a run changed the table while it did.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
@@ -67,12 +71,16 @@ def upsert_stream(
         if batch_id in lake.consumed_runs("persistent", table):
             return
         incoming = prepare(batch) if prepare else batch
-        state = lake.read("persistent", table)
-        if state is None:
-            state = lake.spark.createDataFrame([], incoming.schema)
-        merged = upsert(state, incoming, keys, order, kept)
-        commit = lake.write_snapshot("persistent", table, batch_id, merged, [batch_id])
-        lake.record([commit])
+        merge_into(
+            lake,
+            table,
+            batch_id,
+            incoming,
+            keys,
+            partitions,
+            lambda state, rows: upsert(state, rows, keys, order, kept),
+            [batch_id],
+        )
 
     return (
         stream.writeStream.foreachBatch(merge)

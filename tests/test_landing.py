@@ -199,4 +199,4 @@ def test_same_content_is_loaded_once_and_empty_files_are_ledgered(spark, make_co
     assert found["1"]["m"] is None and found["2"]["m"] == "x"
     assert str(found["2"]["arrival_date"]) == "2024-05-06"
     assert found["1"]["source_file_name"] == "a.csv" and found["1"]["source_file_size"] == 4
-    assert lake.control.read("processed_file_ledger").count() == 3
+    assert lake.ledger().count() == 3

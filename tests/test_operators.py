@@ -122,7 +122,9 @@ def test_conflicts(spark):
     )
     current = make(spark, [(3, 1, "a"), (4, 1, None), (1, 2, "q")], schema)
     compared = ["key", "version", "value"]
-    sound, clashes = merge.split_conflicts(incoming, ["key"], "version", compared, current)
+    marked = merge.mark_conflicts(incoming, ["key"], "version", compared, current)
+    sound = marked.where(f"NOT {merge.CONFLICT}").drop(merge.CONFLICT)
+    clashes = marked.where(merge.CONFLICT).drop(merge.CONFLICT)
     assert rows(clashes) == [(2, 1, "a"), (2, 1, "b"), (3, 1, "z")]
     assert rows(sound) == [(1, 1, "a"), (1, 1, "a"), (4, 1, None)]
 

@@ -50,7 +50,7 @@ def test_latest_aggregates_before_the_shuffle(spark):
     assert "partial_max_by" in plan and plan.count("Exchange") == 1
 
 
-@pytest.mark.parametrize("operator", ["absent_keys", "split_conflicts", "beyond_marks"])
+@pytest.mark.parametrize("operator", ["absent_keys", "mark_conflicts", "beyond_marks"])
 def test_hot_left_sides_are_split(spark, tmp_path, operator):
     """With broadcasts off, adaptive execution splits the hot key; no row is lost."""
     rows = hot(spark)
@@ -67,8 +67,14 @@ def test_hot_left_sides_are_split(spark, tmp_path, operator):
         if operator == "absent_keys":
             result = merge.absent_keys(rows, keys, ["key"])
             expected = rows.where("NOT (key <> 0 AND key % 2 = 0)").count()
-        elif operator == "split_conflicts":
-            _, result = merge.split_conflicts(rows, ["key"], "version", ["value"])
+        elif operator == "mark_conflicts":
+
+            def written(ends):
+                ends.write.parquet(str(tmp_path / "ends"))
+                return spark.read.parquet(str(tmp_path / "ends"))
+
+            result = merge.mark_conflicts(rows, ["key"], "version", ["value"], written=written)
+            result = result.where(merge.CONFLICT)
             several = rows.groupBy("key", "version").count().where("count > 1")
             expected = several.agg(F.sum("count")).first()[0]
         else:
