@@ -29,6 +29,8 @@ from oreflow.llm.seekable import file_system
 #: An archive is listed in blocks of about so many bytes; a task reads one.
 BLOCK_BYTES = 8 << 20
 LEVEL = 1
+#: Rows that are all alike are made again in shares of so many.
+COPIES = 1000
 #: Payloads shorter than this are always written in full.
 LEAST_PAYLOAD = 0
 DATE = "2000-01-01T00:00:00Z"
@@ -55,15 +57,23 @@ def capture_id(page_id: int | None, digest: str, more: str = "") -> str:
     return f"<urn:x-capture:{'' if page_id is None else page_id}:{digest}{more and f':{more}'}>"
 
 
+def _path_and_host(url: str | None) -> tuple[str, str]:
+    """Of a request; ``/`` and no host where the URL has none that can be told."""
+    try:
+        parts = urlsplit(url or "")
+    except ValueError:  # brackets that hold no address, a host that Unicode forbids
+        return "/", ""
+    return parts.path or "/", parts.netloc
+
+
 def _transaction(row: dict, name: str, revisit_of: str | None) -> bytes:
     """The three records of a capture; ``name`` is the identifier of the first."""
-    payload, digest = row["payload"], f"sha1:{row['digest']}"
+    digest = f"sha1:{row['digest']}"
     url = row["url"] and _safe(row["url"])
-    parts = urlsplit(url) if url and "[" not in url and "]" not in url else None
-    path, host = (parts.path or "/", parts.netloc) if parts else ("/", "")
+    path, host = _path_and_host(url)
     http = (
         "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-        f"Content-Length: {len(payload)}\r\n\r\n"
+        f"Content-Length: {row['size']}\r\n\r\n"
     ).encode()
     shared = [("WARC-Date", DATE), ("WARC-Target-URI", url)]
     first = [
@@ -77,7 +87,7 @@ def _transaction(row: dict, name: str, revisit_of: str | None) -> bytes:
     ]
     request = f"GET {path} HTTP/1.1\r\nHost: {host}\r\n\r\n".encode()
     fields = f"page-id: {row['page_id']}\r\n".encode() if row["page_id"] is not None else b""
-    out = _record(first, http if revisit_of else http + payload)
+    out = _record(first, http if revisit_of else http + row["payload"])
     for kind, block, content in (
         ("request", request, "application/http;msgtype=request"),
         ("metadata", fields, "application/warc-fields"),
@@ -96,25 +106,42 @@ def write_archives(pages: DataFrame, folder: str, least_payload: int = LEAST_PAY
     last.  A row that repeats both page_id and payload revisits the first of them.
     Null html is an empty payload, null urls leave their header out.
 
-    Pages are staged with a number each, by which one row of each payload is marked as
-    the leader and rows meet what is known of them: no key repeats in that join.
-    Only numbers, page_ids and digests are grouped.  Blocks: path, start, length, one
-    row each.
+    Digests, page_ids and URLs are counted, without payloads; what is known of them then
+    meets each row in one join.  No key repeats in it but that of rows which repeat
+    all three: those are one row with a count until they are written.  ``pages`` is
+    read more than once: pass a written table.  Blocks: path, start, length, one row
+    each.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select("page_id", "url", payload.alias("payload"))
-    # the numbers are given once and then read: a row that is made again keeps its own
-    rows = staged(rows.select("*", F.sha1("payload").alias("sha1"), F.monotonically_increasing_id().alias("row")), "pages")
-    light = rows.where(F.octet_length("payload") >= least_payload).select("page_id", "sha1", "row")
-    order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "row")
-    first = light.groupBy("sha1").agg(F.min(order).alias("first"), F.count("*").alias("n"))
-    equal = light.join(first.where("n > 1"), "sha1").select(
-        F.col("row").alias("own_row"),
+    rows = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload).alias("sha1"))
+    key = ["sha1", "page_id", "url"]
+    counted = rows.where(F.octet_length("payload") >= least_payload).groupBy(*key).agg(F.count("*").alias("n"))
+    counted = staged(counted, "payloads")
+    order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "url")
+    first = counted.groupBy("sha1").agg(F.min(order).alias("first"), F.sum("n").alias("rows"))
+    leads = F.col("page_id").eqNullSafe(F.col("first.page_id")) & F.col("url").eqNullSafe(F.col("first.url"))
+    equal = counted.join(first.where("rows > 1"), "sha1").select(
+        *[F.col(name).alias(f"own_{name}") for name in key],
         F.col("first.page_id").alias("first"),
-        (F.col("row") == F.col("first.row")).alias("leads"),
-        F.lit(True).alias("equal"),
+        leads.alias("leads"),
+        "n",
+    )
+    equal = staged(equal, "equal")
+    same = F.lit(True)
+    for name in key:
+        same = same & F.col(name).eqNullSafe(F.col(f"own_{name}"))
+    met = rows.join(equal, same, "left").select(
+        *key,
+        F.octet_length("payload").alias("size"),
+        F.when(F.col("n").isNull() | F.col("leads"), F.col("payload")).alias("payload"),  # others refer to it
+        "first",
+        "leads",
+        F.col("n").isNotNull().alias("equal"),
+        "n",
     )
-    dealt = rows.join(equal, F.col("row") == F.col("own_row"), "left")
+    dealt = met.where("n IS NULL OR n = 1").drop("n")
+    if equal.where("n > 1").limit(1).count():
+        dealt = dealt.unionByName(_copies(met.where("n > 1"), key))
     files = f"{folder}/archives"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,13 +175,38 @@ def write_archives(pages: DataFrame, folder: str, least_payload: int = LEAST_PAY
             if size > start:
                 yield _block(path, start, size)
 
-    columns = ["page_id", "url", "payload", "sha1", "first", "leads", "equal"]
+    columns = ["page_id", "url", "payload", "size", "sha1", "first", "leads", "equal"]
     blocks = dealt.select(*columns).mapInArrow(write, "path string, start long, length long")
     blocks.write.parquet(f"{folder}/blocks")
     listed = pages.sparkSession.read.schema(blocks.schema).parquet(f"{folder}/blocks")
     return listed.withColumn("path", F.concat(F.lit(f"{files}/"), "path"))
 
 
+def _copies(met: DataFrame, key: list[str]) -> DataFrame:
+    """Rows that repeat all of ``key``: one for each again, of which the first alone may lead.
+
+    Copies are counted before the shuffle, and dealt out again in shares.
+    """
+    one = met.groupBy(*key).agg(
+        *[F.any_value(name, True).alias(name) for name in ("size", "payload", "first", "leads", "equal")],
+        F.count("*").alias("n"),
+    )
+    shares = F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {COPIES}"))
+    dealt = one.withColumn("share", F.explode(shares)).withColumn(
+        "payload", F.when(F.col("leads") & (F.col("share") == 0), F.col("payload"))
+    )
+    last = F.least(F.col("n"), (F.col("share") + 1) * COPIES) - 1
+    nth = F.explode(F.sequence(F.col("share") * COPIES, last))
+    return dealt.repartition("share", *key).withColumn("nth", nth).select(
+        *key,
+        "size",
+        F.when(F.col("nth") == 0, F.col("payload")).alias("payload"),
+        "first",
+        (F.col("leads") & (F.col("nth") == 0)).alias("leads"),
+        "equal",
+    )
+
+
 def _block(path: str, start: int, end: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist([{"path": path, "start": start, "length": end - start}])
 

@@ -358,6 +358,24 @@ def test_warc_one_leader_of_rows_dealt_over_tasks(spark):
     assert sum(r.record_type == "response" and r.payload_bytes == len(html) for r in rows) == 1
 
 
+def test_warc_of_odd_urls_and_many_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(warc, "COPIES", 7)
+    urls = ["http://exa\u2100mple.com/", "http://[::1/x", "http://[nowhere]/", "//", "not a url", "http://a.b/c?d"]
+    pages = [(i, url, f"page {i}") for i, url in enumerate(urls)]
+    pages += [(50, "http://same/", "twice")] * 40 + [(None, None, None)] * 30 + [(50, "http://else/", "twice"), (7, None, "")]
+    pages += [(90, "http://long/", "x" * 3_000_000), (91, "http://long/", "x" * 3_000_000)]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5)
+    table = table.withColumns({"size": F.lit(1), "first": F.lit("x"), "n": F.lit(2)})
+    rows = warc.round_trip(table).collect()
+    assert Counter(r.page_id for r in rows) == Counter(p for p, _, _ in pages)
+    kinds = Counter((r.page_id, r.record_type, r.refers_to) for r in rows)
+    assert kinds[(50, "response", None)] == 1 and kinds[(50, "revisit", 50)] == 40
+    assert kinds[(7, "response", None)] == 1 and kinds[(None, "revisit", 7)] == 30
+    assert kinds[(90, "response", None)] == kinds[(91, "revisit", 90)] == 1
+    sizes = {p: len((html or "").encode()) for p, _, html in pages}
+    assert all(r.payload_bytes == sizes[r.page_id] for r in rows)
+
+
 def test_warc_assembly_keeps_what_belongs_together(spark, tmp_path):
     pages = spark.createDataFrame([(1, "http://a/x", "one"), (2, "http://b/", "two")], "page_id long, url string, html string")
     records = warc.read_records(warc.write_archives(pages, str(tmp_path / "w"), least_payload=10))
