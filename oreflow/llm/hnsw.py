@@ -285,7 +285,8 @@ def near_duplicates(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataF
     vectors, vectors with null or non-finite components, and rows with a null vec_id
     link with nothing (component_id is the own vec_id).  Rows that agree in label and
     embedding are one node of the graph with so many copies, each linked with the
-    others.  Vectors of different lengths do not meet.
+    others; a vec_id that has several vectors is as many nodes, each with links of its
+    own.  Vectors of different lengths do not meet.
     """
     spark = embeddings.sparkSession
     rows = embeddings.select("vec_id", "embedding", "label")
@@ -299,7 +300,9 @@ def near_duplicates(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataF
         F.any_value("label").alias("label"),
         F.any_value("embedding").alias("embedding"),
     )
-    classes = staged(classes.withColumn("size", F.size("embedding")), "classes")
+    # one vec_id may have several vectors: a node is known by a number of its own
+    classes = classes.withColumns({"size": F.size("embedding"), "node": F.monotonically_increasing_id()})
+    classes = staged(classes, "classes")
     sizes = classes.groupBy("label", "size").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("shards"))
     sizes = staged(sizes, "sizes")
     folder = new_folder(spark, "graphs")
@@ -314,7 +317,7 @@ def near_duplicates(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataF
         name = f"{uuid.uuid4().hex}.npz"
         layers = {f"nodes{i}": nodes for i, (nodes, _) in enumerate(graph.layers)}
         layers |= {f"links{i}": links for i, (_, links) in enumerate(graph.layers)}
-        ids, copies = group["id"].to_numpy(np.int64), group["copies"].to_numpy(np.int64)
+        ids, copies = group["node"].to_numpy(np.int64), group["copies"].to_numpy(np.int64)
         _save(folder, name, vectors=vectors, ids=ids, copies=copies, layers=np.array(len(graph.layers)), **layers)
         first = group.iloc[0]
         return pd.DataFrame({"label": [first["label"]], "size": [first["size"]], "shard": [first["shard"]], "name": [name]})
@@ -356,12 +359,16 @@ def near_duplicates(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataF
     found = staged(tasks.mapInArrow(search, "id long, n long, root long"), "found")
     degrees = found.groupBy(F.col("id").alias("of_id")).agg(F.sum("n").alias("n"))
     joined = components(found.select(F.col("id").alias("u"), F.col("root").alias("v")))
-    node = classes.select("a", "b", "id", "copies").join(degrees, F.col("id") == F.col("of_id"), "left")
-    node = node.join(joined, F.col("id") == F.col("node"), "left").select(
+    node = classes.select("a", "b", "id", "copies", F.col("node").alias("number"))
+    node = node.join(degrees, F.col("number") == F.col("of_id"), "left")
+    node = node.join(joined, F.col("number") == F.col("node"), "left")
+    node = staged(node.withColumn("root", F.coalesce("root", "number")).drop("of_id", "node", "number"), "nodes")
+    least_id = node.groupBy(F.col("root").alias("of_root")).agg(F.min("id").alias("component_id"))
+    node = node.join(least_id, F.col("root") == F.col("of_root")).select(
         F.col("a").alias("of_a"),
         F.col("b").alias("of_b"),
         (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("root", "id").alias("component_id"),
+        "component_id",
     )
     own = rows.select("vec_id", F.when(usable & nonzero, key[0]).alias("a"), F.when(usable & nonzero, key[1]).alias("b"))
     out = own.join(node, (F.col("a") == F.col("of_a")) & (F.col("b") == F.col("of_b")), "left")
