@@ -29,6 +29,8 @@ BLOCK = 4096
 LEAF = 64
 #: Up to here whole numbers, and so scores, are exact in double precision.
 EXACT = 2**53
+#: The largest score that a column of longs can show.
+MOST = 2**63 - 1
 
 
 @dataclass
@@ -47,6 +49,16 @@ class BallTree:
         self._vectors, self._leaf = vectors, leaf
         self._root = self._node(0, len(ids))
         self.ids, self.vectors = ids[self._order], vectors[self._order]
+        self._longest = float(np.sqrt((self.vectors**2).sum(1)).max()) if len(ids) else 0.0
+        self._whole: np.ndarray | None = None
+
+    def _scores(self, rows: slice, query: np.ndarray, length: float) -> np.ndarray:
+        """Inner products: in double precision where that is exact, else in whole numbers of any size."""
+        if length * self._longest < EXACT:
+            return self.vectors[rows] @ query
+        if self._whole is None:
+            self._whole = _whole(self.vectors)
+        return self._whole[rows] @ _whole(query)
 
     def _node(self, start: int, end: int) -> _Node:
         own = self._vectors[self._order[start:end]]
@@ -74,7 +86,7 @@ class BallTree:
             top = float(query @ node.centre) + length * node.radius
             return top + 1e-9 * (abs(top) + length * (1 + node.radius))
 
-        best: list[tuple[float, int]] = []  # the worst first: (score, -id)
+        best: list[tuple[int, int]] = []  # the worst first: (score, -id)
         waiting = [(-bound(self._root), 0, self._root)]
         number = 0
         while waiting:
@@ -86,15 +98,21 @@ class BallTree:
                     number += 1
                     heapq.heappush(waiting, (-bound(half), number, half))
                 continue
-            scores, ids = self.vectors[node.rows] @ query, self.ids[node.rows]
+            scores, ids = self._scores(node.rows, query, length), self.ids[node.rows]
             least = max(floor, best[0][0]) if len(best) == k else floor
             for at in np.flatnonzero((scores >= least) & (ids != query_id)).tolist():
-                entry = (float(scores[at]), -int(ids[at]))
+                entry = (int(scores[at]), -int(ids[at]))
                 if len(best) < k:
                     heapq.heappush(best, entry)
                 elif entry > best[0]:
                     heapq.heapreplace(best, entry)
-        return [(int(s), -i) for s, i in sorted(best, reverse=True)]
+        return [(s, -i) for s, i in sorted(best, reverse=True)]
+
+
+def _whole(values: np.ndarray) -> np.ndarray:
+    out = np.empty(values.shape, object)
+    out.ravel()[:] = [int(x) for x in values.ravel().tolist()]
+    return out
 
 
 def scaled(embedding: Column, scale: float = SCALE) -> Column:
@@ -121,17 +139,21 @@ def _answers(tree: BallTree, queries: pd.DataFrame, k: int) -> list[tuple[int, i
     ):
         least = -np.inf if pd.isna(floor) else float(floor)
         for score, vec_id in tree.search(query_id, np.asarray(vector, float), k, least):
-            rows.append((query_id, key, vec_id, score))
+            rows.append((query_id, key, vec_id, min(max(score, -MOST - 1), MOST)))
     return rows
 
 
 def _tree(rows: pd.DataFrame) -> BallTree:
     vectors = np.array(rows["vector"].tolist(), float).reshape(len(rows), -1)
-    if len(rows) and float((vectors**2).sum(1).max()) >= EXACT:
-        raise ValueError("scores beyond 2^53 are not exact in double precision")
     return BallTree(rows["vec_id"].to_numpy(np.int64), vectors)
 
 
+def _below(score: str) -> Column:
+    """The score as a double that is not above it."""
+    value = F.col(score).cast("double")
+    return F.when(F.abs(value) < EXACT, value).otherwise(value - F.abs(value) * 1e-15)
+
+
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["query_id", "query_key", "vec_id", "score"], dtype="int64")
 
@@ -142,7 +164,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     ``vectors`` (vec_id, vector: whole numbers as doubles).  Rows with a null vec_id
     or vector take no part; rows equal in both count once.  A vec_id that has several
     vectors is searched with each, and never found by itself.  Vectors of different
-    lengths do not meet.  Fewer than k others: all of them.
+    lengths do not meet.  Fewer than k others: all of them.  Scores are exact at any size;
+    one that no long can show is shown as the nearest long, in the order of the true
+    scores among those of its shard.
     """
     rows = vectors.where("vec_id is not null and vector is not null").select("vec_id", "vector")
     rows = rows.withColumns({"key": F.xxhash64("vector"), "size": F.size("vector"), "asks": is_query})
@@ -167,7 +191,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         block = F.pmod(F.xxhash64("key", "vec_id"), F.lit(blocks)).cast("int").alias("block")
         others = F.explode(F.array_remove(F.sequence(F.lit(0), F.lit(shards - 1)), F.col("shard")))
         asked = asked.select(
-            "size", others.alias("shard"), block, "vec_id", "key", "vector", F.col("least").cast("double").alias("floor")
+            "size", others.alias("shard"), block, "vec_id", "key", "vector", _below("least").alias("floor")
         )
         asked = asked.toDF(*asked.columns)  # columns of its own, not those of the vectors it meets
         every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")

@@ -537,3 +537,29 @@ def test_reader_decompresses_only_what_is_asked_for(tmp_path):
     (tmp_path / "bad.zst").write_bytes(data[:30] + bytes([data[30] ^ 1]) + data[31:])
     with pa.OSFile(str(tmp_path / "bad.zst")) as stream, pytest.raises(Exception):  # noqa: B017
         list(seekable.Reader(stream).documents())
+
+
+def test_hnsw_of_ids_with_several_vectors(spark):
+    v, w, z = [1.0, 0.0, 0.0], [0.999, 0.02, 0.0], [-1.0, 0.0, 0.0]
+    rows = [(5, v, 1), (5, w, 1), (5, z, 1), (2, [-0.999, 0.0, 0.02], 1), (9, z, 1)]
+    found = hnsw.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == [
+        (2, 2, 2), (5, 1, 5), (5, 1, 5), (5, 2, 2), (9, 2, 2)
+    ]
+
+
+def test_ball_tree_of_huge_components(spark, monkeypatch):
+    """Scores beyond 2^53 are exact, and ties among them go to the lesser id."""
+    monkeypatch.setattr(balltree, "SHARD", 4)
+    rng = random.Random(3)
+    rows = [(i, [float(rng.randint(-400_000, 400_000)) for _ in range(3)]) for i in range(40)]
+    rows += [(100, [400_000.0, 1.0, 0.0]), (101, [400_000.0, 1.0, 0.0]), (102, [400_000.0, 1.00390625, 0.0]), (150, [0.0, 0.0, 0.0])]
+    ints = {i: [int(256 * x) for x in e] for i, e in rows}
+    expected = []
+    for q in (i for i in ints if i % 50 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(ints[q], ints[c], strict=True)), c) for c in ints if c != q)
+        expected += [(q, n, c, -s) for n, (s, c) in enumerate(scores[:5], 1)]
+    found = balltree.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=50).collect()
+    assert sorted(map(tuple, found)) == sorted(expected)
+    huge = spark.createDataFrame([(0, [1e300, 1.0]), (1, [1e300, 2.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    assert [r.vec_id for r in balltree.nearest(huge, every=50).orderBy("rank").collect()] == [1, 2]
