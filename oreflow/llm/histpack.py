@@ -31,8 +31,8 @@ from oreflow.llm.tokens import RUN_CHARS, encoder, word_chunks
 CAPACITY = 2048
 END_ID = 1
 #: Coordinates that one round of the solver looks at again, and the rounds at most.
-ROUND = 2048
-ROUNDS = 60
+ROUND = 1024
+ROUNDS = 40
 #: The solver stops when a round lowers the squared error by less than this share.
 GAIN = 1e-3
 

@@ -86,6 +86,15 @@ class _Numbered(dict):
         return number
 
 
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    """The array with room for ``size`` values, copied only now and then."""
+    if len(array) >= size:
+        return array
+    out = np.zeros(max(size, 2 * len(array)), array.dtype)
+    out[: len(array)] = array
+    return out
+
+
 class ChunkEncoder:
     """Encodes lists of texts; equal chunks are encoded once."""
 
@@ -107,14 +116,16 @@ class ChunkEncoder:
     def _forget(self) -> None:
         self._known = _Numbered()
         self._chars = 0
+        #: By number of a chunk: where its ids are, how many, how often it came.  With room to grow.
         self._starts = np.zeros(0, np.int64)
         self._sizes = np.zeros(0, np.int64)
-        self._ids = np.zeros(0, np.uint32)
         self._uses = np.zeros(0, np.int64)
+        self._ids = np.zeros(0, np.uint32)
+        self._filled = 0
 
     def _thin(self) -> None:
         """Forget the chunks that came once; all of them, if that frees little."""
-        kept = np.flatnonzero(self._uses > 1)
+        kept = np.flatnonzero(self._uses[: len(self._known)] > 1)
         names = list(self._known)
         names = [names[at] for at in kept.tolist()]
         chars = sum(map(len, names))
@@ -128,6 +139,7 @@ class ChunkEncoder:
         total = int(ends[-1]) if len(ends) else 0
         where = np.arange(total) + np.repeat(self._starts[kept] - ends + sizes, sizes)
         self._ids, self._sizes, self._starts = self._ids[where], sizes, ends - sizes
+        self._filled = total
 
     def _plain(self, strings: list[str]) -> list[np.ndarray]:
         found = self._tokenizer.encode_batch_fast(strings, add_special_tokens=False)
@@ -137,25 +149,33 @@ class ChunkEncoder:
         """Encode new chunks: plain words many in one string, the others alone.
 
         Between two words the mark is a word of its own, and so are the line ends
-        around it where the tokenizer keeps them.
+        around it where the tokenizer keeps them.  The ids stay as they come, marks
+        and all; only their places are noted.
         """
-        parts: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(fresh)
         joined = [at for at, chunk in enumerate(fresh) if _PLAIN.match(chunk)]
         alone = sorted(set(range(len(fresh))).difference(joined))
         groups = [joined[i : i + TOGETHER] for i in range(0, len(joined), TOGETHER)]
         border = f"\n{_MARK}\n"
         strings = [border.join(["", *map(fresh.__getitem__, group), ""]) for group in groups]
-        for group, ids in zip(groups, self._plain(strings), strict=True):
+        parts = self._plain([*strings, *map(fresh.__getitem__, alone)])
+        count, total = len(self._known), sum(map(len, parts))
+        self._starts, self._sizes, self._uses = (
+            _grown(array, count) for array in (self._starts, self._sizes, self._uses)
+        )
+        self._ids = _grown(self._ids, self._filled + total)
+        self._ids[self._filled : self._filled + total] = np.concatenate(parts)
+        begun = self._filled + np.cumsum([0, *map(len, parts)])
+        numbers = count - len(fresh)
+        for group, ids, at in zip(groups, parts, begun.tolist(), strict=False):
             marks = np.flatnonzero(ids == self._mark)
-            starts, ends = marks[:-1] + 1 + self._ends, marks[1:] - self._ends
-            for at, a, b in zip(group, starts.tolist(), ends.tolist(), strict=True):
-                parts[at] = ids[a:b]
-        for at, ids in zip(alone, self._plain([fresh[at] for at in alone]), strict=True):
-            parts[at] = ids
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        self._starts = np.concatenate([self._starts, len(self._ids) + np.cumsum(sizes) - sizes])
-        self._sizes = np.concatenate([self._sizes, sizes])
-        self._ids = np.concatenate([self._ids, *parts])
+            own = np.array(group) + numbers
+            self._starts[own] = at + marks[:-1] + 1 + self._ends
+            self._sizes[own] = marks[1:] - marks[:-1] - 1 - 2 * self._ends
+        if alone:
+            own = np.array(alone) + numbers
+            self._starts[own] = begun[len(groups) : -1]
+            self._sizes[own] = [len(ids) for ids in parts[len(groups) :]]
+        self._filled += total
         self._chars += sum(map(len, fresh))
 
     def _run(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -169,9 +189,7 @@ class ChunkEncoder:
         )
         if len(self._known) > before:
             self._learn(list(islice(self._known, before, None)))
-        uses = np.bincount(known, minlength=len(self._known))
-        uses[: len(self._uses)] += self._uses
-        self._uses = uses
+        np.add.at(self._uses, known, 1)
         sizes = self._sizes[known]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
