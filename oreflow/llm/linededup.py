@@ -1,151 +1,196 @@
 """Near-duplicate lines out of all documents, by an exact set-similarity join.
 
-A line is the set of its five-word shingles (a shorter line: one shingle of all its
-words).  A line goes if an earlier line, in the order of (doc_id, place in the
-text, hashes of the row), has a Jaccard similarity of at least 4/5 with it; equal
-lines are the special case.  Lines without a word stay.  A row is told by two hashes
-of its doc_id and text, so rows of one doc_id, or of none, have lines of their own.
+A line is the set of its words: what blanks, tabs, carriage returns, vertical tabs
+and form feeds leave, in lower case.  A line goes if an earlier line, in the order of
+(doc_id, place in the text, hash of the row), has a Jaccard similarity of at least 4/5
+with it; equal lines are the special case.  Lines without a word stay.  A row is told
+by its doc_id and a hash of doc_id and text, so rows of one doc_id, or of none, have
+lines of their own.
 
 Method, in DataFrame operations only:
 
-* Shingles are counted in 2^16 buckets over all lines.  The order of shingles is:
-  rarest bucket first (by powers of two), then by hash.
+* Words are counted in 2^20 buckets over all lines.  The order of words is: rarest
+  bucket first (by powers of two), then by hash.  The buckets bound what is broadcast;
+  with many words to a bucket the order is less sharp, the result the same.
 * Equal lines are collapsed to their first before anything else.
-* Prefix filter: of a line's n shingles in that order, the first n - ceil(t n) + 1
-  go into an index; two similar lines share one of them.  Lines meet by these.
+* Prefix filter: of a line's n words in that order, the first n - ceil(t n) + 1
+  go into an index; two similar lines share one of them.  Words that occur once have
+  no entry.  A frequent word has its entries together with each word behind it, up to
+  one word more: lines that share two words or more share the first two there, so
+  entries stay short where single words are common.
 * Length and positional filter: the sizes, and what can still be common behind the
-  place where they meet, must allow the similarity.
-* A line is tested against the first line of each of its index entries; that
-  decides the members of large groups with one pair an entry.  The others are
-  joined with all earlier lines of their entries.
-* Jaccard is computed on the whole sets.  Sets are fetched for lines in the index
-  that met another; a bitmap of constant size sieves them before the shuffle.
-
-Shingles are told apart by 57 bits of XXH64 of their words' XXH64.
+  place where two lines meet, must allow the similarity.
+* Bitmap filter: 64 parities of word hashes; two sets differ in at least as many words
+  as their parities do.
+* A line is tested against the first line of each of its entries; that decides the
+  members of large groups with one pair an entry.  The others are joined with all
+  earlier lines of their entries.
+* Jaccard is computed on the whole sets.  Sets are fetched only for lines of pairs that
+  are left; a bitmap of constant size sieves lines before the shuffle.
+
+Words are told apart by 57 bits of XXH64.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from oreflow.llm.common import staged
 
-SHINGLE = 5
 #: The least Jaccard similarity, as a fraction.
 LEAST = (4, 5)
+#: Words that occur 2^FREQUENT times or more are indexed together with another word.
+FREQUENT = 9
+#: What lies between words, beside the blank.
+GAPS = "\t\x0b\x0c\r"
 
-_BUCKETS = 16  # bits
+_BUCKETS = 20  # bits
 _CODE_BITS = 57
 _SIEVE_WORDS = 15  # bits: so many 64-bit words
 
+#: A line: its row and its number in the text.
+_PLACE = ["doc_id", "at", "row"]
+
 
 def _mask(bits: int) -> Column:
     return F.lit((1 << bits) - 1)
 
 
+def row_hash() -> Column:
+    """What tells rows of one doc_id apart."""
+    return F.xxhash64("doc_id", "text")
+
+
 def _lines(documents: DataFrame) -> DataFrame:
     """Lines in lower case that have a word."""
+    text = F.translate(F.lower("text"), GAPS, " " * len(GAPS))
     # outer, or Catalyst would split each text twice: to see if there is anything, and again
-    lines = F.posexplode_outer(F.split(F.lower("text"), "\n")).alias("at", "line")
-    a, b = row_hashes()
+    lines = F.posexplode_outer(F.split(text, "\n")).alias("at", "line")
     # hashed once a text, below the lines
-    rows = documents.select("doc_id", "text", a.alias("row_a"), b.alias("row_b"))
-    return rows.select("doc_id", "row_a", "row_b", lines).where(F.trim("line") != "")
+    rows = documents.select("doc_id", "text", row_hash().alias("row"))
+    return rows.select("doc_id", "row", lines).where(F.trim("line") != "")
 
 
-def row_hashes() -> tuple[Column, Column]:
-    """What tells a row: two hashes of its doc_id and text."""
-    return F.xxhash64("doc_id", "text"), F.xxhash64(F.lit(1), "doc_id", "text")
+def _hashed(word: Column) -> Column:
+    return F.xxhash64(word).bitwiseAND(_mask(_CODE_BITS))
 
 
-def shingle_sets(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``shingles``: hashes of the distinct shingles of each."""
-    empty = F.xxhash64(F.lit(""))
-    hashed = F.transform(F.split("line", " "), lambda word: F.xxhash64(word))
-    words = F.col("words")
+def word_sets(line: str = "line") -> Column:
+    """The hashes of the distinct words of a line."""
+    hashed = F.transform(F.split(line, " "), _hashed)
+    return F.array_distinct(F.array_remove(hashed, _hashed(F.lit(""))))
 
-    def shingle(word: Column, at: Column) -> Column:
-        whole = F.xxhash64(word, *(F.get(words, at + k) for k in range(1, SHINGLE)))
-        return whole.bitwiseAND(_mask(_CODE_BITS))
 
-    number = F.greatest(F.size(words) - (SHINGLE - 1), F.lit(1))
-    shingles = F.array_distinct(F.slice(F.transform(words, shingle), 1, number))
-    return lines.withColumn("words", F.array_remove(hashed, empty)).withColumn("shingles", shingles).drop("words")
-
-
-def _table(rows: DataFrame, size: int) -> Column:
-    """A scalar array of ``size`` longs from rows (at, value); 0 where there is none."""
-    none = rows.sparkSession.range(size).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("value"))
-    full = rows.select(F.col("at").cast("long"), F.col("value").cast("long")).unionByName(none)
+def _table(rows: DataFrame, size: int, kind: str) -> Column:
+    """A scalar array of ``size`` values from rows (at, value); 0 where there is none."""
+    none = rows.sparkSession.range(size).select(F.col("id").alias("at"), F.lit(0).cast(kind).alias("value"))
+    full = rows.select(F.col("at").cast("long"), F.col("value").cast(kind)).unionByName(none)
     full = full.groupBy("at").agg(F.max("value").alias("value"))
     return full.agg(F.array_sort(F.collect_list(F.struct("at", "value")))["value"]).scalar()
 
 
-def rarity(sets: DataFrame) -> Column:
-    """For each bucket of shingles the power of two below its number of occurrences."""
-    bucket = F.col("shingle").bitwiseAND(_mask(_BUCKETS)).alias("at")
-    counted = sets.select(F.explode_outer("shingles").alias("shingle")).groupBy(bucket).count()
-    return _table(counted.select("at", F.floor(F.log2("count")).alias("value")), 1 << _BUCKETS)
+def rarity(lines: DataFrame) -> Column:
+    """For each bucket of words the power of two below its number of occurrences."""
+    words = lines.select(F.explode(F.split("line", " ")).alias("word")).where("word <> ''")
+    counted = words.groupBy(_hashed(F.col("word")).bitwiseAND(_mask(_BUCKETS)).alias("at")).count()
+    return _table(counted.select("at", F.floor(F.log2("count")).alias("value")), 1 << _BUCKETS, "tinyint")
 
 
-def _ordered(shingles: Column, classes: Column) -> Column:
-    """The shingles as sorted codes: class first, then hash."""
-    return F.sort_array(
-        F.transform(
-            shingles,
-            lambda s: F.shiftleft(
-                F.get(classes, s.bitwiseAND(_mask(_BUCKETS)).cast("int")), _CODE_BITS
-            ).bitwiseOR(s),
-        )
-    )
+def _ordered(words: Column, classes: Column) -> Column:
+    """The words as sorted codes: class first, then hash."""
+
+    def code(word: Column) -> Column:
+        found = F.get(classes, word.bitwiseAND(_mask(_BUCKETS)).cast("int")).cast("long")
+        return F.shiftleft(found, _CODE_BITS).bitwiseOR(word)
+
+    return F.sort_array(F.transform(words, code))
+
+
+def _parities(words: Column) -> Column:
+    """A bit for each of 64 classes of hashes: whether their number is odd."""
+    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(w, 40).bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(words, F.lit(0).cast("long"), lambda held, w: held.bitwiseXOR(bit(w)))
 
 
 def _ceil_div(a: Column, b: int) -> Column:
     return F.floor((a + (b - 1)) / b).cast("int")
 
 
-def sieve(places: DataFrame, hashed: Column) -> Column:
-    """A bitmap, of constant size, of the hashes of some rows."""
+def _entries(codes: Column, n: Column) -> Column:
+    """The index entries of a line: (place of the word, code)."""
+    num, den = LEAST
+    prefix = n - _ceil_div(n * num, den) + 1
+    none = F.array().cast("array<struct<k:int,code:bigint>>")
+
+    def entry(k: Column, code: Column) -> Column:
+        return F.struct(k.cast("int").alias("k"), code.alias("code"))
+
+    def entries(code: Column, k: Column) -> Column:
+        seen = F.shiftright(code, _CODE_BITS)
+        behind = F.slice(codes, k + 2, prefix - k)
+        both = F.transform(behind, lambda other: entry(k, F.xxhash64(code, other)))
+        alone = F.array(entry(k, code))
+        return F.when(seen < 1, none).when((seen < FREQUENT) | (n == 1), alone).otherwise(both)
+
+    return F.flatten(F.transform(F.slice(codes, 1, prefix), entries))
+
+
+def sieve(hashes: DataFrame) -> Column:
+    """A bitmap, of constant size, of some hashes, a column named hash."""
+    hashed = F.col("hash")
     word = F.shiftright(hashed, 6).bitwiseAND(_mask(_SIEVE_WORDS))
     place = hashed.bitwiseAND(F.lit(63)).cast("int")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
     # every bit of a word is a row of its own until they are united
-    rows = places.select(word.alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("value"))
-    none = places.sparkSession.range(1 << _SIEVE_WORDS)
+    rows = hashes.select(word.alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("value"))
+    none = hashes.sparkSession.range(1 << _SIEVE_WORDS)
     none = none.select(F.col("id").alias("at"), F.lit(0).cast("long").alias("value"))
     full = rows.unionByName(none).groupBy("at").agg(F.bit_or("value").alias("value"))
     return full.agg(F.array_sort(F.collect_list(F.struct("at", "value")))["value"]).scalar()
 
 
 def passes(bitmap: Column, hashed: Column) -> Column:
-    """False only for what is surely not among the rows of the sieve."""
+    """False only for what is surely not among the hashes of the sieve."""
     word = F.get(bitmap, F.shiftright(hashed, 6).bitwiseAND(_mask(_SIEVE_WORDS)).cast("int"))
     place = hashed.bitwiseAND(F.lit(63)).cast("int")
     return F.call_function("shiftright", word, place).bitwiseAND(F.lit(1)) == 1
 
 
-def _earlier(a: str, b: str) -> Column:
-    """Place a before place b; null doc_ids come first."""
-    order = ("doc", "at", "row_a", "row_b")
-    return F.struct(*(f"{a}_{c}" for c in order)) < F.struct(*(f"{b}_{c}" for c in order))
+def _place_hash() -> Column:
+    return F.xxhash64(*_PLACE)
+
+
+def _at_place(side: str, other: str = "") -> Column:
+    """The places of two sides are the same; rows without a doc_id have one too."""
+    first, *rest = _PLACE
+    same = F.col(f"{side}{first}").eqNullSafe(F.col(f"{other}{first}"))
+    for name in rest:
+        same &= F.col(f"{side}{name}") == F.col(f"{other}{name}")
+    return same
+
 
+def _renamed(df: DataFrame, side: str, kept: tuple[str, ...] = ()) -> DataFrame:
+    return df.select(*(F.col(c).alias(c if c in kept else f"{side}{c}") for c in df.columns))
 
-def _same_place(side: str) -> Column:
-    """The place of a side of a pair is that of the columns own_*."""
-    equal = [F.col(f"{side}_{c}") == F.col(f"own_{c}") for c in _PLACE]
-    return equal[0] & equal[1] & equal[2]
+
+def _earlier(x: str, y: str) -> Column:
+    """Place x before place y; null doc_ids come first."""
+    return F.struct(*(F.col(f"{x}{c}") for c in _PLACE)) < F.struct(*(F.col(f"{y}{c}") for c in _PLACE))
 
 
 def _may_match() -> Column:
-    """Length and positional filter of two lines that meet at places k of their orders."""
+    """Length, positional and bitmap filter of two lines that meet at places k of their orders.
+
+    y_open is the size of y, or 0 where no pair of y is wanted.
+    """
     num, den = LEAST
     n, m = F.col("x_n"), F.col("y_n")
-    lengths = (F.least(n, m) * den) >= (F.greatest(n, m) * num)
+    lengths = (F.least(n, F.col("y_open")) * den) >= (F.greatest(n, m) * num)
     needed = _ceil_div((n + m) * num, num + den)
     left = F.least(n - F.col("x_k"), m - F.col("y_k"))
-    return lengths & (left >= needed)
+    differ = F.bit_count(F.col("x_odd").bitwiseXOR(F.col("y_odd")))
+    return lengths & (left >= needed) & (differ <= n + m - 2 * needed)
 
 
 def similar(x: Column, y: Column) -> Column:
@@ -154,88 +199,68 @@ def similar(x: Column, y: Column) -> Column:
     return common * (num + den) >= (F.size(x) + F.size(y)) * num
 
 
-def _named(df: DataFrame, side: str) -> DataFrame:
-    return df.select(
-        "code", *(F.col(c).alias(f"{side}_{short}") for c, short in _POSTING.items())
-    )
-
-
-#: A line: its row and its number in the text.
-_PLACE = ["row_a", "row_b", "at"]
-_POSTING = {"doc_id": "doc", "at": "at", "row_a": "row_a", "row_b": "row_b", "n": "n", "k": "k"}
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The places, as y_*, of the later lines of the pairs that are similar."""
-    pairs = staged(pairs.select(*(f"{side}_{c}" for side in "xy" for c in _PLACE)).distinct(), "pairs")
-
-    def places(side: str) -> DataFrame:
-        return pairs.select(*(F.col(f"{side}_{c}").alias(c) for c in _PLACE))
-
-    ends = places("x").unionByName(places("y"))
-    sets = sets.where(passes(sieve(ends, _place_hash()), _place_hash()))
-
-    def fetch(rows: DataFrame, side: str) -> DataFrame:
-        own = sets.select(*(F.col(c).alias(f"own_{c}") for c in sets.columns))
-        joined = rows.join(own, _same_place(side)).withColumnRenamed("own_shingles", side)
-        return joined.drop(*(f"own_{c}" for c in _PLACE))
-
-    both = fetch(fetch(pairs, "x"), "y")
-    return both.where(similar(F.col("x"), F.col("y"))).select(*(f"y_{c}" for c in _PLACE)).distinct()
-
-
-def _place_hash() -> Column:
-    return F.xxhash64(*_PLACE)
+def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """The places of the later lines of the pairs that are similar."""
+    ends = [f"{side}{c}" for side in ("x_", "y_") for c in _PLACE]
+    pairs = staged(pairs.select(*ends).distinct(), "pairs")
+    hashes = [pairs.select(F.xxhash64(*(f"{side}{c}" for c in _PLACE)).alias("hash")) for side in ("x_", "y_")]
+    sieved = lines.where(passes(sieve(hashes[0].unionByName(hashes[1])), _place_hash()))
+    # equal rows have their lines in common: once each
+    own = sieved.groupBy(*_PLACE).agg(F.any_value("line").alias("line"))
+    own = staged(own.select(*_PLACE, word_sets().alias("words")), "sets")
+    both = pairs
+    for side in ("x_", "y_"):
+        found = _renamed(own, f"{side}own_")
+        both = both.join(found, _at_place(side, f"{side}own_")).drop(*(f"{side}own_{c}" for c in _PLACE))
+    both = both.where(similar(F.col("x_own_words"), F.col("y_own_words")))
+    return staged(both.select(*(F.col(f"y_{c}").alias(c) for c in _PLACE)).distinct(), "similar")
+
+
+def _collapsed(lines: DataFrame) -> DataFrame:
+    """The first of equal lines, how often it occurs, its size, parities and index entries."""
+    by_text = [F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b")]
+    line = F.struct(*_PLACE, "line")
+    first = lines.groupBy(*by_text).agg(F.min(line).alias("first"), F.count("*").alias("copies"))
+    first = first.select("a", "b", "copies", "first.*").withColumn("words", word_sets())
+    # each column used once, so that the table of classes goes into the expression, not the rows
+    first = first.withColumn("classes", rarity(lines))
+    first = first.withColumn("codes", _ordered(F.col("words"), F.col("classes")))
+    n = F.size("codes")
+    return staged(
+        first.select(
+            "a", "b", "copies", *_PLACE, n.alias("n"), _parities(F.col("words")).alias("odd"),
+            _entries(F.col("codes"), n).alias("entries"),
+        ),
+        "lines",
+    )
 
 
 def repeated_lines(documents: DataFrame) -> DataFrame:
-    """(row_a, row_b, at): the places of the lines that go."""
+    """(doc_id, at, row): the places of the lines that go."""
     lines = _lines(documents)
-    by_text = [F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b")]
-
-    classes = rarity(shingle_sets(lines))
-    num, den = LEAST
-    codes = _ordered(F.col("shingles"), F.col("classes")).alias("codes")
-    # each column used once, so that the table of classes goes into the expression, not the rows
-    coded = shingle_sets(lines).withColumn("classes", classes).select("doc_id", *_PLACE, "line", codes)
-    coded = coded.select("doc_id", *_PLACE, *by_text, F.size("codes").alias("n"), "codes")
-    prefix = F.slice("codes", 1, F.col("n") - _ceil_div(F.col("n") * num, den) + 1)
-    # equal lines are one: the first of them
-    line = F.struct("doc_id", "at", "row_a", "row_b", "n", prefix.alias("prefix"))
-    first = coded.groupBy("a", "b").agg(F.min(line).alias("first"))
-    postings = first.select("first.*").select(
-        "doc_id", *_PLACE, "n", F.posexplode("prefix").alias("k", "code")
-    )
-    entry = Window.partitionBy("code")
-    met = staged(postings.withColumn("size", F.count("*").over(entry)).where("size > 1"), "met")
-
-    bitmap = sieve(met, _place_hash())
-    sieved = lines.where(passes(bitmap, _place_hash()))
-    # equal rows have their lines in common: once each
-    sieved = sieved.groupBy(*_PLACE).agg(F.any_value("line").alias("line"))
-    sets = sieved.join(met.select(*_PLACE).distinct(), _PLACE, "left_semi")
-    sets = staged(shingle_sets(sets).select(*_PLACE, "shingles"), "sets")
+    first = _collapsed(lines)
+    columns = [*_PLACE, "n", "odd"]
 
     # against the first line of each entry
-    leads = met.groupBy("code").agg(F.min(F.struct("doc_id", "at", "row_a", "row_b", "n", "k")).alias("lead"))
-    leads = _named(leads.select("code", "lead.*"), "x")
-    pairs = leads.join(_named(met, "y"), "code").where(_earlier("x", "y") & _may_match())
-    decided = staged(_verified(pairs, sets), "decided")
-
-    # the rest against all earlier lines of their entries but the first
-    known = decided.select(*(F.col(f"y_{c}").alias(c) for c in _PLACE))
-    rest = _named(met.join(known, _PLACE, "left_anti"), "y")
-    near = _named(met, "x").join(rest, "code").where(_earlier("x", "y") & _may_match())
-    more = _verified(near, sets)
-    similar_ = known.unionByName(more.select(*(F.col(f"y_{c}").alias(c) for c in _PLACE)))
-
-    light = staged(lines.select("doc_id", *_PLACE, *by_text), "lines")
-    earliest = F.min(F.struct("doc_id", "at", "row_a", "row_b")).alias("first")
-    copies = light.groupBy("a", "b").agg(earliest, F.count("*").alias("n"))
-    copies = copies.where("n > 1").select(F.col("a").alias("of_a"), F.col("b").alias("of_b"), "first")
-    equal = light.join(copies, (F.col("a") == F.col("of_a")) & (F.col("b") == F.col("of_b")))
-    itself = F.struct(*_PLACE) == F.struct(*(F.col(f"first.{c}") for c in _PLACE))
-    return similar_.unionByName(equal.where(~itself).select(*_PLACE))
+    postings = first.select(*columns, F.inline("entries"))
+    entry = Window.partitionBy("code").orderBy(*_PLACE)
+    lead = F.first(F.struct(*columns, "k")).over(entry).alias("lead")
+    met = postings.select(*(F.col(c).alias(f"y_{c}") for c in [*columns, "k"]), F.col("n").alias("y_open"), lead)
+    met = met.select("*", *(F.col(f"lead.{c}").alias(f"x_{c}") for c in [*columns, "k"])).drop("lead")
+    decided = _verified(met.where(_earlier("x_", "y_") & _may_match()), lines)
+
+    # the rest against all earlier lines of their entries; one exchange serves both sides
+    known = _renamed(decided, "known_")
+    marked = first.join(known, _at_place("", "known_"), "left")
+    undecided = F.when(F.col("known_row").isNull(), F.col("n")).otherwise(0)
+    rest = marked.select(*columns, undecided.alias("open"), F.inline("entries"))
+    near = _renamed(rest, "x_", ("code",)).join(_renamed(rest, "y_", ("code",)), "code")
+    more = _verified(near.where(_earlier("x_", "y_") & _may_match()), lines)
+
+    copies = first.where("copies > 1").select("a", "b", *(F.col(c).alias(f"first_{c}") for c in _PLACE))
+    light = lines.select(*_PLACE, F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"))
+    equal = light.join(copies, ["a", "b"]).where(~_at_place("", "first_")).select(*_PLACE)
+    return decided.unionByName(more).unionByName(equal)
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
@@ -246,17 +271,17 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     both doc_id and text count as one place and lose the same lines; rows that share
     a doc_id, or have none, with other texts lose only their own.  Null doc_ids come
     before all others; of lines at one place of one doc_id that of the lesser hash of
-    the row comes first.
+    the row comes first.  Lines of one word set, in any order or number, are similar.
     """
     documents = documents.drop("n_lines", "n_removed")
     gone = staged(repeated_lines(documents.select("doc_id", "text")).distinct(), "gone")
-    by_row = gone.groupBy("row_a", "row_b").agg(F.collect_list("at").alias("gone_at"))
-    by_row = by_row.toDF("gone_a", "gone_b", "gone_at")
-    a, b = row_hashes()
-    touched = passes(sieve(gone, F.col("row_a")), a)
+    by_row = gone.groupBy("doc_id", "row").agg(F.collect_list("at").alias("gone_at"))
+    by_row = by_row.toDF("gone_id", "gone_row", "gone_at")
+    row = row_hash()
+    touched = passes(sieve(gone.select(F.col("row").alias("hash"))), row)
     none = F.array().cast("array<int>")
-    own = (a == F.col("gone_a")) & (b == F.col("gone_b"))
-    joined = documents.where(touched).join(by_row, own, "left").drop("gone_a", "gone_b")
+    own = (row == F.col("gone_row")) & F.col("doc_id").eqNullSafe(F.col("gone_id"))
+    joined = documents.where(touched).join(by_row, own, "left").drop("gone_id", "gone_row")
     joined = joined.withColumn("gone_at", F.coalesce("gone_at", none))
     split = F.split("text", "\n")
     kept = F.filter(split, lambda line, at: ~F.array_contains(F.col("gone_at"), at))

@@ -102,21 +102,17 @@ WITH lines AS (
          generate_subscripts(string_split(text, chr(10)), 1) AS place
   FROM documents WHERE text IS NOT NULL
 ), worded AS (
-  SELECT doc_id, place, line, list_filter(string_split(lower(line), ' '), lambda w: w <> '') AS words
+  SELECT doc_id, place,
+         list_distinct(list_filter(
+           string_split(translate(lower(line), chr(9) || chr(11) || chr(12) || chr(13), '    '), ' '),
+           lambda w: w <> '')) AS words
   FROM lines
-), sets AS (
-  SELECT doc_id, place, line,
-         CASE WHEN len(words) = 0 THEN []
-              ELSE list_distinct(list_transform(range(1, greatest(len(words) - 4, 1) + 1),
-                                                lambda i: array_to_string(words[i:i + 4], ' ')))
-         END AS shingles
-  FROM worded
 ), spread AS (
-  SELECT doc_id, place, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+  SELECT doc_id, place, len(words) AS n, unnest(words) AS word FROM worded
 ), gone AS (
   SELECT DISTINCT doc_id, place FROM (
     SELECT y.doc_id, y.place
-    FROM spread x JOIN spread y ON x.shingle = y.shingle
+    FROM spread x JOIN spread y ON x.word = y.word
      AND (x.doc_id < y.doc_id OR (x.doc_id = y.doc_id AND x.place < y.place))
     GROUP BY x.doc_id, x.place, y.doc_id, y.place
     HAVING 9 * count(*) >= 4 * (any_value(x.n) + any_value(y.n)))

@@ -246,15 +246,14 @@ def test_toxicity_does_not_grow_with_length(spark):
 
 
 def brute_lines(texts):
-    def shingles(line):
-        words = [w for w in line.lower().split(" ") if w]
-        return frozenset(" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+    def words(line):
+        return frozenset(line.lower().replace("\r", " ").split())
 
     seen, out = [], []
     for text in texts:
         kept = []
         for line in text.split("\n") if text is not None else []:
-            own = shingles(line)
+            own = words(line)
             if not (own and any(5 * len(own & s) >= 4 * len(own | s) for s in seen)):
                 kept.append(line)
             if own:
@@ -309,6 +308,31 @@ def test_lines_of_repeated_and_null_ids_with_different_texts(spark):
     assert [n for *_, n in kept((None, words[0]), (None, f"{words[0]}\nown"))] in ([0, 1], [1, 0])
 
 
+def test_one_changed_word_of_forty(spark):
+    words = [f"w{i}" for i in range(40)]
+    changed = [" ".join([*words[:k], "other", *words[k + 1 :]]) for k in (0, 7, 20, 39)]
+    texts = [" ".join(words), *changed, "\t".join(words) + "\r", " ".join(words[9:]), " ".join(words[:32])]
+    found = {r.doc_id: r for r in linededup.dedup_lines(documents(spark, texts)).collect()}
+    assert [found[i].n_removed for i in range(8)] == [0, 1, 1, 1, 1, 1, 0, 1]
+
+
+def test_frequent_words_and_long_lines(spark, monkeypatch):
+    rng = random.Random(31)
+    texts = []
+    for _ in range(150):
+        size = rng.choice([1, 2, 3, 4, 5, 9, 20, 45])
+        texts.append(" ".join(rng.choices([f"w{i}" for i in range(12 if size < 9 else 60)], k=size)))
+        if rng.random() < 0.5:
+            words = rng.choice(texts).split()
+            words[rng.randrange(len(words))] = "changed"
+            texts.append(" ".join(words))
+    long = [f"l{i}" for i in range(20_000)]
+    texts += [" ".join(long), " ".join(long[:-4_000]), " ".join(long[:-4_001])]
+    monkeypatch.setattr(linededup, "FREQUENT", 2)  # so that nearly all entries are of two words
+    found = {r.doc_id: r.text for r in linededup.dedup_lines(documents(spark, texts)).collect()}
+    assert [found[i] for i in range(len(texts))] == brute_lines(texts)
+
+
 def test_lines_run_no_python(spark):
     plan = linededup.dedup_lines(documents(spark, ["a b", "a b"]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
