@@ -22,9 +22,9 @@ Method, in DataFrame operations only:
   place where two lines meet, must allow the similarity.
 * Bitmap filter: 64 parities of word hashes; two sets differ in at least as many words
   as their parities do.
-* A line is tested against the first line of each of its entries; that decides the
-  members of large groups with one pair an entry.  The others are joined with all
-  earlier lines of their entries.
+* Lines of a small entry are joined with each other.  In a large one each line is tested
+  against the first; that decides the members of large groups with one pair an entry.
+  Those that are left are joined with all earlier lines of their large entries.
 * Jaccard is computed on the whole sets.  Sets are fetched only for lines of pairs that
   are left; a bitmap of constant size sieves lines before the shuffle.
 
@@ -42,12 +42,15 @@ from oreflow.llm.common import staged
 LEAST = (4, 5)
 #: Words that occur 2^FREQUENT times or more are indexed together with another word.
 FREQUENT = 9
+#: Lines of an entry that are joined with each other at once.
+SMALL = 256
 #: What lies between words, beside the blank.
 GAPS = "\t\x0b\x0c\r"
 
 _BUCKETS = 20  # bits
 _CODE_BITS = 57
 _SIEVE_WORDS = 15  # bits: so many 64-bit words
+_K_BITS = 7  # of an index entry; a greater place counts as the greatest, which only filters less
 
 #: A line: its row and its number in the text.
 _PLACE = ["doc_id", "at", "row"]
@@ -78,8 +81,7 @@ def _hashed(word: Column) -> Column:
 
 def word_sets(line: str = "line") -> Column:
     """The hashes of the distinct words of a line."""
-    hashed = F.transform(F.split(line, " "), _hashed)
-    return F.array_distinct(F.array_remove(hashed, _hashed(F.lit(""))))
+    return F.array_distinct(F.transform(F.array_remove(F.split(line, " "), ""), _hashed))
 
 
 def _table(rows: DataFrame, size: int, kind: str) -> Column:
@@ -97,20 +99,24 @@ def rarity(lines: DataFrame) -> Column:
     return _table(counted.select("at", F.floor(F.log2("count")).alias("value")), 1 << _BUCKETS, "tinyint")
 
 
-def _ordered(words: Column, classes: Column) -> Column:
-    """The words as sorted codes: class first, then hash."""
+def _ordered(classes: Column, line: str = "line") -> Column:
+    """The distinct words of a line as sorted codes: class first, then hash."""
 
     def code(word: Column) -> Column:
-        found = F.get(classes, word.bitwiseAND(_mask(_BUCKETS)).cast("int")).cast("long")
-        return F.shiftleft(found, _CODE_BITS).bitwiseOR(word)
+        found = F.get(classes, F.xxhash64(word).bitwiseAND(_mask(_BUCKETS)).cast("int")).cast("long")
+        return F.shiftleft(found, _CODE_BITS).bitwiseOR(_hashed(word))
 
-    return F.sort_array(F.transform(words, code))
+    return F.sort_array(F.array_distinct(F.transform(F.array_remove(F.split(line, " "), ""), code)))
 
 
-def _parities(words: Column) -> Column:
+def _parities(codes: Column) -> Column:
     """A bit for each of 64 classes of hashes: whether their number is odd."""
-    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(w, 40).bitwiseAND(F.lit(63)).cast("int"))
-    return F.aggregate(words, F.lit(0).cast("long"), lambda held, w: held.bitwiseXOR(bit(w)))
+
+    def flipped(held: Column, code: Column) -> Column:
+        # a shift goes by the lowest six bits
+        return held.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.hash(code)))
+
+    return F.aggregate(codes, F.lit(0).cast("long"), flipped)
 
 
 def _ceil_div(a: Column, b: int) -> Column:
@@ -118,13 +124,14 @@ def _ceil_div(a: Column, b: int) -> Column:
 
 
 def _entries(codes: Column, n: Column) -> Column:
-    """The index entries of a line: (place of the word, code)."""
+    """The index entries of a line: a hash, and in the last bits the place of its first word."""
     num, den = LEAST
     prefix = n - _ceil_div(n * num, den) + 1
-    none = F.array().cast("array<struct<k:int,code:bigint>>")
+    none = F.array().cast("array<bigint>")
+    last = (1 << _K_BITS) - 1
 
     def entry(k: Column, code: Column) -> Column:
-        return F.struct(k.cast("int").alias("k"), code.alias("code"))
+        return F.shiftleft(code, _K_BITS).bitwiseOR(F.least(k, F.lit(last)).cast("long"))
 
     def entries(code: Column, k: Column) -> Column:
         seen = F.shiftright(code, _CODE_BITS)
@@ -136,6 +143,14 @@ def _entries(codes: Column, n: Column) -> Column:
     return F.flatten(F.transform(F.slice(codes, 1, prefix), entries))
 
 
+def _posted(lines: DataFrame) -> DataFrame:
+    """A row an index entry: code, k and the other columns."""
+    others = [c for c in lines.columns if c != "entries"]
+    rows = lines.select(*others, F.explode("entries").alias("entry"))
+    code, k = F.shiftright("entry", _K_BITS), F.col("entry").bitwiseAND(_mask(_K_BITS)).cast("int")
+    return rows.select(*others, code.alias("code"), k.alias("k"))
+
+
 def sieve(hashes: DataFrame) -> Column:
     """A bitmap, of constant size, of some hashes, a column named hash."""
     hashed = F.col("hash")
@@ -219,20 +234,15 @@ def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
 def _collapsed(lines: DataFrame) -> DataFrame:
     """The first of equal lines, how often it occurs, its size, parities and index entries."""
     by_text = [F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b")]
-    line = F.struct(*_PLACE, "line")
-    first = lines.groupBy(*by_text).agg(F.min(line).alias("first"), F.count("*").alias("copies"))
-    first = first.select("a", "b", "copies", "first.*").withColumn("words", word_sets())
     # each column used once, so that the table of classes goes into the expression, not the rows
-    first = first.withColumn("classes", rarity(lines))
-    first = first.withColumn("codes", _ordered(F.col("words"), F.col("classes")))
+    coded = lines.withColumn("classes", rarity(lines))
+    coded = coded.select(*_PLACE, *by_text, _ordered(F.col("classes")).alias("codes"))
     n = F.size("codes")
-    return staged(
-        first.select(
-            "a", "b", "copies", *_PLACE, n.alias("n"), _parities(F.col("words")).alias("odd"),
-            _entries(F.col("codes"), n).alias("entries"),
-        ),
-        "lines",
-    )
+    made = [n.alias("n"), _parities(F.col("codes")).alias("odd"), _entries(F.col("codes"), n).alias("entries")]
+    coded = coded.select("a", "b", *_PLACE, *made)
+    line = F.struct(*_PLACE, "n", "odd", "entries")
+    first = coded.groupBy("a", "b").agg(F.min(line).alias("first"), F.count("*").alias("copies"))
+    return staged(first.select("a", "b", "copies", "first.*"), "lines")
 
 
 def repeated_lines(documents: DataFrame) -> DataFrame:
@@ -241,19 +251,28 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     first = _collapsed(lines)
     columns = [*_PLACE, "n", "odd"]
 
-    # against the first line of each entry
-    postings = first.select(*columns, F.inline("entries"))
-    entry = Window.partitionBy("code").orderBy(*_PLACE)
-    lead = F.first(F.struct(*columns, "k")).over(entry).alias("lead")
-    met = postings.select(*(F.col(c).alias(f"y_{c}") for c in [*columns, "k"]), F.col("n").alias("y_open"), lead)
-    met = met.select("*", *(F.col(f"lead.{c}").alias(f"x_{c}") for c in [*columns, "k"])).drop("lead")
-    decided = _verified(met.where(_earlier("x_", "y_") & _may_match()), lines)
+    # small entries whole, large ones against their first line; one exchange serves both sides
+    entry = Window.partitionBy("code")
+    place = F.struct(*_PLACE)
+    postings = _posted(first.select(*columns, "entries"))
+    postings = postings.withColumns({"size": F.count("*").over(entry), "lead": F.min(place).over(entry)})
+    postings = postings.withColumn("leads", place == F.col("lead")).drop("lead")
+    x = _renamed(postings.where((F.col("size") <= SMALL) | F.col("leads")), "x_", ("code",))
+    y = _renamed(postings.where("size > 1"), "y_", ("code",)).withColumn("y_open", F.col("y_n"))
+    large = (F.col("y_size") > SMALL) & F.col("x_leads") & F.col("y_leads")
+    met = x.join(y, "code").where(large | (_earlier("x_", "y_") & _may_match()))
+    ends = [f"{side}{c}" for side in ("x_", "y_") for c in _PLACE]
+    met = staged(met.select(F.when(large, F.col("code")).alias("large"), *ends), "met")
+    decided = _verified(met.where("large is null"), lines)
 
-    # the rest against all earlier lines of their entries; one exchange serves both sides
+    # the rest of large entries
+    codes = met.where("large is not null").select(F.col("large").alias("code"))
     known = _renamed(decided, "known_")
     marked = first.join(known, _at_place("", "known_"), "left")
     undecided = F.when(F.col("known_row").isNull(), F.col("n")).otherwise(0)
-    rest = marked.select(*columns, undecided.alias("open"), F.inline("entries"))
+    rest = _posted(marked.select(*columns, undecided.alias("open"), "entries"))
+    in_large = passes(sieve(codes.select(F.xxhash64("code").alias("hash"))), F.xxhash64("code"))
+    rest = rest.where(in_large).join(codes.distinct(), "code", "left_semi")
     near = _renamed(rest, "x_", ("code",)).join(_renamed(rest, "y_", ("code",)), "code")
     more = _verified(near.where(_earlier("x_", "y_") & _may_match()), lines)
 

@@ -329,6 +329,7 @@ def test_frequent_words_and_long_lines(spark, monkeypatch):
     long = [f"l{i}" for i in range(20_000)]
     texts += [" ".join(long), " ".join(long[:-4_000]), " ".join(long[:-4_001])]
     monkeypatch.setattr(linededup, "FREQUENT", 2)  # so that nearly all entries are of two words
+    monkeypatch.setattr(linededup, "SMALL", 3)  # and many are large
     found = {r.doc_id: r.text for r in linededup.dedup_lines(documents(spark, texts)).collect()}
     assert [found[i] for i in range(len(texts))] == brute_lines(texts)
 
