@@ -125,6 +125,20 @@ class Transducer:
         self._ends: dict[int, tuple[int, ...]] = {}
         self._number(b"", b"", [0], [])
 
+    def _thin(self) -> None:
+        """Forget the later half of the states: those met first are met most often."""
+        most = len(self._states) // 2
+        if len(self._outs) > TRANSITIONS:
+            self._forget()
+            return
+        for key, _, _ in self._states[most:]:
+            del self._numbers[key]
+        del self._states[most:]
+        self._moves = {k: m for k, m in self._moves.items() if k >> 8 < most and m & 0xFFFFFFFF < most}
+        self._ends = {state: ids for state, ids in self._ends.items() if state < most}
+        if len(self._moves) > TRANSITIONS * 3 // 4:
+            self._forget()
+
     def _number(self, last: bytes, behind: bytes, begins: list[int], live: list[int]) -> int:
         key = bytes((len(last),)) + last + behind
         number = self._numbers.get(key)
@@ -186,7 +200,7 @@ class Transducer:
         if rank is not None:
             return [rank]
         if len(self._moves) > TRANSITIONS:
-            self._forget()
+            self._thin()
         out: list[int] = []
         state, find, outs = 0, self._moves.get, self._outs
         for byte in word:
@@ -332,12 +346,12 @@ class Codec:
         self._uses = np.zeros(0, np.int64)
 
     def _thin(self) -> None:
-        """Forget the words that came once; all of them, if that frees little."""
-        kept = np.flatnonzero(self._uses > 1)
-        if len(kept) > KNOWN_WORDS // 2 or self._chars > 2 * KNOWN_CHARS:
-            self._forget()
-            return
+        """Keep the words that came most often, half of what fits at most."""
         names = list(self._words)
+        lengths = np.fromiter(map(len, names), np.int64, len(names))
+        order = np.argsort(-self._uses, kind="stable")
+        order = order[self._uses[order] > 1][: KNOWN_WORDS // 2]
+        kept = np.sort(order[np.cumsum(lengths[order]) <= KNOWN_CHARS // 2])
         names = [names[i] for i in kept.tolist()]
         self._words = _Words()
         self._words.update(zip(names, range(len(names)), strict=True))
@@ -347,7 +361,8 @@ class Codec:
         where = np.arange(total) + np.repeat(self._starts - ends + self._sizes, self._sizes)
         self._flat, self._starts = self._flat[where], ends - self._sizes
         self._decimals = [self._decimals[i] for i in kept.tolist()]
-        self._uses = np.zeros(len(names), np.int64)
+        # what was frequent long ago counts less and less
+        self._uses = self._uses[kept] // 2
         self._chars = sum(map(len, names))
 
     def _learn(self) -> None:
