@@ -11,6 +11,7 @@ counted first; the vectors come in as one product of counts with n-gram vectors.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +27,10 @@ SEED = 7
 UNKNOWN = "und"
 #: Sharpness of the score: a softmax over cosines.
 SHARPNESS = 12.0
-#: A label column with more values is no language column.
+#: So many lang values are learned, those with the most texts (ties: the lesser name).
 MOST_LANGUAGES = 5000
+#: Distinct n-grams whose vectors are held at once.
+BLOCK = 8192
 #: Characters that are counted at once.
 PORTION = 1 << 18
 #: Rows whose bucket (crc32 of doc_id as text, modulo) is this are never learned from.
@@ -107,12 +110,26 @@ class Space:
         for place in range(1, self.gram):
             key = key * len(self._row) + rows[:, place]
         _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-        vectors = self._letters[rows[first, 0], 0]
-        for place in range(1, self.gram):
-            vectors = vectors * self._letters[rows[first, place], place]
-        cells = np.bincount(owner * len(first) + inverse, minlength=len(groups) * len(first))
-        counts = cells.reshape(len(groups), len(first)).astype(np.float32)
-        out[groups] += counts @ vectors.astype(np.float32)
+        if len(first) > BLOCK:
+            by_gram = np.argsort(inverse, kind="stable")
+            inverse, owner = inverse[by_gram], owner[by_gram]
+        for low in range(0, len(first), BLOCK):
+            block = first[low : low + BLOCK]
+            at, until = (0, len(inverse)) if len(first) <= BLOCK else np.searchsorted(inverse, [low, low + BLOCK])
+            vectors = self._letters[rows[block, 0], 0]
+            for place in range(1, self.gram):
+                vectors = vectors * self._letters[rows[block, place], place]
+            vectors = vectors.astype(np.float32)
+            # the groups that have such n-grams, some at a time
+            for some in range(0, len(groups), BLOCK // 8):
+                own, cell = owner[at:until], inverse[at:until] - low
+                if len(groups) > BLOCK // 8:
+                    inside = (own >= some) & (own < some + BLOCK // 8)
+                    own, cell = own[inside], cell[inside]
+                number = min(BLOCK // 8, len(groups) - some)
+                cells = np.bincount((own - some) * len(block) + cell, minlength=number * len(block))
+                counts = cells.reshape(number, len(block)).astype(np.float32)
+                out[groups[some : some + number]] += counts @ vectors
 
 
 _SPACES: dict[tuple[int, int, int], Space] = {}
@@ -130,16 +147,19 @@ def prototypes(
 ) -> dict[str, np.ndarray]:
     """The sum of all texts of each lang; rows with null lang or text teach nothing.
 
-    Each task adds up its own texts; the driver gets one vector a language.
+    Each task adds up its own texts; the driver gets one vector a language, of the
+    MOST_LANGUAGES with the most texts: a lang column of more values teaches those.
     """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = space(dimensions, gram, seed)
         total: dict[str, np.ndarray] = {}
+        texts_of: Counter[str] = Counter()
 
         def rows() -> pa.RecordBatch:
             vectors = pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))
-            return pa.RecordBatch.from_arrays([pa.array(list(total)), vectors], names=["lang", "vector"])
+            n = pa.array([texts_of[lang] for lang in total], pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(list(total)), n, vectors], names=["lang", "n", "vector"])
 
         for batch in batches:
             langs = batch.column("lang").to_pylist()
@@ -149,22 +169,23 @@ def prototypes(
             groups = ((number[l], own.letters(t)) for l, t in zip(langs, texts, strict=True))
             for name, vector in zip(names, own.sums(groups, len(names)), strict=True):
                 total[name] = total.get(name, 0) + vector
+            texts_of.update(langs)
             if len(total) > 1000:
                 yield rows()
                 total.clear()
+                texts_of.clear()
         if total:
             yield rows()
 
     parts = labelled.select("lang", "text").where("lang is not null and text is not null")
-    parts = parts.mapInArrow(add, "lang string, vector array<double>")
-    summed = parts.select("lang", F.posexplode("vector").alias("at", "x"))
-    summed = summed.groupBy("lang", "at").agg(F.sum("x").alias("x"))
+    parts = parts.mapInArrow(add, "lang string, n long, vector array<double>")
+    summed = parts.select("lang", "n", F.posexplode("vector").alias("at", "x"))
+    summed = summed.groupBy("lang", "at").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
     whole = summed.groupBy("lang").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda s: s["x"]).alias("v")
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda s: s["x"]).alias("v"),
+        F.max("n").alias("n"),
     )
-    found = whole.limit(MOST_LANGUAGES + 1).collect()
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    found = whole.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
     return {row["lang"]: np.array(row["v"]) for row in sorted(found, key=lambda r: r["lang"])}
 
 
