@@ -7,9 +7,10 @@ Vectors with one label are dealt to shards of bounded size; a task builds a shar
 graph and writes it to the shared scratch.  Then each pair of shards of a label is a
 task: every vector of either is searched in the other's graph.  A search goes down
 the layers, keeps a beam on the lowest, and floods on from what it found within the
-threshold.  Some searches are audited against a full scan; as long as their recall
-is short of the target the beam is doubled, in the end up to a full scan.  Cosines of
-what was found are taken again in double precision.
+threshold.  Some searches are audited against a full scan: for their true nearest
+neighbours, however far these are, and for all within the threshold.  As long as the
+recall of either is short of the target the beam is doubled, in the end up to a full
+scan.  Cosines of what was found are taken again in double precision.
 
 A task returns, for each vector, how many it is linked with and the least vector
 it hangs together with; lists of links never leave the task.
@@ -38,6 +39,8 @@ DEGREE = 12  # links of a node above the lowest layer; there twice as many
 BUILD_BEAM = 32
 FIRST_BEAM = 24
 AUDITED = 48
+NEAREST = 4  # true neighbours of an audited query that its beam has to find
+MOST_TASKS = 100_000  # tasks of one search; each takes as many pairs of shards as there are then
 RECALL = 0.99
 BATCH = 256
 SEED = 11
@@ -172,6 +175,10 @@ class Graph:
         ids[~np.isfinite(sims)] = -1
         return ids, sims
 
+    def nearest(self, queries: np.ndarray, width: int) -> np.ndarray:
+        """Similarities of the ``width`` best nodes that a beam finds for each query."""
+        return self._beam(queries, self._descend(queries, len(self.layers) - 1), self.layers[-1][1], width)[1]
+
     def within(self, queries: np.ndarray, least: float, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, node) at a similarity of at least ``least``, as far as found."""
         lowest = self.layers[-1][1]
@@ -210,16 +217,26 @@ def _scan(units: np.ndarray, queries: np.ndarray, least: float) -> tuple[np.ndar
 
 
 def audited(graph: Graph, queries: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """``within``, with the beam widened until the recall of audited queries is enough."""
+    """``within``, with the beam widened until the recall of audited queries is enough.
+
+    Links are rare, between most shards there is none in a sample; the nearest nodes
+    always exist, so their recall tells whether a link would have been found.
+    """
     number = len(graph.units)
     sample = np.unique(np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int))
     truth = np.unique(np.stack(_scan(graph.units, queries[sample], least), 1), axis=0)
+    most = min(NEAREST, number)
+    # the similarity that the nearest reach; equal ones serve as well
+    reached = np.sort(queries[sample] @ graph.units.T, axis=1)[:, number - most :][:, :1] - _SLACK
     width = FIRST_BEAM
-    while width < number:
-        own = set(zip(*(x.tolist() for x in graph.within(queries[sample], least, width)), strict=True))
-        hits = sum(pair in own for pair in map(tuple, truth.tolist()))
-        if hits >= RECALL * len(truth):
-            return graph.within(queries, least, width)
+    # a wider beam would look at as many nodes as the scan does
+    while width < number and (width == FIRST_BEAM or 2 * DEGREE * width < number):
+        near = (graph.nearest(queries[sample], width) >= reached).sum(1)
+        if np.minimum(near, most).sum() >= RECALL * most * len(sample):
+            own = set(zip(*(x.tolist() for x in graph.within(queries[sample], least, width)), strict=True))
+            hits = sum(pair in own for pair in map(tuple, truth.tolist()))
+            if hits >= RECALL * len(truth):
+                return graph.within(queries, least, width)
         width *= 2
     return _scan(graph.units, queries, least)
 
@@ -334,10 +351,12 @@ def near_duplicates(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataF
     pairs = left.join(right, ["label", "size"]).where("i <= j").select("left", "right")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, one = None, None
         for batch in batches:
             for pair in batch.to_pylist():
                 same = pair["left"] == pair["right"]
-                one = _load(f"{folder}/{pair['left']}")
+                if held != pair["left"]:
+                    held, one = pair["left"], _load(f"{folder}/{pair['left']}")
                 two = one if same else _load(f"{folder}/{pair['right']}")
                 a, b = _links(one, two, same, least)
                 shift = 0 if same else len(one[2])
@@ -355,7 +374,9 @@ def near_duplicates(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataF
                     names=["id", "n", "root"],
                 )
 
-    tasks = pairs.repartition(max(1, pairs.count()))
+    # pairs of one left graph lie together, so a task reads it once
+    number = min(max(1, pairs.count()), MOST_TASKS)
+    tasks = pairs.repartitionByRange(number, "left", "right").sortWithinPartitions("left", "right")
     found = staged(tasks.mapInArrow(search, "id long, n long, root long"), "found")
     degrees = found.groupBy(F.col("id").alias("of_id")).agg(F.sum("n").alias("n"))
     joined = components(found.select(F.col("id").alias("u"), F.col("root").alias("v")))

@@ -64,6 +64,18 @@ def test_filters_keep_clean_documents_as_they_are(stages):
     assert all(clean[i] == before[i] for i in clean)
 
 
+def test_short_clean_documents_of_many_languages_stay(spark):
+    rng = random.Random(5)
+    alphabets = ["".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 12)) for _ in range(40)]
+    rows = [
+        (i, " ".join("".join(rng.choices(alphabets[i % 40], k=5)) for _ in range(30)), f"l{i % 40}") for i in range(400)
+    ]
+    rows += [(1000 + i, word, None) for i, word in enumerate(["Avec.", "a", "Hm!", "ok ok", "字"])] + [(2000, "12", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, "").collect()}
+    assert kept == {i for i, _, _ in rows} - {2000}
+
+
 def test_lines_and_groups_by_brute_force(stages):
     before, after, kept = (by_id(df) for df in stages[2:5])
     ids = sorted(before)

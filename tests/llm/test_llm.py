@@ -129,6 +129,38 @@ def test_language_by_profiles(spark):
     assert langid.identify(table.limit(0)).count() == 0
 
 
+def test_many_distinct_grams_are_worked_on_in_blocks(monkeypatch):
+    import tracemalloc
+
+    rng = random.Random(4)
+    texts = ["".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(512)) for _ in range(512)]
+    own = langid.Space()
+    whole = [(at, own.letters(t)) for at, t in enumerate(texts)]
+    own.sums(whole[:1], 1)
+    tracemalloc.start()
+    found = own.sums(whole, 512)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20
+    for at in (0, 100, 511):
+        assert (found[at] == own.sums([(0, whole[at][1])], 1)[0]).all()
+    monkeypatch.setattr(langid, "BLOCK", 16)
+    assert (own.sums(whole[:50], 50) == found[:50]).all()
+    long_text = own.letters("".join(texts) * 2)  # beyond a portion
+    monkeypatch.setattr(langid, "PORTION", 1 << 12)
+    by_part = own.sums([(0, long_text)], 1)
+    monkeypatch.setattr(langid, "PORTION", 1 << 20)
+    assert (own.sums([(0, long_text)], 1) == by_part).all()
+
+
+def test_the_most_frequent_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 2)
+    rows = [("aaa", "x"), ("aba", "x"), ("ccc", "z"), ("bbb", "y"), ("", "w"), ("ddd", None)]
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    assert sorted(langid.prototypes(labelled)) == ["w", "x"]  # of equal numbers the lesser name
+    assert langid.prototypes(labelled.limit(0)) == {}
+
+
 def test_sums_are_those_of_the_definition():
     space = langid.Space(64)
     text = "Ab, cab é"
@@ -226,6 +258,44 @@ def test_toxicity_finds_the_sentences(spark):
     assert {r.predicted for r in none} == {0}
 
 
+def test_scores_are_the_noisy_or_of_sentences(spark):
+    import math
+    import re
+
+    rng = random.Random(12)
+    bias, weights = -6.0, {"bad": 5.0, "^bad": 2.5, "^badly$": 1.0, "good": -3.0, "rott": 7.5}
+    words = ["bad", "badly", "good", "goody", "rotten", "plain", "Word", "abadx", "Rott"]
+    texts = [
+        "".join(rng.choice(words) + rng.choice([" ", " ", ". ", "! ", "?\n", "\n"]) for _ in range(rng.randint(0, 25)))
+        for _ in range(200)
+    ]
+    texts += [t or "" for t in ODD]
+
+    def weight(word):
+        marked = f"^{word}$"
+        grams = {marked[i : i + 4] for i in range(len(marked) - 3)}
+        return sum(weights.get(f, 0.0) for f in grams | {marked})
+
+    def brute(text):
+        """1 less the chance that no sentence is toxic; a sentence at or below the bias adds nothing, the bias once."""
+        none = 1.0
+        for sentence in re.findall(toxicity._SENTENCE, text):
+            found = set(re.findall(toxicity._WORD, sentence.lower()))
+            if found:
+                least = 1 - 1 / (1 + math.exp(-bias))
+                none = min(none, least)
+                z = bias + sum(map(weight, found))
+                if z > bias:
+                    none *= (1 - 1 / (1 + math.exp(-z))) / least
+        return 1 - none
+
+    rows = {r.doc_id: r for r in toxicity.score(documents(spark, texts), (bias, weights)).collect()}
+    for at, text in enumerate(texts):
+        assert rows[at].score == pytest.approx(brute(text), abs=1e-12)
+        assert rows[at].predicted == int(rows[at].score >= 0.5)
+    assert 20 < sum(r.predicted for r in rows.values()) < 200
+
+
 def test_toxicity_does_not_grow_with_length(spark):
     rng = random.Random(8)
     texts = random_texts(200, 12, 40)
@@ -443,6 +513,30 @@ def test_hnsw_against_brute_force(spark, monkeypatch):
     assert all(found[i].n_links == 0 and found[i].kept for i in range(2000, 2005))
 
 
+def test_audit_widens_where_links_are_rare(monkeypatch):
+    rng = np.random.default_rng(8)
+
+    def units(rows):
+        return (rows / np.linalg.norm(rows, axis=1, keepdims=True)).astype(np.float32)
+
+    shard = units(rng.normal(size=(1500, 24)))
+    graph = hnsw.Graph.build(shard)
+    graph.layers[-1][1][:, 3:] = -1  # a poor graph
+    queries = units(rng.normal(size=(1500, 24)))
+    at = rng.choice(1500, 60, replace=False)  # links that a sample of 48 hardly holds
+    queries[at] = units(shard[at] + 0.02 * rng.normal(size=(60, 24)))
+    true = set(zip(*(x.tolist() for x in np.nonzero(queries @ shard.T >= 0.98)), strict=True))
+    sample = set(np.linspace(0, 1499, hnsw.AUDITED).astype(int).tolist())
+    monkeypatch.setattr(hnsw, "FIRST_BEAM", 4)
+
+    def recall(pairs):
+        return len(true & set(zip(*(x.tolist() for x in pairs), strict=True))) / len(true)
+
+    assert len(true) >= 60 and len({q for q, _ in true} & sample) <= 6
+    assert recall(graph.within(queries, 0.98, 4)) < 0.9
+    assert recall(hnsw.audited(graph, queries, 0.98)) >= 0.99
+
+
 def test_hnsw_of_equal_vectors_and_nothing(spark):
     table = spark.createDataFrame([(i, [1.0, 2.0], 1) for i in (5, 3, 9)], "vec_id long, embedding array<double>, label int")
     rows = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in hnsw.near_duplicates(table).collect()}
@@ -493,7 +587,20 @@ def test_transducer_against_tiktoken(monkeypatch):
     monkeypatch.setattr(bytebpe, "TRANSITIONS", 40)
     monkeypatch.setattr(bytebpe, "KNOWN_WORDS", 10)
     monkeypatch.setattr(bytebpe, "PORTION", 16)
-    assert [n for n, _, _ in own.round_trips(texts)] == [len(plain.encode_ordinary(t)) for t in texts]
+    def sha(data):
+        return hashlib.sha256(data).hexdigest()
+
+    for _ in range(2):
+        expected = [plain.encode_ordinary(t) for t in texts]
+        expected = [(len(i), sha(" ".join(map(str, i)).encode()), sha(t.encode())) for i, t in zip(expected, texts)]
+        assert list(own.round_trips(texts)) == expected
+        assert len(own._words) <= 10 + len(set().union(*(own._pattern.findall(t) for t in texts)))
+    # states are forgotten while words are read, and all words read right after
+    words = {w for t in texts for w in own._pattern.findall(t)}
+    longest = max(len(w.encode()) for w in words)
+    for word in sorted(words):
+        assert own.transducer.encode(word.encode()) == plain.encode_ordinary(word)
+        assert len(own.transducer._moves) <= 40 + longest
 
 
 def test_utf8_in_portions():
