@@ -18,8 +18,6 @@ from oreflow.llm import langid, linededup, packing, simhash, toxicity
 from oreflow.llm.common import bucket_of, prepare, staged
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-#: A document goes if its language cannot be told: no letters, or a score below this.
-LEAST_LANGUAGE_SCORE = 0.5
 
 #: No SQL: three stages are learned models or fingerprints.  Tests hold the pipeline
 #: against a version of it that goes document by document.
@@ -37,10 +35,13 @@ def _kept(docs: DataFrame, judged: Callable[[DataFrame], DataFrame], keep: Colum
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told."""
+    """Documents whose language can be told: not ``und``, which has no letter.
+
+    The score plays no part: it falls with brevity and with the number of languages.
+    """
     prepare(spark)
     learned = langid.prototypes(docs.where(bucket_of(F.col("doc_id"), langid.FOLDS) != langid.HELD_OUT))
-    told = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    told = F.col("lang_pred") != langid.UNKNOWN
     return _kept(docs, lambda plain: langid.predict(plain, learned), told)
 
 
