@@ -41,7 +41,7 @@ from oreflow.llm.common import staged
 #: The least Jaccard similarity, as a fraction.
 LEAST = (4, 5)
 #: Words that occur 2^FREQUENT times or more are indexed together with another word.
-FREQUENT = 9
+FREQUENT = 7
 #: Lines of an entry that are joined with each other at once.
 SMALL = 256
 #: What lies between words, beside the blank.
@@ -65,14 +65,16 @@ def row_hash() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def _lines(documents: DataFrame) -> DataFrame:
-    """Lines in lower case that have a word."""
+def _lines(documents: DataFrame, rows: Column | None = None) -> DataFrame:
+    """Lines in lower case that have a word; with a sieve of rows, of these alone."""
     text = F.translate(F.lower("text"), GAPS, " " * len(GAPS))
     # outer, or Catalyst would split each text twice: to see if there is anything, and again
     lines = F.posexplode_outer(F.split(text, "\n")).alias("at", "line")
     # hashed once a text, below the lines
-    rows = documents.select("doc_id", "text", row_hash().alias("row"))
-    return rows.select("doc_id", "row", lines).where(F.trim("line") != "")
+    hashed = documents.select("doc_id", "text", row_hash().alias("row"))
+    if rows is not None:
+        hashed = hashed.where(passes(rows, F.col("row")))
+    return hashed.select("doc_id", "row", lines).where(F.trim("line") != "")
 
 
 def _hashed(word: Column) -> Column:
@@ -214,11 +216,14 @@ def similar(x: Column, y: Column) -> Column:
     return common * (num + den) >= (F.size(x) + F.size(y)) * num
 
 
-def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, documents: DataFrame) -> DataFrame:
     """The places of the later lines of the pairs that are similar."""
     ends = [f"{side}{c}" for side in ("x_", "y_") for c in _PLACE]
     pairs = staged(pairs.select(*ends).distinct(), "pairs")
     hashes = [pairs.select(F.xxhash64(*(f"{side}{c}" for c in _PLACE)).alias("hash")) for side in ("x_", "y_")]
+    rows = [pairs.select(F.col(f"{side}row").alias("hash")) for side in ("x_", "y_")]
+    # the texts of other rows are not split again
+    lines = _lines(documents, sieve(rows[0].unionByName(rows[1])))
     sieved = lines.where(passes(sieve(hashes[0].unionByName(hashes[1])), _place_hash()))
     # equal rows have their lines in common: once each
     own = sieved.groupBy(*_PLACE).agg(F.any_value("line").alias("line"))
@@ -253,17 +258,19 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
 
     # small entries whole, large ones against their first line; one exchange serves both sides
     entry = Window.partitionBy("code")
-    place = F.struct(*_PLACE)
     postings = _posted(first.select(*columns, "entries"))
-    postings = postings.withColumns({"size": F.count("*").over(entry), "lead": F.min(place).over(entry)})
-    postings = postings.withColumn("leads", place == F.col("lead")).drop("lead")
+    nth = F.row_number().over(entry.orderBy(*_PLACE))
+    postings = postings.withColumns({"nth": nth, "size": F.count("*").over(entry)})
+    postings = postings.withColumn("leads", F.col("nth") == 1)
     x = _renamed(postings.where((F.col("size") <= SMALL) | F.col("leads")), "x_", ("code",))
     y = _renamed(postings.where("size > 1"), "y_", ("code",)).withColumn("y_open", F.col("y_n"))
     large = (F.col("y_size") > SMALL) & F.col("x_leads") & F.col("y_leads")
-    met = x.join(y, "code").where(large | (_earlier("x_", "y_") & _may_match()))
+    # numbers within the entry sort out half the pairs at once; what is left is compared by place
+    later = F.col("x_nth") < F.col("y_nth")
+    met = x.join(y, "code").where(large | (later & _may_match() & _earlier("x_", "y_")))
     ends = [f"{side}{c}" for side in ("x_", "y_") for c in _PLACE]
     met = staged(met.select(F.when(large, F.col("code")).alias("large"), *ends), "met")
-    decided = _verified(met.where("large is null"), lines)
+    decided = _verified(met.where("large is null"), documents)
 
     # the rest of large entries
     codes = met.where("large is not null").select(F.col("large").alias("code"))
@@ -274,7 +281,7 @@ def repeated_lines(documents: DataFrame) -> DataFrame:
     in_large = passes(sieve(codes.select(F.xxhash64("code").alias("hash"))), F.xxhash64("code"))
     rest = rest.where(in_large).join(codes.distinct(), "code", "left_semi")
     near = _renamed(rest, "x_", ("code",)).join(_renamed(rest, "y_", ("code",)), "code")
-    more = _verified(near.where(_earlier("x_", "y_") & _may_match()), lines)
+    more = _verified(near.where(_may_match() & _earlier("x_", "y_")), documents)
 
     copies = first.where("copies > 1").select("a", "b", *(F.col(c).alias(f"first_{c}") for c in _PLACE))
     light = lines.select(*_PLACE, F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), "line").alias("b"))
