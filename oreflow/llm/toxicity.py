@@ -17,7 +17,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -71,52 +72,77 @@ def features(word: str) -> set[str]:
     return {marked, *(marked[i : i + GRAM] for i in range(len(marked) - GRAM + 1))}
 
 
-def _telling(bags: list[list[set[str]]], labels: list[int]) -> list[str]:
-    """Features whose presence in a text says most of its label (G statistic)."""
-    number: dict[str, int] = {}
-    seen: list[list[int]] = [[], []]
-    words: dict[str, set[str]] = {}
-    for bag, label in zip(bags, labels, strict=True):
-        own = set()
-        for word in set().union(*bag):
-            if word not in words:
-                words[word] = features(word)
-            own |= words[word]
-        seen[label] += [number.setdefault(f, len(number)) for f in own]
-    have = np.array([np.bincount(np.array(s, np.int64), minlength=len(number)) for s in seen], float)
-    texts = np.bincount(labels, minlength=2).astype(float)[:, None]
-    cells = np.array([have, texts - have])
-    expected = cells.sum(1, keepdims=True) * texts / texts.sum()
+class _Runs:
+    """Whole numbers in runs, one behind the other: a list of lists in a few bytes a number."""
+
+    def __init__(self) -> None:
+        self.flat, self.ends = array("i"), array("q", [0])
+
+    def add(self, run: Iterable[int]) -> None:
+        self.flat.extend(run)
+        self.ends.append(len(self.flat))
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The runs of these numbers in a row, and how long each is."""
+        flat, ends = np.frombuffer(self.flat, np.int32), np.frombuffer(self.ends, np.int64)
+        sizes = ends[numbers + 1] - ends[numbers]
+        upto = np.cumsum(sizes)
+        where = np.arange(upto[-1] if len(upto) else 0) + np.repeat(ends[numbers + 1] - upto, sizes)
+        return flat[where], sizes
+
+
+def _telling(texts: list[np.ndarray], labels: list[int], made_of: _Runs, names: list[str]) -> np.ndarray:
+    """Features whose presence in a text says most of its label (G statistic), by name."""
+    have = np.zeros((2, len(names)))
+    for words, label in zip(texts, labels, strict=True):
+        have[label, np.unique(made_of.of(np.unique(words))[0])] += 1
+    number = np.bincount(labels, minlength=2).astype(float)[:, None]
+    cells = np.array([have, number - have])
+    expected = cells.sum(1, keepdims=True) * number / number.sum()
     with np.errstate(divide="ignore", invalid="ignore"):
         ratio = 2 * np.nansum(np.where(cells > 0, cells * np.log(cells / expected), 0), axis=(0, 1))
     best = np.argsort(-ratio, kind="stable")[:FEATURES]
-    names = list(number)
-    return sorted(names[i] for i in best.tolist() if ratio[i] >= LEAST_RATIO)
+    return np.array(sorted(best[ratio[best] >= LEAST_RATIO].tolist(), key=names.__getitem__), np.int64)
 
 
 def fit(texts: list[str], labels: list[int], shares: tuple[float, float]) -> tuple[float, dict[str, float]]:
-    """Bias and weights of features.  ``shares``: how common labels 0 and 1 are outside the sample."""
-    one: dict[str, str] = {}  # each word is held once
-    bags = [[{one.setdefault(w, w) for w in words} for _, _, words in sentences(text)] for text in texts]
-    names = _telling(bags, labels)
-    number = {feature: at for at, feature in enumerate(names)}
-    known: dict[str, list[int]] = {}
+    """Bias and weights of features.  ``shares``: how common labels 0 and 1 are outside the sample.
+
+    Words, features and sentences are numbers from here on, in arrays.
+    """
+    known: dict[str, int] = {}
+    bags = [_Runs() for _ in texts]  # a run is a sentence's words
+    for text, bag in zip(texts, bags, strict=True):
+        for _, _, words in sentences(text):
+            bag.add(sorted(known.setdefault(w, len(known)) for w in sorted(words)))
+    number: dict[str, int] = {}
+    made_of = _Runs()  # a run is a word's features
+    for w in known:
+        made_of.add([number.setdefault(f, len(number)) for f in sorted(features(w))])
+    del known
+    names = list(number)
+    del number
+    telling = _telling([np.frombuffer(bag.flat, np.int32) for bag in bags], labels, made_of, names)
+    place = np.full(len(names), -1, np.int32)
+    place[telling] = np.arange(len(telling))
+    names = [names[at] for at in telling.tolist()]
     of_text, word, of_sentence, count = [], [], [], 0
     for at, bag in enumerate(bags):
-        for words in bag:
-            own = []
-            for w in words:
-                if w not in known:
-                    known[w] = sorted(number[f] for f in features(w) if f in number)
-                own += known[w]
-            if not own:
-                continue  # at the bias, whatever that is
-            word += sorted(own)
-            of_sentence += [count] * len(own)
-            of_text.append(at)
-            count += 1
-    of_text, word, of_sentence = (np.array(x, np.int64) for x in (of_text, word, of_sentence))
-    y, worded = np.array(labels, np.float64), np.array([bool(bag) for bag in bags], np.float64)
+        own, sizes = made_of.of(np.frombuffer(bag.flat, np.int32))
+        sentence = np.repeat(np.arange(len(bag.ends) - 1), np.diff(np.frombuffer(bag.ends, np.int64)))
+        own, sentence = place[own], np.repeat(sentence, sizes)
+        own, sentence = own[own >= 0], sentence[own >= 0]
+        order = np.lexsort((own, sentence))
+        # sentences without one are at the bias, whatever that is
+        kept, sentence = np.unique(sentence[order], return_inverse=True)
+        word.append(own[order].astype(np.int32))
+        of_sentence.append((sentence + count).astype(np.int32))
+        of_text.append(np.full(len(kept), at))
+        count += len(kept)
+    none = np.zeros(0, np.int64)
+    of_text, word, of_sentence = (np.concatenate([none, *x]) for x in (of_text, word, of_sentence))
+    del made_of, place
+    y, worded = np.array(labels, np.float64), np.array([len(bag.flat) > 0 for bag in bags], np.float64)
     heft = np.where(y == 1, shares[1] / max(1, y.sum()), shares[0] / max(1, (1 - y).sum()))
     weights, bias = np.zeros(len(names)), FIRST_BIAS
     squares, bias_squares = np.full(len(names), 1e-8), 1e-8
