@@ -4,6 +4,7 @@ import base64
 import hashlib
 import itertools
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from oreflow.llm import balltree, bytebpe, hnsw, langid, linededup, packing, seekable, simhash, tokens, toxicity, warc
+from oreflow.llm.common import staged
 from oreflow.llm.components import components
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -296,6 +298,17 @@ def test_scores_are_the_noisy_or_of_sentences(spark):
     assert 20 < sum(r.predicted for r in rows.values()) < 200
 
 
+def test_the_fit_holds_its_sample_in_little_memory():
+    texts = random_texts(150, words=4000)  # one word a sentence
+    texts = [". ".join([*text.split(), *["Zzugh"] * (at % 2)]) for at, text in enumerate(texts)]
+    tracemalloc.start()
+    _, weights = toxicity.fit(texts, [at % 2 for at in range(150)], (0.9, 0.1))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert weights["^zzugh$"] > 0
+    assert most < 10 * sum(map(len, texts))
+
+
 def test_toxicity_does_not_grow_with_length(spark):
     rng = random.Random(8)
     texts = random_texts(200, 12, 40)
@@ -386,6 +399,23 @@ def test_one_changed_word_of_forty(spark):
     assert [found[i].n_removed for i in range(8)] == [0, 1, 1, 1, 1, 1, 0, 1]
 
 
+def test_lines_are_numbered_by_place_and_keep_only_their_prefix(spark):
+    texts = ["\n".join(text.split(". ")) for text in random_texts(40)]
+    rows = spark.createDataFrame([(f % 7 or None, t) for f, t in enumerate(texts)], "doc_id long, text string")
+    first = linededup._collapsed(linededup._lines(rows)).collect()
+    places = [((r.doc_id is not None, r.doc_id), r.at, r.row) for r in sorted(first, key=lambda r: r.id)]
+    assert places == sorted(places) and len({r.id for r in first}) == len(first)
+    assert all(len(r.codes) <= r.n - -(-4 * r.n // 5) + 2 for r in first)
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = held.getAllBlocks().size()
+    counted = staged(spark.range(5000).groupBy((F.col("id") % 9).alias("k")).count(), "counted")
+    assert counted.count() == 9
+    assert held.getAllBlocks().size() <= before + 3  # those of count() above
+
+
 def test_frequent_words_and_long_lines(spark, monkeypatch):
     rng = random.Random(31)
     texts = []
