@@ -43,6 +43,8 @@ NEAREST = 4  # true neighbours of an audited query that its beam has to find
 MOST_TASKS = 100_000  # tasks of one search; each takes as many pairs of shards as there are then
 RECALL = 0.99
 BATCH = 256
+#: A beam opens one in so many of its nodes at once, the nearest of those that wait.
+AT_ONCE = 8
 SEED = 11
 _SLACK = 1e-5  # single precision, before the exact test
 
@@ -151,20 +153,33 @@ class Graph:
         seen = np.zeros((number, len(self.units) + 1), bool)  # the last for "none"
         seen[:, -1] = True
         seen[np.arange(number), entries] = True
+        several = max(1, width // AT_ONCE)
+        came_at = np.zeros(seen.shape if several > 1 else 0, np.int32)
         active = np.arange(number)
         while len(active):
             waiting = np.where(opened[active] | (ids[active] < 0), -np.inf, sims[active])
-            best = waiting.argmax(1)
-            go = np.isfinite(waiting[np.arange(len(active)), best])
-            active, best = active[go], best[go]
+            if several > 1:
+                best = np.argpartition(-waiting, several - 1, axis=1)[:, :several]
+            else:
+                best = waiting.argmax(1)[:, None]
+            good = np.isfinite(np.take_along_axis(waiting, best, 1))
+            go = good.any(1)
+            active, best, good = active[go], best[go], good[go]
             if not len(active):
                 break
-            opened[active, best] = True
-            near = links[ids[active, best]]
-            fresh = ~seen[active[:, None], near]
+            rows = active[:, None]
+            opened[rows, best] |= good
+            near = np.where(good[:, :, None], links[ids[rows, best]], -1).reshape(len(active), -1)
+            fresh = ~seen[rows, near]
+            if several > 1:  # a node that several bring counts once
+                columns = np.arange(near.shape[1], dtype=np.int32)[None]
+                came_at[rows, near] = columns
+                fresh &= came_at[rows, near] == columns
+            seen[rows, near] = True
             near = np.where(fresh, near, -1)
-            seen[active[:, None], near] = True
-            own = self._sims(queries[active], near)
+            at, column = np.nonzero(fresh)
+            own = np.full(near.shape, -np.inf, np.float32)
+            own[at, column] = np.einsum("nd,nd->n", self.units[near[at, column]], queries[active[at]])
             all_ids = np.concatenate([ids[active], near], 1)
             all_sims = np.concatenate([sims[active], own], 1)
             all_opened = np.concatenate([opened[active], np.zeros(near.shape, bool)], 1)
