@@ -14,7 +14,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable
-from itertools import chain, islice
+from itertools import chain, compress, islice
 
 import numpy as np
 
@@ -29,11 +29,15 @@ RUN_CHARS = 1 << 19
 #: A blank between two characters that are no white space: there a word ends in either scheme.
 _BETWEEN = re.compile(r" (?=\S)(?<=\S )")
 #: A blank beside other white space, and white space beyond ASCII.
-_TOUCHING = tuple(p for c in " \t\n\v\f\r\x1c\x1d\x1e\x1f" for p in (f" {c}", f"{c} "))
+_SPACES = " \t\n\v\f\r\x1c\x1d\x1e\x1f"
 _WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Stands between chunks that are encoded in one string; chunks that hold it are encoded alone.
 _MARK = "\x01"
 _PLAIN = re.compile(r" ?[^\s\x01](?:[^\x01]*[^\s\x01])?\Z")
+#: A blank and a word: where blanks open words, such chunks in a row need nothing between them.
+_OPENED = re.compile(r" \S+\Z")
+#: How byte-level vocabularies write a blank.
+_BLANK = "\u0120"
 
 
 def blank_chunks(text: str) -> list[str]:
@@ -56,8 +60,11 @@ def word_chunks(text: str) -> list[str]:
 
 def spaced_chunks(text: str) -> list[str]:
     """For byte-level pre-tokenizers, where one blank opens the word behind it."""
-    alone = not any(map(text.__contains__, _TOUCHING)) and (text.isascii() or not _WIDE.search(text))
+    touching = any(f" {c}" in text or f"{c} " in text for c in _SPACES if c in text)
+    alone = not touching and (text.isascii() or not _WIDE.search(text))
     if alone and text[:1] != " " and text[-1:] != " ":  # each blank is between two words
+        if "\0" not in text:
+            return text.replace(" ", "\0 ").split("\0")
         first, *rest = text.split(" ")
     else:
         first, *rest = _BETWEEN.split(text)
@@ -107,7 +114,13 @@ class ChunkEncoder:
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
         self._chunks = chunks
-        self.largest_id = max(self._tokenizer.get_vocab().values())
+        vocabulary = self._tokenizer.get_vocab()
+        self.largest_id = max(vocabulary.values())
+        #: Ids that begin with a blank; none where white space is dropped.
+        self._opens = np.zeros(self.largest_id + 1, bool)
+        if chunks is spaced_chunks:
+            self._opens[[number for token, number in vocabulary.items() if token.startswith(_BLANK)]] = True
+        self._in_rows = bool(self._opens.any())
         line_end, mark, *_ = *self._plain(["\n"]), *self._plain([_MARK])
         #: Ids of a line end beside the mark (none where white space is dropped), and the mark's id.
         self._ends, self._mark = len(line_end), int(mark[0])
@@ -148,16 +161,29 @@ class ChunkEncoder:
     def _learn(self, fresh: list[str]) -> None:
         """Encode new chunks: plain words many in one string, the others alone.
 
-        Between two words the mark is a word of its own, and so are the line ends
+        Words that a blank opens stand side by side: their first ids begin with it.
+        Between two others the mark is a word of its own, and so are the line ends
         around it where the tokenizer keeps them.  The ids stay as they come, marks
         and all; only their places are noted.
         """
-        joined = [at for at, chunk in enumerate(fresh) if _PLAIN.match(chunk)]
-        alone = sorted(set(range(len(fresh))).difference(joined))
+        if self._in_rows:
+            opened = [at for at, chunk in enumerate(fresh) if _OPENED.match(chunk)]
+            rows = [opened[i : i + TOGETHER] for i in range(0, len(opened), TOGETHER)]
+            row_ids = self._plain(["".join(map(fresh.__getitem__, row)) for row in rows])
+            row_starts = [np.flatnonzero(self._opens[ids]) for ids in row_ids]
+            # were a vocabulary to write a blank otherwise, marks would tell
+            told = [len(row) == len(starts) for row, starts in zip(rows, row_starts, strict=True)]
+            rows, row_ids, row_starts = (list(compress(x, told)) for x in (rows, row_ids, row_starts))
+        else:
+            rows, row_ids, row_starts = [], [], []
+        in_rows = set(chain.from_iterable(rows))
+        left = [at for at in range(len(fresh)) if at not in in_rows]
+        joined = [at for at in left if _PLAIN.match(fresh[at])]
+        alone = sorted(set(left).difference(joined))
         groups = [joined[i : i + TOGETHER] for i in range(0, len(joined), TOGETHER)]
         border = f"\n{_MARK}\n"
         strings = [border.join(["", *map(fresh.__getitem__, group), ""]) for group in groups]
-        parts = self._plain([*strings, *map(fresh.__getitem__, alone)])
+        parts = [*self._plain([*strings, *map(fresh.__getitem__, alone)]), *row_ids]
         count, total = len(self._known), sum(map(len, parts))
         self._starts, self._sizes, self._uses = (
             _grown(array, count) for array in (self._starts, self._sizes, self._uses)
@@ -172,9 +198,13 @@ class ChunkEncoder:
             self._starts[own] = at + marks[:-1] + 1 + self._ends
             self._sizes[own] = marks[1:] - marks[:-1] - 1 - 2 * self._ends
         if alone:
-            own = np.array(alone) + numbers
-            self._starts[own] = begun[len(groups) : -1]
-            self._sizes[own] = [len(ids) for ids in parts[len(groups) :]]
+            own, behind = np.array(alone) + numbers, len(groups) + len(alone)
+            self._starts[own] = begun[len(groups) : behind]
+            self._sizes[own] = [len(ids) for ids in parts[len(groups) : behind]]
+        for row, ids, starts, at in zip(rows, row_ids, row_starts, begun[len(groups) + len(alone) :].tolist(), strict=False):
+            own = np.array(row) + numbers
+            self._starts[own] = at + starts
+            self._sizes[own] = np.diff(starts, append=len(ids))
         self._filled += total
         self._chars += sum(map(len, fresh))
 

@@ -60,6 +60,19 @@ def test_chunks_give_the_ids_of_whole_texts(path, chunks, monkeypatch):
     assert own.encode([long_text])[0].tolist() == plain.encode(long_text, add_special_tokens=False).ids
 
 
+def test_words_that_a_blank_opens_are_encoded_without_marks(monkeypatch):
+    own, plain = tokens.ChunkEncoder(BYTE_BPE, tokens.spaced_chunks), tokenizer(BYTE_BPE)
+    seen = []
+    encode = own._plain
+    monkeypatch.setattr(own, "_plain", lambda strings: seen.extend(strings) or encode(strings))
+    texts = ["It's Ġ odd\0 and don't, 1234 \x01 é😀 end.\nNext one", *random_texts(50)]
+    expected = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids.tolist() for ids in own.encode(texts)] == expected
+    # only first words and those with a line end in them stand between marks
+    marked = "".join(s for s in seen if "\n\x01\n" in s)
+    assert " odd" not in marked and sum(map(len, seen)) < 3 * len(set(" ".join(texts).split())) * 8
+
+
 # --- 1: packing
 
 
@@ -567,6 +580,27 @@ def test_audit_widens_where_links_are_rare(monkeypatch):
     assert recall(hnsw.audited(graph, queries, 0.98)) >= 0.99
 
 
+def test_a_wide_beam_opens_several_nodes_at_once():
+    class Counted(np.ndarray):
+        looks = 0
+
+        def __getitem__(self, at):
+            Counted.looks += 1
+            return np.asarray(self)[at]
+
+    units = np.random.default_rng(5).normal(size=(1500, 16)).astype(np.float32)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    graph = hnsw.Graph.build(units)
+    nodes, links = graph.layers[-1]
+    graph.layers[-1] = (nodes, links.view(Counted))
+    width, queries = 96, units[:40]
+    ids, sims = graph._beam(queries, graph._descend(queries, len(graph.layers) - 1), graph.layers[-1][1], width)
+    assert Counted.looks < width  # one a round: each node by itself took more rounds than the beam is wide
+    assert all(len(set(row)) == width for row in ids.tolist())
+    true = np.argsort(-(queries @ units.T), axis=1)[:, :4]
+    assert np.mean([set(t) <= set(row) for t, row in zip(true.tolist(), ids.tolist(), strict=True)]) >= 0.95
+
+
 def test_hnsw_of_equal_vectors_and_nothing(spark):
     table = spark.createDataFrame([(i, [1.0, 2.0], 1) for i in (5, 3, 9)], "vec_id long, embedding array<double>, label int")
     rows = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in hnsw.near_duplicates(table).collect()}
